@@ -62,7 +62,7 @@ def stats(text: str) -> tuple[int, int, int, int, int]:
 
 
 #: The rules, in the order of their votes in a pattern.
-RULES = ("length", "word_length", "symbols", "duplicate_lines", "repeats", "capitals", "letters", "sentences", "variety")
+RULES = ("length", "word_length", "symbols", "marked_words", "duplicate_lines", "repeats", "capitals", "letters", "sentences", "variety")
 
 
 def _vote(x: float, good: bool, bad: bool) -> int:
@@ -72,6 +72,9 @@ def _vote(x: float, good: bool, bad: bool) -> int:
 def votes(text: str, s: tuple[int, int, int, int, int]) -> str:
     """The pattern of a text: '+', '-' or '.' (abstains) for each of RULES."""
     n, chars, symbols, dup, repeats = s
+    marked = 0
+    if symbols:
+        marked = sum(any(c in w for c in SYMBOLS) for w in text.split())
     if not n:
         return "-" + "." * (len(RULES) - 1)
     head = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -84,10 +87,11 @@ def votes(text: str, s: tuple[int, int, int, int, int]) -> str:
         (n >= 50, n < 20),
         (2.5 <= mean <= 12, mean < 2 or mean > 20),
         (symbols <= 0.02 * n, symbols > 0.1 * n),
+        (marked <= 0.01 * n, marked > 0.05 * n),
         (dup <= 0.1 * lines, dup > 0.3 * lines),
         (repeats <= 0.15 * n, repeats > 0.3 * n),
         (cased <= 0.25, cased > 0.5),
-        (letters >= 0.85, letters < 0.7),
+        (letters >= 0.93, letters < 0.85),
         (0.01 * n <= ends <= 0.25 * n, n >= 20 and (ends < 0.002 * n or ends > 0.5 * n)),
     )
     out = ["+" if g else "-" if b else "." for g, b in tests]
@@ -114,9 +118,9 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def fit(patterns: dict[str, int], rounds: int = 200) -> dict[str, float]:
     """The posterior probability of good for each pattern.
 
-    Two classes, votes independent given the class, abstentions without weight. It starts from the
-    share of good votes, and a few imagined votes (80 % right) keep every rule better than chance to
-    begin with; classes can't swap, as the good one is where most rules vote good.
+    Two classes, votes independent given the class, abstentions without weight. It starts with the
+    documents that two or more rules call bad as bad, and a few imagined votes (80 % right) keep every
+    rule better than chance, so that the classes don't swap.
     """
     if not patterns:
         return {}
@@ -125,8 +129,7 @@ def fit(patterns: dict[str, int], rounds: int = 200) -> dict[str, float]:
     good = np.array([[c == "+" for c in p] for p in names], float)
     bad = np.array([[c == "-" for c in p] for p in names], float)
     voted = good + bad
-    post = np.clip((good.sum(1) + 0.5) / (voted.sum(1) + 1), 0.05, 0.95)
-    post = np.where(post >= 0.75, 0.95, np.where(post < 0.5, 0.05, post))
+    post = np.select([bad.sum(1) >= 2, bad.sum(1) == 1], [0.05, 0.6], 0.95)
     fancied = 5.0
     for _ in range(rounds):
         w1, w0 = count * post, count * (1 - post)
