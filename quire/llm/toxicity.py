@@ -2,8 +2,9 @@
 
 The probability that a document's grade is at most k is logistic(threshold_k - w . x), with one weight
 vector for all ordered thresholds. x holds log(1 + count) of sparse text features: words and their
-first four and five letters. Labels are binary; the grade of a toxic training document is 1, 2 or 3 by
-the tercile of its density of toxic features. The severity is the expected grade.
+first four to seven letters, and again those that occur twice or more. Labels are binary; the grade of
+a toxic training document is 1, 2 or 3 by the tercile of how much it has of the features chosen (the sum
+of x). The severity is the expected grade.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ MAX_LABELS, MAX_FEATURES = 20_000, 4096
 #: A feature is in this many toxic training documents at least, and so many times as often as chance.
 MIN_DOCS, MIN_ODDS = 4, 8.0
 GRADES = 4
+PREFIXES = (4, 5, 6, 7)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -32,9 +34,18 @@ def tokens(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def names(word: str) -> set[str]:
+def names(word: str) -> tuple[str, ...]:
     """The features of a word: itself, and prefixes marked by a star."""
-    return {word} | {word[:n] + "*" for n in (4, 5) if len(word) >= n}
+    return (word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n))
+
+
+def features(text: str) -> set[str]:
+    """All features of a text; a plus marks those that occur twice or more."""
+    counts: Counter = Counter()
+    for w, n in Counter(tokens(text)).items():
+        for x in names(w):
+            counts[x] += n
+    return {*counts, *(x + "+" for x, n in counts.items() if n > 1)}
 
 
 @dataclass
@@ -45,19 +56,20 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def vector(self, text: str, seen: dict[str, tuple]) -> tuple[dict[int, int], int]:
-        """Counts of features, and the number of words. seen: remembers words' features."""
-        out: Counter = Counter()
-        words = tokens(text)
-        for w in words:
+    def vector(self, text: str, seen: dict[str, tuple]) -> dict[int, int]:
+        """Counts of features. seen: remembers words' features, as pairs of columns (once, twice or more; -1: none)."""
+        counts: Counter = Counter()
+        get = self.features.get
+        for w, n in Counter(tokens(text)).items():
             f = seen.get(w)
             if f is None:
-                f = tuple(sorted(self.features[x] for x in names(w) if x in self.features))
+                f = tuple(p for x in names(w) if (p := (get(x, -1), get(x + "+", -1))) != (-1, -1))
                 if len(seen) < 500_000 and len(w) <= 40:
                     seen[w] = f
-            if f:
-                out.update(f)
-        return out, len(words)
+            for p in f:
+                counts[p] += n
+        return {i: n for (once, twice), n in sorted(counts.items()) for i in ((once, twice) if n > 1 else (once,)) if i >= 0}
+
 
     def grades(self, x: dict[int, int]) -> np.ndarray:
         """The probability of each grade."""
@@ -115,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             found: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found[y].update({x for w in set(tokens(text or "")) for x in names(w)})
+                found[y].update(features(text or ""))
             f = [*found[0], *found[1]]
             n0, n1 = [*found[0].values(), *[0] * len(found[1])], [*[0] * len(found[0]), *found[1].values()]
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(n0, pa.int64()), pa.array(n1, pa.int64())], ["f", "n0", "n1"])
@@ -124,7 +136,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     odds = (F.col("n1") + 0.5) / (size.get(1, 0) + 1.0) / ((F.col("n0") + 0.5) / (size.get(0, 0) + 1.0))
     freq = sample.mapInArrow(count_features, "f string, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     chosen = freq.where((F.col("n1") >= MIN_DOCS) & (odds >= MIN_ODDS)).orderBy(F.desc("n1"), "f").limit(MAX_FEATURES).collect()
-    # of a feature and its prefixes the most frequent says it all, if they are in as many documents
     model = Model({r["f"]: i for i, r in enumerate(chosen)}, np.zeros(len(chosen)), np.full(GRADES - 1, 30.0))
     if not chosen:
         return model
@@ -134,13 +145,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         seen: dict[str, tuple] = {}
         for b in batches:
             got = [shared.value.vector(t or "", seen) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([list(x) for x, _ in got], pa.list_(pa.int32())), pa.array([list(x.values()) for x, _ in got], pa.list_(pa.int32())), pa.array([n for _, n in got], pa.int32()), b.column(1)], ["i", "n", "words", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array([list(x) for x in got], pa.list_(pa.int32())), pa.array([list(x.values()) for x in got], pa.list_(pa.int32())), b.column(1)], ["i", "n", "y"])
 
-    rows = sample.mapInArrow(vectors, "i array<int>, n array<int>, words int, y int").collect()  # about max_labels rows of a few features
-    grade, density = np.array([r["y"] for r in rows]), np.array([sum(r["n"]) / max(1, r["words"]) for r in rows])
+    rows = sample.mapInArrow(vectors, "i array<int>, n array<int>, y int").collect()  # about max_labels rows of a few features
+    grade, amount = np.array([r["y"] for r in rows]), np.array([np.log1p(np.array(r["n"], float)).sum() for r in rows])
     toxic = grade == 1
-    cuts = np.quantile(density[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
-    grade = np.where(toxic, 1 + np.searchsorted(cuts, density, side="left"), 0)
+    cuts = np.quantile(amount[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
+    grade = np.where(toxic, 1 + np.searchsorted(cuts, amount, side="left"), 0)
     at = np.repeat(np.arange(len(rows)), [len(r["i"]) for r in rows])
     cols = np.array([i for r in rows for i in r["i"]], np.int64)
     vals = np.log1p(np.array([n for r in rows for n in r["n"]], float))
@@ -159,7 +170,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, tuple] = {}
         for b in batches:
-            value = np.array([sum(shared.value.weights[i] * np.log1p(n) for i, n in shared.value.vector(t or "", seen)[0].items()) for t in b.column(1).to_pylist()], float)
+            value = np.array([sum(shared.value.weights[i] * np.log1p(n) for i, n in shared.value.vector(t or "", seen).items()) for t in b.column(1).to_pylist()], float)
             p = _grades(shared.value.thresholds, value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p @ np.arange(GRADES), pa.float64()), pa.array(p.argmax(axis=1), pa.int32()), pa.array(1 - p[:, 0], pa.float64())], ["doc_id", "severity", "grade", "p_toxic"])
 
