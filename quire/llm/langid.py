@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import bisect
 import re
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,11 +26,11 @@ UNKNOWN = "und"
 SCRIPT_STARTS = (0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0750, 0x0900, 0x0980, 0x0A00, 0x0E00, 0x0E80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x30A0, 0x3100, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB1D, 0xFB50, 0xFE00, 0xFF66, 0xFFA0, 0x20000)
 SCRIPT_NAMES = ("latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "other", "devanagari", "bengali", "other", "thai", "other", "georgian", "hangul", "ethiopic", "latin", "greek", "other", "kana", "kana", "han", "hangul", "other", "han", "latin", "hebrew", "arabic", "other", "kana", "hangul", "han")
 _WORD = re.compile(r"[^\W\d_]+")
-#: Buckets of hashed n-grams, n-gram lengths, letters of a word that are scored by n-grams.
-_BUCKETS, _ORDERS = 1 << 16, (1, 2, 3, 4)
+#: Buckets of hashed n-grams, n-gram lengths, words that are scored together.
+_BUCKETS, _ORDERS, _TOGETHER = 1 << 16, (1, 2, 3, 4), 20_000
 #: Documents a language that are fitted on at most (all, if it has fewer), chosen by a hash of the id.
 MAX_DOCS = 2000
-_REMEMBERED, _LONGEST, _BATCH = 400_000, 40, 12_000_000
+_REMEMBERED, _LONGEST, _BATCH = 400_000, 40, 3_000_000
 
 
 def script(word: str) -> str:
@@ -39,59 +38,76 @@ def script(word: str) -> str:
     return SCRIPT_NAMES[bisect.bisect_right(SCRIPT_STARTS, ord(word[0])) - 1]
 
 
-def _grams(word: str) -> list[int]:
-    """Hash buckets of the n-grams of a lower-case word with its ends marked."""
-    w = f"<{word}>".encode("utf-8", "surrogatepass") if word.isascii() else f"<{word}>"
-    if isinstance(w, str):
-        return [zlib.crc32(w[i : i + n].encode("utf-8", "surrogatepass")) % _BUCKETS for n in _ORDERS for i in range(len(w) - n + 1)]
-    return [zlib.crc32(w[i : i + n]) % _BUCKETS for n in _ORDERS for i in range(len(w) - n + 1)]
+def _grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n: hash buckets of the n-grams of UTF-8 bytes of lower-case words with their ends marked, and whose they are."""
+    raw = [b"\x02" + w.lower().encode("utf-8", "surrogatepass") + b"\x03" for w in words]
+    lens = np.fromiter(map(len, raw), np.int64, len(raw))
+    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(raw)), lens)
+    left = np.cumsum(lens)[owner] - np.arange(len(data))  # bytes from here to the end of the word
+    h = np.zeros(len(data) + 1, np.uint64)
+    for n in range(1, max(_ORDERS) + 1):
+        h = h[:-1] * np.uint64(1_000_003) + data[n - 1 :] + np.uint64(1)
+        if n in _ORDERS:
+            whole = left[: len(h)] >= n
+            yield ((h[whole] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64) % _BUCKETS, owner[: len(h)][whole]
 
 
 @dataclass
 class Model:
-    """languages in order; log_prob: (bucket, language); scripts: script -> log-weight of each language, -inf if it doesn't use it."""
+    """languages in order; log_prob: (bucket, language); scripts: script -> which languages use it."""
 
     languages: list[str]
     log_prob: np.ndarray
     scripts: dict[str, np.ndarray]
     penalty: float = 8.0
 
-    def word(self, word: str) -> np.ndarray:
-        """Scores of a word, relative to the best; a script that no language uses leaves all candidates equal."""
-        allowed = self.scripts.get(script(word))
-        if allowed is None:
-            return np.zeros(len(self.languages), np.float32)
-        s = self.log_prob[_grams(word.lower())].sum(axis=0) / len(_ORDERS)
-        s = np.where(allowed, s, s.min() - 30)
-        return (s - s.max()).astype(np.float32)
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of words, relative to the best; where no language uses the script all candidates are equal."""
+        out = np.zeros((len(words), len(self.languages)))
+        for lo in range(0, len(words), _TOGETHER):
+            part = words[lo : lo + _TOGETHER]
+            for bucket, owner in _grams(part):
+                for k in range(len(self.languages)):
+                    out[lo : lo + len(part), k] += np.bincount(owner, self.log_prob[bucket, k], len(part))
+        out /= len(_ORDERS)
+        kinds = np.array([script(w) for w in words])
+        for name in set(kinds.tolist()):
+            at, allowed = np.flatnonzero(kinds == name), self.scripts.get(name)
+            if allowed is None:
+                out[at] = 0
+            else:
+                out[np.ix_(at, np.flatnonzero(~allowed))] = out[at].min(axis=1, keepdims=True) - 30 if len(at) else 0
+        return (out - out.max(axis=1, keepdims=True)).astype(np.float32) if len(words) else out.astype(np.float32)
 
 
 class Labeller:
+    """Labels texts; remembers the scores of words, most of which recur."""
+
     def __init__(self, model: Model):
         self.model = model
-        outer = self
+        self.scores = np.zeros((1024, len(model.languages)), np.float32)
 
         class Ids(dict):
+            others: dict[str, int] = {}  # of the texts at hand, beyond those remembered
+
             def __missing__(self, word: str) -> int:
-                i = outer.row(outer.model.word(word))
-                if len(self) < _REMEMBERED and len(word) <= _LONGEST:
-                    self[word] = i
-                return i
-
-        self.ids, self.scores, self.used = Ids(), np.zeros((1024, len(model.languages)), np.float32), 0
-
-    def row(self, s: np.ndarray) -> int:
-        if self.used == len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        self.scores[self.used] = s
-        self.used += 1
-        return self.used - 1
-
-    def forget(self) -> None:
-        """Rows of words that were too many or too long to remember."""
-        if self.used > 2 * _REMEMBERED:
-            self.ids.clear()
-            self.used = 0
+                return self.others[word]
+
+        self.ids = Ids()
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.ids]
+        room = _REMEMBERED - len(self.ids)
+        kept = [w for w in new if len(w) <= _LONGEST][:room]
+        known = set(kept)
+        new = kept + [w for w in new if w not in known]
+        first = len(self.ids)
+        if first + len(new) > len(self.scores):
+            self.scores = np.concatenate([self.scores[:first], np.zeros((first + 2 * len(new), self.scores.shape[1]), np.float32)])
+        self.scores[first : first + len(new)] = self.model.words(new)
+        self.ids.update(zip(kept, range(first, first + len(kept)), strict=True))
+        self.ids.others = dict(zip(new[len(kept) :], range(first + len(kept), first + len(new)), strict=True))
 
     def paths(self, docs: list[list[int]]) -> list[np.ndarray]:
         """The best language of each word, for documents of word ids.
@@ -134,9 +150,9 @@ class Labeller:
 
     def label(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
         """(words, language of each) for each text."""
-        for lo in self._cuts(texts):
-            self.forget()
-            found = [_WORD.findall(t) for t in texts[lo]]
+        for part in self._cuts(texts):
+            found = [_WORD.findall(t) for t in texts[part]]
+            self.learn(set().union(*found))
             yield from zip(found, self.paths([list(map(self.ids.__getitem__, w)) for w in found]), strict=True)
 
     @staticmethod
@@ -179,11 +195,15 @@ def fit(rows: DataFrame, max_docs: int = MAX_DOCS, penalty: float = 8.0) -> Mode
                 words[lang].update(_WORD.findall(text or ""))
         langs, keys, counts = [], [], []
         for lang, c in words.items():
-            grams, scripts = Counter(), Counter()
+            total, scripts, names = np.zeros(_BUCKETS), Counter(), list(c)
             for w, k in c.items():
                 scripts[script(w)] += k
-                for g in _grams(w.lower()):
-                    grams[g] += k
+            for lo in range(0, len(names), _TOGETHER):
+                part = names[lo : lo + _TOGETHER]
+                n = np.array([c[w] for w in part], float)
+                for bucket, owner in _grams(part):
+                    total += np.bincount(bucket, n[owner], _BUCKETS)
+            grams = {g: int(total[g]) for g in np.flatnonzero(total).tolist()}
             for name, k in scripts.items():
                 langs.append(lang), keys.append(f"s{name}"), counts.append(k)
             for g, k in grams.items():
@@ -218,11 +238,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     __lang: the language of most letters, or `und` where the text is null or has no letter (or nothing
     was learned); ties go to the first in order. __score: its share of the letters; 0 for `und`.
-    __spans: array of (lang, first word, words).
+    __spans: array of (lang, first word, words). Columns of these names are replaced; repeated rows stay.
     """
     internal(docs, text_col)
-    if clash := [c for c in docs.columns if c.startswith("__")]:
-        raise ValueError(f"columns that start with __ are kept for the operator: {', '.join(clash)}")
+    docs = docs.drop("__lang", "__score", "__spans")
     at, shared = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
 
