@@ -127,10 +127,11 @@ def mix(docs: DataFrame, sources: Column, weights, id_col: str = "doc_id", text_
     from the sorted list of sources (null last) to {source: weight}, or such a dict. Targets are
     `targets()` of the sources' sizes. Rows without words are taken as often as whole passes say.
     The seeded order depends on the id alone, so reruns agree; rows that repeat an id fall in one
-    place of it. Within the bucket where a pattern's flow ends, large documents are tried first and
+    place of it. Columns of the operator's names are replaced. Within the bucket where a pattern's flow ends, large documents are tried first and
     what still fits is taken, so the taken words come within a small document of the flow.
     """
     internal(docs, id_col, text_col)
+    docs = docs.drop(*(f"__{n}" for n in ("size", "sources", "id", "key", "u", "target", "source_size", "whole", "rest", "buckets", "edge", "us", "copies")))
     kind = docs.select(sources.alias("s")).schema["s"].dataType.simpleString()
     member = F.coalesce(F.array_sort(F.array_distinct(sources)), F.array().cast(kind))
     told = docs.select("*", size_of(F.col(text_col)).alias("__size"), member.alias("__sources"), F.col(id_col).alias("__id"))
@@ -186,7 +187,10 @@ def by_rank(pattern: tuple[int, ...] = (5, 2, 1)):
     return lambda order: {s: pattern[i % len(pattern)] for i, s in enumerate(order)}
 
 
-def take(docs: DataFrame, sources: Column, weights, **more) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it; columns are those of `docs`."""
-    mixed = mix(docs, sources, weights, **more).where("__copies > 0")
-    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__copy")).drop("__copy")
+def take(docs: DataFrame, sources: Column, weights, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it; columns are those of `docs`, whatever their names."""
+    names = docs.columns
+    rows = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), sources.alias("sources"))
+    mixed = mix(rows, F.col("sources"), weights, f"c{names.index(id_col)}", f"c{names.index(text_col)}", **more).where("__copies > 0")
+    again = mixed.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return again.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))

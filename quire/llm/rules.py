@@ -152,10 +152,9 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns of `docs`, the five statistics as __n_words ..., __votes, __quality (posterior) and __kept.
 
     Null and empty texts have no words: they fail. Repeated rows count as often as they occur. An
-    empty table gives an empty table. Columns of the same names as the added ones are an error.
+    empty table gives an empty table. Columns of the same names as the added ones are replaced.
     """
-    if clash := [c for c in docs.columns if c.startswith("__")]:
-        raise ValueError(f"columns that start with __ are kept for the operator: {', '.join(clash)}")
+    docs = docs.drop(*(f"__{s}" for s in STATS), "__votes", "__quality", "__kept")
     rows = Stored(features(docs, text_col), "rules").df
     found = {r["__votes"]: r["count"] for r in rows.groupBy("__votes").count().collect()}  # at most 3 ** len(RULES) rows
     quality = fit(found)

@@ -168,10 +168,18 @@ def hexadecimal(word: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, spec: Spec = NEAR) -> DataFrame:
-    """The rows of `docs` without the near-duplicates of a smaller doc_id; of repeated ids one row stays.
+    """The rows of `docs` without the near-duplicates of a smaller doc_id; of rows that repeat an id one stays.
 
     Columns are those of `docs`. Rows with a null id have nothing to be named by and stay.
     """
-    gone = near_duplicates(docs, spec).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    classes = near_duplicates(docs, spec).where("doc_id is not null")
+    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
-    return left
+    twice = Stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice")), "simhash-repeats").df
+    if twice.isEmpty():
+        return left
+    rows = left.select(F.struct(*left.columns).alias("row"), F.col("doc_id").alias("id"))
+    again = rows.join(twice, rows["id"] == twice["__twice"], "left_semi")
+    one = again.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row")))).where("n = 1")
+    once = rows.join(twice, rows["id"] == twice["__twice"], "left_anti")
+    return once.select("row.*").union(one.select("row.*"))

@@ -143,12 +143,11 @@ def filter_urls(pages: DataFrame, listed: list[str] | DataFrame, rules: list[Rul
 
     listed: hosts (a frame has one column, `key`) that are blocked with their subdomains where no rule
     fits. Null, empty and odd urls have an empty host, which no rule and no list names: allowed. Urls
-    of any length and repeats cost one pass; keys of the corpus are its hosts' last labels, as many as
+    of any length and repeats cost one pass. Columns of these names are replaced; keys of the corpus are its hosts' last labels, as many as
     a listed host has.
     """
     internal(pages, url_col)
-    if clash := [c for c in pages.columns if c.startswith("__")]:
-        raise ValueError(f"columns that start with __ are kept for the operator: {', '.join(clash)}")
+    pages = pages.drop("__host", "__path", "__rule", "__verdict", "__i", "__bad")
     spark = pages.sparkSession
     if isinstance(listed, list):
         listed = spark.createDataFrame([(x,) for x in listed], "key string").coalesce(1)
