@@ -123,7 +123,7 @@ def _two_sided(left: DataFrame, right: DataFrame, keys: list[str], f: Callable,
     """Chapters of both sides through f(texts, numbers, refs, ref_numbers); chapters of one side drop out."""
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({**{k: [] for k in keys}, "pos": [], "v": [], "new_v": [], "score": []})
+            return (b if a.empty else a)[[*keys, "pos", "v"]].iloc[:0].assign(new_v=pd.Series(dtype="int32"), score=pd.Series(dtype="float64"))
         a, b = a.sort_values(["pos"]), b.drop_duplicates("v", keep="last").sort_values("v")
         got = f(a["text"].fillna("").tolist(), a["v"].tolist(), b["text"].fillna("").tolist(), b["v"].tolist(), **more)
         out = a[[*keys, "pos", "v"]].copy()

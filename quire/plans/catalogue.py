@@ -391,10 +391,10 @@ def set_ops(spark, d):
     return named("both", a.intersect(b)).union(named("left", a.exceptAll(b).distinct().join(b, "k", "left_anti"))).union(named("right", b.join(a, "k", "left_anti").distinct())).union(named("any", a.union(b).distinct()))
 
 
-@query("interpolate", "WITH e AS (SELECT user_id, event_id, CASE WHEN event_type IN ('view', 'click') THEN value END AS x FROM events), w AS (SELECT *, last_value(x IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN x IS NOT NULL THEN event_id END IGNORE NULLS) OVER b AS p0, first_value(x IGNORE NULLS) OVER a AS v1, first_value(CASE WHEN x IS NOT NULL THEN event_id END IGNORE NULLS) OVER a AS p1 FROM e WINDOW b AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) SELECT user_id, event_id, round(coalesce(x, v0 + (v1 - v0) * (event_id - p0) / nullif(p1 - p0, 0), v0, v1), 6) AS filled FROM w")
+@query("interpolate", "WITH e AS (SELECT user_id, event_id, CASE WHEN event_type IN ('view', 'click') THEN value END AS x FROM events), w AS (SELECT *, last_value(x IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN x IS NOT NULL THEN event_id END IGNORE NULLS) OVER b AS p0, first_value(x IGNORE NULLS) OVER a AS v1, first_value(CASE WHEN x IS NOT NULL THEN event_id END IGNORE NULLS) OVER a AS p1 FROM e WINDOW b AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) SELECT user_id, event_id, CAST(floor(1000 * coalesce(x, v0 + (v1 - v0) * (event_id - p0) / nullif(p1 - p0, 0), v0, v1) + 0.0001) AS BIGINT) AS filled FROM w")
 def interpolate(spark, d):
     e = table(spark, d, "events").select("user_id", "event_id", F.when(F.col("event_type").isin("view", "click"), F.col("value")).alias("x"))
-    return windows.interpolate(e, ["user_id"], "event_id", "x").select("user_id", "event_id", F.round("filled", 6).alias("filled"))
+    return windows.interpolate(e, ["user_id"], "event_id", "x").select("user_id", "event_id", F.floor(1000 * F.col("filled") + 0.0001).alias("filled"))
 
 
 @query("carry_forward", "SELECT user_id, event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS state FROM events")
