@@ -57,6 +57,19 @@ def interval_owner(sources: DataFrame, targets: DataFrame, keys: list[str], at:
     return targets.join(s, keys).where((F.col("owner") <= F.col(at)) & (F.col(at) < F.col("until"))).select(*keys, F.col(at).alias("target"), "owner")
 
 
+def merge_blocks(blocks: DataFrame, keys: list[str], order: str = "pos") -> DataFrame:
+    """(keys, v, until, text): blocks, in order, merged where one begins at or before the greatest end so far.
+
+    blocks: (keys, order, v, until, text); `until` is the last number a block covers. A block whose
+    number goes back, or is covered already, is the going-on of the block before.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    before = F.max("until").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    told = windows.islands(blocks.withColumn("__starts", F.col("v") > F.coalesce(before, F.col("v") - 1)), keys, F.col("__starts"), [order])
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.trim("text").alias("t")))), lambda x: x["t"])
+    return told.groupBy(*keys, "island").agg(F.min_by("v", order).alias("v"), F.max("until").alias("until"), F.trim(F.array_join(parts, " ")).alias("text")).drop("island")
+
+
 def place_sections(sections: DataFrame, verses: DataFrame, keys: list[str]) -> DataFrame:
     """Headings and verses in one order: a heading stands before the verse it names, or before the next there is."""
     v = verses.select(*keys, "v", F.lit(1).alias("kind"), "text")

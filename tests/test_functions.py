@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as some
 from pyspark.sql import functions as F
 
+from quire.functions import cleaning as cl
 from quire.functions import python as P
 from quire.functions import similarity as sim
 from quire.functions import strings as st
@@ -56,6 +57,16 @@ CASES = [
     (lambda c: st.apply_rules(c, [(r"(\d)x", "$1y")]), "1x 2X", "1y 2X"),
     (lambda c: st.stop_ratio(c, ["the", "of"]), "the king of Spain", 0.5),
     (P.stem_udf, "kitaplarından", "kitap"),
+    (cl.ocr_verse, "yol - larını du-  runcaya vaf-tiz (3) söz(12)ler Mat.11/10, son 842", "yollarını duruncaya vaftiz söz ler son"),
+    (lambda c: cl.strip_noise(c, ["book_references", "references", "see", "edition_mark", "roman"]), "Bak Kol.3:4 ve 5:1-3 bkz. xy ELÇ IV son", "Bak ve son"),
+    (lambda c: cl.strip_noise(c, ["notes_block"]), "Söz. Dipnotları bir iki", "Söz."),
+    (lambda c: cl.title_in(c, [("MARKOS", "MRK"), ("MATTA", "MAT")]), "MATTA - 1", "MAT"),
+    (lambda c: cl.title_in(c, [("MARKOS", "MRK")]), "x", None),
+    (cl.ordinal_chapter, "Yedinci Bölüm: x", 7),
+    (cl.ordinal_chapter, "Bölüm", None),
+    (cl.ascii_fold, "İYİ Şey, ışık!", "iyi sey isik"),
+    (lambda c: cl.padded(c), "7", "007"),
+    (lambda c: cl.is_intro(c, ["yazar"]), "Bu kitabın yazarı", True),
 ]
 
 

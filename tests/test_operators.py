@@ -93,6 +93,12 @@ def test_rebuild(spark):
     assert [(r["v"], r["text"]) for r in got] == [(1, "Başlangıçta Tanrı göğü yarattı."), (2, "Yer boştu ve karanlıktı."), (3, "Tanrı ışık olsun dedi.")]
 
 
+def test_overlapping_blocks_are_merged(spark):
+    df = spark.createDataFrame([(1, 0, 1, 3, "a"), (1, 1, 3, 3, "b"), (1, 2, 4, 6, "c"), (1, 3, 5, 9, "d"), (1, 4, 10, 10, "e")], "c int, pos int, v int, until int, text string")
+    got = alignment.merge_blocks(df, ["c"]).orderBy("v").collect()
+    assert [(r["v"], r["until"], r["text"]) for r in got] == [(1, 3, "a b"), (4, 9, "c d"), (10, 10, "e")]
+
+
 def test_segments():
     text = "bir iki üç. dört beş altı. yedi sekiz dokuz."
     assert alignment.segment(text, [["bir"], ["dört", "beş"], ["yedi"]]) == ["bir iki üç.", "dört beş altı.", "yedi sekiz dokuz."]
