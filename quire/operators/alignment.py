@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.python import best_window, similarity, stem
+from ..functions.python import best_window, similarities, similarity, stem
 from ..functions.strings import ends_sentence, strip_leading_quotes
 from . import windows
 
@@ -88,11 +88,11 @@ def merge_fragments(verses: DataFrame, keys: list[str], order: str = "pos") -> D
     return agg.select(*keys, "v", order, F.when(F.size("parts") == 1, F.col("__one")).otherwise(merged).alias("text"), F.size("parts").alias("merged"))
 
 
-def align(texts: list[str], numbers: list[int], refs: list[str], ref_numbers: list[int], score: Callable[[str, str], float] = similarity, least: float = 0.20) -> list[tuple[int, float]]:
+def align(texts: list[str], numbers: list[int], refs: list[str], ref_numbers: list[int], score: Callable[[str, str], float] | None = None, least: float = 0.20) -> list[tuple[int, float]]:
     """(number, score) of each text: the strictly increasing assignment to references of the greatest total score.
 
     With more texts than references the numbers stay, made strictly increasing; so does a number whose
-    score is under `least`. Ties go to the first reference.
+    score is under `least`. Ties go to the first reference. The default score is `similarity`.
     """
     n, m = len(texts), len(refs)
     if not m:
@@ -102,7 +102,7 @@ def align(texts: list[str], numbers: list[int], refs: list[str], ref_numbers: li
         for v in numbers:
             out.append((max(v, out[-1][0] + 1) if out else v, 0.0))
         return out
-    s = [[score(a, b) for b in refs] for a in texts]
+    s = [[score(a, b) for b in refs] for a in texts] if score else similarities(texts, refs)
     total = [s[0]] if n else []
     for i in range(1, n):
         best, row = float("-inf"), []

@@ -83,6 +83,8 @@ def test_similarities(spark):
     assert P.word_jaccard("a b c", "b, c d") == 0.5
     assert P.char_similarity("abc", "abc") == 1.0 and P.char_similarity("", "x") == 0.0
     assert P.similarity("a b", "a b") == pytest.approx(1.0)
+    some_texts = ["bir iki üç", "", "Dört, beş!", "iki üç bir", "x" * 300]
+    assert P.similarities(some_texts, some_texts[::-1]) == [[P.similarity(a, b) for b in some_texts[::-1]] for a in some_texts]
     assert one(spark, lambda a, b: sim.word_score(a, b), "kitaplar", "kitaplık") == 1
     assert one(spark, lambda a: sim.starts_overlap(a, F.array(F.lit("bir"), F.lit("yok"))), "bir iki") == 0.5
 
