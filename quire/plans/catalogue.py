@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+from ..functions import cleaning
 from ..functions import python as P
 from ..functions import similarity as sim
 from ..functions import strings as st
@@ -631,3 +632,38 @@ def labelled_fields(spark, d):
     return table(spark, d, "documents").select("doc_id", st.labelled(("lang", F.col("lang"), 10), ("source", F.col("source"), 4)).alias("text"))
 
 
+
+
+@query("merged_blocks", "WITH x AS (SELECT user_id, event_id AS pos, event_id AS v, event_id + CAST(floor(value) AS BIGINT) AS until, event_type AS text FROM events), f AS (SELECT *, CASE WHEN v > coalesce(max(until) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), v - 1) THEN 1 ELSE 0 END AS s FROM x), i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY pos) AS island FROM f) SELECT user_id, min(v) AS v, max(until) AS until, string_agg(text, ' ' ORDER BY pos) AS text FROM i GROUP BY user_id, island")
+def merged_blocks(spark, d):
+    e = table(spark, d, "events")
+    blocks = e.select("user_id", F.col("event_id").alias("pos"), F.col("event_id").alias("v"), (F.col("event_id") + F.floor("value")).alias("until"), F.col("event_type").alias("text"))
+    return alignment.merge_blocks(blocks, ["user_id"])
+
+
+@query("sentence_ends", f"WITH {VERSE} SELECT c, v, regexp_matches(text, '{_ENDS}') AS closed FROM verse")
+def sentence_ends(spark, d):
+    return lines(spark, d).select("c", "v", st.ends_sentence(F.col("text")).alias("closed"))
+
+
+@query("ascii_folded", r"SELECT doc_id, trim(regexp_replace(regexp_replace(translate(lower(translate(text, 'İI', 'iı')), 'ıüöşçğâîû', 'iuoscgaiu'), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')) AS text FROM documents")
+def ascii_folded(spark, d):
+    return table(spark, d, "documents").select("doc_id", cleaning.ascii_fold(F.col("text")).alias("text"))
+
+
+@query("letter_words", r"SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(translate(text, 'İI', 'iı')), '[\p{L}''’]+'), lambda w: length(w) >= 2), ' ') AS words FROM documents")
+def letter_words(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.array_join(st.letter_tokens(F.col("text")), " ").alias("words"))
+
+
+@query("verse_references", f"WITH {VERSE} SELECT CAST(c AS VARCHAR) || '.' || CAST(v AS VARCHAR) AS ref, length(text) AS n FROM verse")
+def verse_references(spark, d):
+    return lines(spark, d).select(st.reference(F.col("c"), F.col("v")).alias("ref"), F.length("text").cast("bigint").alias("n"))
+
+
+@query("reference_words", f"WITH {EDITION}, w AS (SELECT t, b, v, unnest(regexp_extract_all(lower(translate(text, 'İI', 'iı')), '[\\p{{L}}''’]+')) AS word FROM edition), r AS (SELECT DISTINCT b, v, word FROM w WHERE t = 1 AND length(word) >= 2) SELECT b, v, count(*) AS missing FROM (SELECT DISTINCT b, v, word FROM w WHERE t = 0 AND length(word) >= 2) x WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.b = x.b AND r.v = x.v AND r.word = x.word) GROUP BY b, v")
+def reference_words(spark, d):
+    """Words of each verse that the same verse of the other edition lacks."""
+    words = lambda x: x.select("b", "v", F.explode(F.array_distinct(st.letter_tokens(F.col("text")))).alias("word"))
+    a, b = editions(spark, d)
+    return words(a).join(words(b), ["b", "v", "word"], "left_anti").groupBy("b", "v").agg(F.count("*").alias("missing"))
