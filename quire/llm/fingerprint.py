@@ -18,7 +18,7 @@ from .urlfilter import may_hold
 
 _WHITE = r"[\p{Z}\s\x{1C}-\x{1F}\x{85}]+"
 #: Ranges of ids that are laid out together, at most, and ids a range on average at least.
-_RANGES, _PER_RANGE = 4096, 64
+_RANGES, _PER_RANGE = 65_536, 64
 
 
 def canonical(text: Column) -> Column:
@@ -45,11 +45,12 @@ def collisions(rows: DataFrame) -> DataFrame:
     meet as the least and the greatest of a digest, so a group of copies is one text a task.
     """
     often = Stored(rows.groupBy("digest").count().where("count > 1").select("digest"), "digests").df
-    some = may_hold(often, F.col("digest"))  # so that few other texts are shuffled
-    canon = rows.where(some).join(often, "digest", "left_semi").select("digest", canonical(F.col("text")).alias("canon"))
-    odd = canon.groupBy("digest").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select("digest")
+    some = rows.where(may_hold(often, F.col("digest"))).select("digest", canonical(F.col("text")).alias("canon"))  # so that few other texts are shuffled
+    odd = Stored(some.groupBy("digest").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select("digest"), "digests").df
+    if odd.isEmpty():  # as ever with 128 bits
+        return odd.select("digest", F.lit("").alias("canon"), F.lit("").alias("suffix"))
     rank = F.dense_rank().over(Window.partitionBy("digest").orderBy("canon"))
-    return canon.join(odd, "digest", "left_semi").distinct().select("digest", "canon", rank.alias("n")).where("n > 1").select("digest", "canon", F.concat(F.lit("-"), F.col("n")).alias("suffix"))
+    return some.join(odd, "digest", "left_semi").distinct().select("digest", "canon", rank.alias("n")).where("n > 1").select("digest", "canon", F.concat(F.lit("-"), F.col("n")).alias("suffix"))
 
 
 def _named(rows: DataFrame, odd: DataFrame, text: Column, digest_col: str, name: str) -> DataFrame:
@@ -57,8 +58,8 @@ def _named(rows: DataFrame, odd: DataFrame, text: Column, digest_col: str, name:
     if odd.isEmpty():
         return rows.withColumn(name, F.col(digest_col))
     few = odd.select(F.col("digest").alias("__d"), F.col("canon").alias("__c"), "suffix")
-    joined = rows.join(few, (F.col(digest_col) == F.col("__d")) & (canonical(text) == F.col("__c")), "left")
-    return joined.withColumn(name, F.concat(digest_col, F.coalesce("suffix", F.lit("")))).drop("__d", "__c", "suffix")
+    joined = rows.withColumn("__canon", canonical(text)).join(few, (F.col(digest_col) == F.col("__d")) & (F.col("__canon") == F.col("__c")), "left")
+    return joined.withColumn(name, F.concat(digest_col, F.coalesce("suffix", F.lit("")))).drop("__canon", "__d", "__c", "suffix")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,12 +123,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a
     if not firsts:
         return rows.select("doc_id", "text", F.lit("").alias("next"), *also, *(F.col(c).alias(f"next_{c}") for c in also))
     order = sorted(firsts)
-    starts = F.create_map(*(F.lit(x) for r in order for x in (r, firsts[r])))
-    before = F.create_map(*(F.lit(x) for i, r in enumerate(order) for x in (r, order[i - 1])))
+    edges = docs.sparkSession.createDataFrame([(r, firsts[r], order[i - 1]) for i, r in enumerate(order)], "r int, o long, before int").coalesce(1)
     head = F.row_number().over(Window.partitionBy("r").orderBy("text"))
-    heads = ranged.where(F.col("o") == F.element_at(starts, F.col("r"))).withColumn("k", head).where("k = 1")
+    heads = ranged.join(F.broadcast(edges), ["r", "o"]).withColumn("k", head).where("k = 1")
     both = ranged.withColumn("beyond", F.lit(False)).select("doc_id", "text", "o", "r", "beyond", *also)
-    both = both.union(heads.select("doc_id", "text", "o", F.element_at(before, F.col("r")), F.lit(True), *also))
+    both = both.union(heads.select("doc_id", "text", "o", "before", F.lit(True), *also))
     there = Window.partitionBy("r").orderBy("beyond", "o", "text")
     led = {"next": F.lead("text").over(there)} | {f"next_{c}": F.lead(c).over(there) for c in also}
     return both.withColumns(led).where("not beyond").select("doc_id", "text", "next", *also, *(f"next_{c}" for c in also))
