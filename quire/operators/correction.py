@@ -119,14 +119,19 @@ def correct_tokens(tokens: DataFrame, vocab: DataFrame, wider: bool = False) ->
 
 
 def correct_verses(verses: DataFrame, vocab: DataFrame, keys: list[str], wider: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(verses with their corrected text, change rows with keys, place and token)."""
-    parts = verses.select(*keys, F.posexplode(tokenise(F.col("text"))).alias("place", "word"))
+    """(verses with their corrected text, change rows with keys, place and token). keys: unique to a verse.
+
+    Only tokens that hold a misread character meet the corrections, and only those that change are
+    gathered by verse: spaces and common words, the hot keys of such a join, are never shuffled.
+    """
+    table = WIDER if wider else MISREAD
+    parts = verses.select(*keys, F.posexplode(tokenise(F.col("text"))).alias("place", "word")).where(F.col("word").rlike(f"[{''.join(table)}9]"))
     fixes = correct_tokens(parts.select("word").distinct(), vocab, wider)
-    told = parts.join(fixes, "word", "left")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", F.coalesce("output", "word").alias("w")))), lambda x: x["w"]), "")
-    fixed = told.groupBy(*keys).agg(text.alias("__text"))
-    out = verses.join(fixed, keys, "left").withColumn("text", F.coalesce("__text", "text")).drop("__text")
-    return out, told.where("action is not null").drop("output")
+    changes = parts.join(fixes, "word")
+    new = changes.where("output <> word").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("place", "output"))).alias("__new"))
+    text = F.array_join(F.transform(tokenise(F.col("text")), lambda w, i: F.coalesce(F.element_at("__new", i), w)), "")
+    out = verses.join(new, keys, "left").withColumn("text", F.when(F.col("__new").isNull(), F.col("text")).otherwise(text)).drop("__new")
+    return out, changes.drop("output")
 
 
 #: Patterns of `clean_artifacts`, in order, with what replaces them and the change's name (fixed values).
