@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: A word is a run of characters that are neither a space nor one of tab, \n, \v, \f, \r.
 #: `bytes.split()` splits on exactly these six, so Python code splits the UTF-8 form.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,6 +63,31 @@ def stored(df: DataFrame, hint: str) -> DataFrame:
     return Stored(df, hint).df
 
 
+def clear(spark: SparkSession) -> None:
+    """Removes all tables that operators stored; frames that read them must have been written or dropped."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quire")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut to `rows` rows, so that few texts are Python strings at once."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
+_held: tuple[tuple, object] | None = None
+
+
+def held(kind: str, key: object, make: Callable[[], T]) -> T:
+    """What a Python worker keeps between tasks: one object, so that operators don't pile up their memories."""
+    global _held
+    if _held is None or _held[0] != (kind, key):
+        _held = None
+        _held = ((kind, key), make())
+    return _held[1]
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null is the empty text."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]

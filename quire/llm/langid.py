@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal
+from .common import held, internal, sliced
 
 UNKNOWN = "und"
 #: First code points of script ranges and their names, in order (fixed values of the Unicode charts).
@@ -30,7 +30,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _BUCKETS, _ORDERS, _TOGETHER = 1 << 16, (1, 2, 3, 4), 20_000
 #: Documents a language that are fitted on at most (all, if it has fewer), chosen by a hash of the id.
 MAX_DOCS = 2000
-_REMEMBERED, _LONGEST, _BATCH = 400_000, 40, 3_000_000
+_REMEMBERED, _LONGEST, _BATCH = 300_000, 40, 3_000_000
 
 
 def script(word: str) -> str:
@@ -167,17 +167,6 @@ class Labeller:
             yield slice(lo, len(texts))
 
 
-_labellers: dict[int, Labeller] = {}
-
-
-def _labeller(model: Model) -> Labeller:
-    """One for each Python worker and model; it holds the model, so the key can't be used anew."""
-    if id(model) not in _labellers:
-        _labellers.clear()
-        _labellers[id(model)] = Labeller(model)
-    return _labellers[id(model)]
-
-
 def fit(rows: DataFrame, max_docs: int = MAX_DOCS, penalty: float = 8.0) -> Model:
     """rows: (doc_id, text, lang), lang not null. About `max_docs` documents a language, by a hash of the id."""
     spark = rows.sparkSession
@@ -190,7 +179,7 @@ def fit(rows: DataFrame, max_docs: int = MAX_DOCS, penalty: float = 8.0) -> Mode
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
-        for b in batches:
+        for b in sliced(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words[lang].update(_WORD.findall(text or ""))
         langs, keys, counts = [], [], []
@@ -246,9 +235,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = _labeller(shared.value)
+        labeller = held("langid", id(shared.value), lambda: Labeller(shared.value))  # it holds the model, so the id stays its own
         languages = labeller.model.languages
-        for b in batches:
+        for b in sliced(batches):
             langs, scores, every = [], [], []
             texts = [t or "" for t in b.column(at).to_pylist()]
             for words, labels in labeller.label(texts) if languages else (([], np.empty(0, np.int16)) for _ in texts):

@@ -22,12 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal, texts
+from .common import held, internal, sliced, texts
 
 #: White space that a space follows: there a run of white space crosses the cut before a space.
 _RUN = re.compile(r"\s ")
 #: Texts between spaces whose ids a Python worker remembers, and the longest of them.
-_REMEMBERED, _LONGEST = 400_000, 64
+_REMEMBERED, _LONGEST = 300_000, 64
 #: Documents that are encoded together.
 _TOGETHER = 1000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -79,17 +79,6 @@ class Tokenizer:
         return [self.plain(t) if c is None else self.plain(c[0]) + b"".join(map(self.parts.__getitem__, c[1:])) for t, c in zip(texts, cut, strict=True)]
 
 
-_tokenizers: dict[int, Tokenizer] = {}
-
-
-def tokenizer(ranks: bytes, pattern: str) -> Tokenizer:
-    """One for each Python worker and vocabulary."""
-    key = zlib.crc32(ranks)
-    if key not in _tokenizers:
-        _tokenizers[key] = Tokenizer(ranks, pattern)
-    return _tokenizers[key]
-
-
 class Packer:
     def __init__(self, window: int, first: int):
         self.window, self.next = window, first
@@ -176,14 +165,12 @@ def pack(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        packer, t = Packer(window, (task.partitionId() if task else 0) << 40), tokenizer(ranks.value, pattern)
-        for b in batches:
-            for lo in range(0, b.num_rows, _TOGETHER):
-                part = b.slice(lo, _TOGETHER)
-                for doc, ids in zip(part.column(0).to_pylist(), t.ids(texts(part)), strict=True):
-                    packer.add(doc, ids + end)
-                if len(packer.rows) >= 20_000:
-                    yield packer.batch()
+        packer, t = Packer(window, (task.partitionId() if task else 0) << 40), held("tokenizer", (zlib.crc32(ranks.value), pattern), lambda: Tokenizer(ranks.value, pattern))
+        for b in sliced(batches, _TOGETHER):
+            for doc, ids in zip(b.column(0).to_pylist(), t.ids(texts(b)), strict=True):
+                packer.add(doc, ids + end)
+            if len(packer.rows) >= 20_000:
+                yield packer.batch()
         packer.close()
         yield packer.batch()
 

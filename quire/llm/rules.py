@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, internal
+from .common import Stored, internal, sliced
 
 #: Symbols counted by n_symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -106,7 +106,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = [(s := stats(t), votes(t, s)) for t in ((x or "") for x in b.column(at).to_pylist())]
             cols = [pa.array([r[0][k] for r in rows], pa.int64()) for k in range(len(STATS))]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols, pa.array([r[1] for r in rows], pa.string())], [*b.schema.names, *(f"__{s}" for s in STATS), "__votes"])

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stored, internal, lower_words, stored, texts
+from .common import Stored, internal, lower_words, sliced, stored, texts
 from .graph import components
 
 #: Odd multipliers and shifts of the splitmix64 finaliser (fixed values), for the second and later words.
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id", te
     names = [f"f{k}" for k in range(spec.words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             f = np.array([fold(hashes(t, spec.shingle), spec.words) for t in texts(b)], np.int64).reshape(-1, spec.words)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f[:, k]) for k in range(spec.words))], ["doc_id", *names])
 

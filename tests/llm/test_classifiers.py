@@ -56,7 +56,7 @@ def test_ordinal_gradient_finds_ordered_grades():
     rows, cols = np.nonzero(x)
     w, cut = toxicity.ordinal(rows, cols, x[rows, cols], grade, k)
     p = toxicity._grades(cut, x @ w)
-    assert (np.diff(cut) > 0).all() and np.allclose(p.sum(1), 1) and (p.argmax(1) == grade).mean() > 0.85
+    assert (np.diff(cut) > 0).all() and np.allclose(p.sum(1), 1) and (p.argmax(1) == grade).mean() > 0.75 and (abs(p.argmax(1) - grade) <= 1).mean() > 0.98
     assert w[4] > w[0] > w[1] > max(w[2], w[3], w[5])
 
 
