@@ -1,15 +1,18 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Words and word pairs of the training texts are counted over all of them. A count c becomes the level
-1 + floor(log_1.5 c), and the filter holds (n-gram, 1), (n-gram, 2), ... up to its level: the level of
-an n-gram is how many memberships in a row hold, so an error can only raise a count, and by little.
-The filter is cut in shards by the n-gram's hash. Each shard is built by one task from the counts of
-its n-grams, so bits are never shuffled; all shards together are broadcast. Their size is known before
-they are built: BITS a membership, and no more than MAX_BITS in all (beyond that the same memberships
-share fewer bits, and errors get more frequent; none is left out).
+Words and word pairs of the training texts are counted over all of them. An n-gram is held by the filter
+if its share of the training tokens is at least WORD_SHARE or PAIR_SHARE (and a pair if it was seen twice):
+so there are at most 1 / share of each, however large the corpus. A count c becomes the level
+1 + floor(log_1.5 (c / least count held)), and the filter holds (n-gram, 1), (n-gram, 2), ... up to its level:
+the level of an n-gram is how many memberships in a row hold, so an error can only raise a count, and by
+little. As shares sum to 1 and levels are logarithms of shares, all levels together are at most 1.7 / share
+(the greatest n (1 + log_1.5 (1 / (n share)))), and BITS a membership keep the filter under 256 MB.
+
+The filter is cut in shards by the n-gram's hash. Each shard is built by one task from the counts of its
+n-grams, so bits are never shuffled; all shards together are broadcast.
 
 The probability of a word after another mixes the pair's relative frequency with the word's add-one
-frequency, both from the filter.
+frequency, both from the filter; words that are not held share the mean count of those left out.
 """
 
 from __future__ import annotations
@@ -27,10 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import Stored, internal, lower_words
 
-#: Bits and probes of a membership; bits of all shards together at most (256 MB).
-BITS, PROBES, MAX_BITS = 10, 4, 1 << 31
-#: Pairs seen once are not held (words are): a pair's frequency needs two sightings.
-PAIR_COUNT = 2
+#: Bits and probes of a membership.
+BITS, PROBES = 10, 4
+#: The least shares of the training tokens that words and pairs are held for; the least count of a pair.
+WORD_SHARE, PAIR_SHARE, PAIR_COUNT = 2e-8, 2e-8, 2
 #: n-grams of a task's share that are counted at once, and training tokens for each shard.
 _BLOCK, _PER_SHARD = 4_000_000, 1_000_000
 #: The most frequent words, whose exact counts are broadcast; other words' counts are joined.
@@ -41,20 +44,17 @@ _END = b"\n"  # never a word
 _TOP = 80  # levels: 1.5 ** 79 is over 10 ** 13
 
 
-def level_of(count: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(np.maximum(count, 1)) / np.log(_BASE) + 1e-9).astype(np.int64)
-
-
-def _values() -> np.ndarray:
-    """The count that a level stands for: the mean of the whole numbers that have it (0 for level 0)."""
-    out = np.zeros(_TOP + 1)
-    for k in range(1, _TOP + 1):
-        lo, hi = np.ceil(_BASE ** (k - 1) - 1e-9), np.ceil(_BASE**k - 1e-9) - 1
-        out[k] = (lo + max(lo, hi)) / 2
-    return out
+def level_of(count: np.ndarray, least: float = 1.0) -> np.ndarray:
+    """0 below `least`, else 1 + floor(log_1.5 (count / least))."""
+    ratio = np.asarray(count, float) / least
+    return np.where(ratio < 1, 0, 1 + np.floor(np.log(np.maximum(ratio, 1)) / np.log(_BASE) + 1e-9)).astype(np.int64)
 
 
-VALUES = _values()
+def values(least: float = 1.0, none: float = 0.0) -> np.ndarray:
+    """The count that each level stands for: the middle of the whole numbers that have it; `none` for level 0."""
+    k = np.arange(1, _TOP + 1)
+    lo, hi = np.ceil(least * _BASE ** (k - 1) - 1e-9), np.ceil(least * _BASE**k - 1e-9) - 1
+    return np.concatenate([[none], (lo + np.maximum(lo, hi)) / 2])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -88,9 +88,9 @@ def _positions(h: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
     return [(a + np.uint64(i) * b) % np.uint64(bits) for i in range(PROBES)]
 
 
-def build_shard(h: np.ndarray, count: np.ndarray, bits: int) -> np.ndarray:
+def build_shard(h: np.ndarray, level: np.ndarray, bits: int) -> np.ndarray:
     """The shard's bits, as bytes, with all memberships of its n-grams."""
-    out, level = np.zeros((bits + 7) // 8, np.uint8), level_of(count)
+    out = np.zeros((bits + 7) // 8, np.uint8)
     for k in range(1, int(level.max(initial=0)) + 1):
         for p in _positions(h[level >= k], k, bits):
             np.bitwise_or.at(out, (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8))
@@ -99,11 +99,14 @@ def build_shard(h: np.ndarray, count: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Filter:
-    """shards: the bytes of all, one after the other; start: first byte of each; bits: bits of each."""
+    """shards: the bytes of all, one after the other; start: first byte of each; bits: bits of each; words,
+    pairs: the counts that levels stand for."""
 
     shards: np.ndarray
     start: np.ndarray
     bits: np.ndarray
+    words: np.ndarray
+    pairs: np.ndarray
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """Of each n-gram hash; repeated membership probes, each for what passed the one before."""
@@ -218,10 +221,10 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return u.astype(np.uint64), np.bincount(at, n, len(u)).astype(np.int64)
 
 
-def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str, bits: int = BITS, max_bits: int = MAX_BITS, pair_count: int = PAIR_COUNT) -> Filter:
+def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Filter:
     """The filter of `docs` (the training rows) and their words."""
     shards = max(1, -(-tokens // _PER_SHARD))
-    most = max_bits // shards
+    least_word, least_pair = max(1.0, word_share * tokens), max(float(PAIR_COUNT), pair_share * tokens)
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
         import pyarrow.compute as pc
@@ -229,16 +232,15 @@ def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str,
         pairs = table.column("pair")
         h2, n2 = _unpack(table.filter(pairs))
         h1, n1 = _unpack(table.filter(pc.invert(pairs)))
-        h2, n2 = h2[n2 >= pair_count], n2[n2 >= pair_count]
-        # a pair that has a word's hash adds to it
-        h, n = np.concatenate([h1, h2]), np.concatenate([n1, n2])
-        m = int(min(most, max(64, bits * level_of(n).sum())))
-        out = build_shard(h, n, m) if len(h) else np.zeros(0, np.uint8)
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([m if len(h) else 0], pa.int64()), "data": pa.array([out.tobytes()], pa.binary())})
+        h, level = np.concatenate([h1, h2]), np.concatenate([level_of(n1, least_word), level_of(n2, least_pair)])
+        h, level = h[level > 0], level[level > 0]
+        m = int(max(64, BITS * level.sum())) if len(h) else 0
+        out = build_shard(h, level, m)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([m], pa.int64()), "data": pa.array([out.tobytes()], pa.binary())})
 
     shares = pair_shares(docs, text_col, shards).withColumn("pair", F.lit(True)).union(word_shares(words, shards).withColumn("pair", F.lit(False)))
     built = Stored(shares.groupBy("shard").applyInArrow(build, "shard int, bits long, data binary"), "lm-filter")
-    rows = {r["shard"]: r for r in built.df.toLocalIterator()}  # max_bits in all
+    rows = {r["shard"]: r for r in built.df.toLocalIterator()}  # under 256 MB in all
     built.drop()
     size = np.zeros(shards, np.int64)
     for s, r in rows.items():
@@ -248,7 +250,8 @@ def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str,
     data = np.zeros(int(lens.sum()), np.uint8)
     for s in list(rows):
         data[start[s] : start[s] + lens[s]] = np.frombuffer(rows.pop(s)["data"], np.uint8)
-    return Filter(data, start, size)
+    left = words.where((F.col("train") > 0) & (F.col("train") < least_word)).agg(F.sum("train").alias("n"), F.count("*").alias("k")).first()
+    return Filter(data, start, size, values(least_word, (left["n"] or 0) / (left["k"] + 1)), values(least_pair))
 
 
 def pair_weight(before: np.ndarray) -> np.ndarray:
@@ -259,8 +262,8 @@ def pair_weight(before: np.ndarray) -> np.ndarray:
 def score(h: np.ndarray, f: Filter, total: int, kinds: int) -> np.ndarray:
     """log10 probabilities of the words h[1:] each after the one before."""
     uniq, at = np.unique(h, return_inverse=True)
-    one = VALUES[f.levels(uniq)][at]
-    two = VALUES[f.levels(pair_hashes(h))]
+    one = f.words[f.levels(uniq)][at]
+    two = f.pairs[f.levels(pair_hashes(h))]
     before, own = one[:-1], one[1:]
     w = pair_weight(before)
     p = (1 - w) * (own + 1) / (total + kinds + 1) + w * np.minimum(1.0, two / np.maximum(before, 1))

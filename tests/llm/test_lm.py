@@ -40,16 +40,25 @@ def test_filter_holds_levels_and_errs_upwards():
     count = rng.geometric(0.3, len(h)) ** 3
     level = lm.level_of(count)
     bits = int(lm.BITS * level.sum())
-    f = lm.Filter(lm.build_shard(h, count, bits), np.zeros(1, np.int64), np.array([bits]))
+    f = lm.Filter(lm.build_shard(h, level, bits), np.zeros(1, np.int64), np.array([bits]), lm.values(), lm.values(2))
     got = f.levels(h)
     assert (got >= level).all() and (got == level).mean() > 0.97
     assert (f.levels(rng.integers(0, 1 << 48, 20_000, dtype=np.uint64)) > 0).mean() < 0.03
 
 
-def test_levels_and_values():
+@pytest.mark.parametrize("least", [1.0, 2.0, 2.7, 1000.0])
+def test_levels_and_values(least):
     c = np.array([1, 2, 3, 4, 5, 7, 8, 11, 12, 1000, 10**9])
-    assert (np.diff(lm.level_of(c)) >= 0).all() and lm.level_of(np.array([1]))[0] == 1
-    assert (abs(lm.VALUES[lm.level_of(c)] - c) <= 0.25 * c).all() and lm.VALUES[0] == 0
+    level = lm.level_of(c, least)
+    assert (np.diff(level) >= 0).all() and ((level == 0) == (c < least)).all()
+    held = c[level > 0]
+    assert (abs(lm.values(least)[level[level > 0]] - held) <= 0.25 * held).all() and lm.values(least, 0.5)[0] == 0.5
+    assert lm.level_of(np.array([1]))[0] == 1 and lm.values()[1] == 1
+
+
+def test_the_filter_is_bounded_by_shares():
+    for n in (10, 1000, 10**6):  # n equal n-grams, with shares of 1 / n, at a share of 1e-6
+        assert n * lm.level_of(np.array([1 / n]), 1e-6)[0] <= 1.7e6
 
 
 def test_score_beats_the_base_on_held_out_documents(spark):
@@ -57,6 +66,13 @@ def test_score_beats_the_base_on_held_out_documents(spark):
     assert rows["s"] > rows["b"]
 
 
+def test_rare_words_share_the_mean_of_what_is_left_out(spark):
+    docs = spark.createDataFrame([(i, f"common common rare{i} twice{i // 2}") for i in range(40)], "doc_id long, text string")
+    words = lm.word_counts(docs, "doc_id", "text", F.lit(True))
+    f = lm.train_filter(docs, words, 200, "text", word_share=0.02)
+    assert f.words[0] == pytest.approx((40 + 40) / (60 + 1)) and f.words[1] >= 4
+
+
 def test_odd_rows(spark, odd, empty):
     rows = lm.score_documents(odd, F.lit(True)).collect()
     assert len(rows) == odd.count() and min(r["n_tokens"] for r in rows) == 1 and all(r["n_known"] == r["n_tokens"] for r in rows)
