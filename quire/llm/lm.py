@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, internal, lower_words
+from .common import Stored, internal, lower_words, sliced
 
 #: Bits and probes of a membership.
 BITS, PROBES = 10, 4
@@ -74,7 +74,7 @@ class Hashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, 1) & ((1 << 48) - 1)
-        if len(self) < 500_000 and len(word) <= 48:
+        if len(self) < 300_000 and len(word) <= 48:
             self[word] = h
         return h
 
@@ -145,7 +145,7 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, train: Column) -> D
             every[True], every[False] = Counter(), Counter()
             return pa.RecordBatch.from_arrays([w, pa.array(n), pa.array(t)], ["word", "n", "train"])
 
-        for b in batches:
+        for b in sliced(batches):
             for text, is_train in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 c = every[bool(is_train)]
                 c.update(lower_words(text or ""))
@@ -178,7 +178,7 @@ def pair_shares(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
                 ["shard", "hashes", "counts"],
             )
 
-        for b in batches:
+        for b in sliced(batches):
             for text in b.column(0).to_pylist():
                 w = [_END, *lower_words(text or ""), _END]
                 got.append(pair_hashes(np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))))
@@ -299,7 +299,7 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
         task = TaskContext.get()
         row, top, f = (task.partitionId() if task else 0) << 40, known.value, filt.value
         norm = np.log10(total + kinds + 1.0)
-        for b in batches:
+        for b in sliced(batches):
             out: list[tuple] = []
             texts = [t or "" for t in b.column(1).to_pylist()]
             for lo in range(0, len(texts), 500):
