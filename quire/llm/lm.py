@@ -1,22 +1,21 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Words and word pairs of the training texts are counted over all of them. An n-gram is held by the filter
-if its share of the training tokens is at least WORD_SHARE or PAIR_SHARE (and a pair if it was seen twice):
-so there are at most 1 / share of each, however large the corpus. A count c becomes the level
+Words and word pairs of the training texts are counted over all of them. Every word is held by the filter, and
+every pair that was seen twice, however large the corpus. A count c becomes the level
 1 + floor(log_1.5 (c / least count held)), and the filter holds (n-gram, 1), (n-gram, 2), ... up to its level:
-the level of an n-gram is how many memberships in a row hold, so an error can only raise a count, and by
-little. As shares sum to 1 and levels are logarithms of shares, all levels together are at most 1.7 / share
-(the greatest n (1 + log_1.5 (1 / (n share)))), and BITS a membership keep the filter under 256 MB.
+the level of an n-gram is how many memberships in a row hold, so an error can only raise a count, and by little.
 
-The filter is cut in shards by the n-gram's hash. Each shard is built by one task from the counts of its
-n-grams, so bits are never shuffled; all shards together are broadcast.
+The filter grows with the corpus, so it is never in one place: it is cut in shards by the n-gram's hash. Texts are
+kept as word hashes in chunks. A chunk sends each of its distinct n-grams once to the n-gram's shard, with its
+count in training rows; one task builds the shard from them, probes it, and sends their levels back.
 
 The probability of a word after another mixes the pair's relative frequency with the word's add-one
-frequency, both from the filter; words that are not held share the mean count of those left out.
+frequency, both from the filter.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,10 +31,10 @@ from .common import Stored, internal, lower_words, sliced
 
 #: Bits and probes of a membership.
 BITS, PROBES = 10, 4
-#: The least shares of the training tokens that words and pairs are held for; the least count of a pair.
-WORD_SHARE, PAIR_SHARE, PAIR_COUNT = 2e-8, 2e-8, 2
-#: n-grams of a task's share that are counted at once, and training tokens for each shard.
-_BLOCK, _PER_SHARD = 4_000_000, 1_000_000
+#: The least count of a pair that is held.
+PAIR_COUNT = 2
+#: Tokens of a chunk, and training tokens for each shard.
+_BLOCK, _PER_SHARD = 1_500_000, 1_000_000
 #: The most frequent words, whose exact counts are broadcast; other words' counts are joined.
 FREQUENT = 100_000
 _BASE = 1.5
@@ -221,8 +220,11 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return u.astype(np.uint64), np.bincount(at, n, len(u)).astype(np.int64)
 
 
-def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Filter:
-    """The filter of `docs` (the training rows) and their words."""
+def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str, word_share: float = 0.0, pair_share: float = 0.0) -> Filter:
+    """The whole filter of `docs` (the training rows) and their words in one place, for corpora whose filter fits there.
+
+    `score_documents` takes the same levels from shards. Above 0, the shares leave out n-grams with less of the tokens.
+    """
     shards = max(1, -(-tokens // _PER_SHARD))
     least_word, least_pair = max(1.0, word_share * tokens), max(float(PAIR_COUNT), pair_share * tokens)
 
@@ -240,7 +242,7 @@ def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str,
 
     shares = pair_shares(docs, text_col, shards).withColumn("pair", F.lit(True)).union(word_shares(words, shards).withColumn("pair", F.lit(False)))
     built = Stored(shares.groupBy("shard").applyInArrow(build, "shard int, bits long, data binary"), "lm-filter")
-    rows = {r["shard"]: r for r in built.df.toLocalIterator()}  # under 256 MB in all
+    rows = {r["shard"]: r for r in built.df.toLocalIterator()}
     built.drop()
     size = np.zeros(shards, np.int64)
     for s, r in rows.items():
@@ -259,17 +261,130 @@ def pair_weight(before: np.ndarray) -> np.ndarray:
     return 0.5 * before / (before + 1000.0)
 
 
-def score(h: np.ndarray, f: Filter, total: int, kinds: int) -> np.ndarray:
-    """log10 probabilities of the words h[1:] each after the one before."""
-    uniq, at = np.unique(h, return_inverse=True)
-    one = f.words[f.levels(uniq)][at]
-    two = f.pairs[f.levels(pair_hashes(h))]
-    before, own = one[:-1], one[1:]
+def score(before: np.ndarray, own: np.ndarray, pair: np.ndarray, total: int, kinds: int) -> np.ndarray:
+    """log10 probabilities of words, from the counts of the words before them, their own and the pairs'."""
     w = pair_weight(before)
-    p = (1 - w) * (own + 1) / (total + kinds + 1) + w * np.minimum(1.0, two / np.maximum(before, 1))
+    p = (1 - w) * (own + 1) / (total + kinds + 1) + w * np.minimum(1.0, pair / np.maximum(before, 1))
     return np.log10(p)
 
 
+_CHUNK = "chunk long, hashes binary, at binary, lens binary, learned binary"
+
+
+def _six(h: np.ndarray) -> np.ndarray:
+    """48-bit hashes as rows of six bytes."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _from_six(data: bytes) -> np.ndarray:
+    h = np.zeros((len(data) // 6, 8), np.uint8)
+    h[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return h.view("<u8").ravel().astype(np.uint64)
+
+
+def _by_shard(h: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order of their shards, the place of each of `h` among them, and the shards' edges."""
+    u, at = np.unique(h, return_inverse=True)
+    shard = (u % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    place = np.empty(len(u), np.int64)
+    place[order] = np.arange(len(u))
+    return u[order], place[at], np.searchsorted(shard[order], np.arange(shards + 1))
+
+
+@dataclass
+class Chunk:
+    """Texts as word hashes, each text with an end before it and one after it.
+
+    hashes: of the distinct words; at: the word of each token (read from compressed byte planes); lens: tokens of each text; learned: whether it
+    is learned from; inner: tokens that are not the end before a text.
+    """
+
+    hashes: np.ndarray
+    at: np.ndarray
+    lens: np.ndarray
+    learned: np.ndarray
+
+    @classmethod
+    def read(cls, hashes: bytes, at: bytes, lens: bytes, learned: bytes) -> Chunk:
+        planes = np.frombuffer(zlib.decompress(at), np.uint8).reshape(4, -1)
+        return cls(_from_six(hashes), np.ascontiguousarray(planes.T).view("<u4").ravel(), np.frombuffer(lens, "<u4").astype(np.int64), np.frombuffer(learned, np.uint8))
+
+    @property
+    def inner(self) -> np.ndarray:
+        out = np.ones(len(self.at), bool)
+        out[np.cumsum(self.lens) - self.lens] = False
+        return out
+
+    def pairs(self) -> np.ndarray:
+        """The hash of each inner token's pair."""
+        return pair_hashes(self.hashes[self.at])[self.inner[1:]]
+
+
+def chunk_shares(chunks: DataFrame, shards: int) -> DataFrame:
+    """(chunk, shard, words, word_counts, pairs, pair_counts): the n-grams of each chunk by shard, with their training counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                name, *parts = (x[i].as_py() for x in b.columns)
+                c = Chunk.read(*parts)
+                inner, learned = c.inner, np.repeat(c.learned, c.lens)
+                w, at, ends = _by_shard(c.hashes, shards)
+                n = np.bincount(at[c.at[inner]], learned[inner], len(w)).astype("<u4")
+                p, at2, ends2 = _by_shard(c.pairs(), shards)
+                n2 = np.bincount(at2, learned[inner], len(p)).astype("<u4")
+                some = [s for s in range(shards) if ends[s] < ends[s + 1] or ends2[s] < ends2[s + 1]]
+                cut = lambda x, e: pa.array([x[e[s] : e[s + 1]].tobytes() for s in some], pa.binary())  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(some), pa.int64()), pa.array(some, pa.int32()), cut(_six(w), ends), cut(n, ends), cut(_six(p), ends2), cut(n2, ends2)],
+                    ["chunk", "shard", "words", "word_counts", "pairs", "pair_counts"],
+                )
+
+    return chunks.mapInArrow(run, "chunk long, shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
+
+
+def shard_levels(shares: DataFrame) -> DataFrame:
+    """(chunk, shard, words, pairs): the levels of the n-grams of each of `shares`, one byte each, in their order."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        sums = []
+        for hashes, counts in (("words", "word_counts"), ("pairs", "pair_counts")):
+            lens = [len(x) // 6 for x in table.column(hashes).to_pylist()]
+            u, at = np.unique(_from_six(b"".join(table.column(hashes).to_pylist())), return_inverse=True)
+            n = np.bincount(at, np.frombuffer(b"".join(table.column(counts).to_pylist()), "<u4"), len(u)).astype(np.int64)
+            sums.append((u, at, np.cumsum([0, *lens]), level_of(n, PAIR_COUNT if hashes == "pairs" else 1)))
+        h, level = np.concatenate([u for u, *_ in sums]), np.concatenate([x for *_, x in sums])
+        h, level = h[level > 0], level[level > 0]
+        bits = max(64, BITS * int(level.sum())) if len(h) else 0
+        f = Filter(build_shard(h, level, bits), np.zeros(1, np.int64), np.array([bits]), values(), values(PAIR_COUNT))
+        cols = []
+        for u, at, edges, _ in sums:
+            got = f.levels(u).astype(np.uint8)[at]
+            cols.append(pa.array([got[lo:hi].tobytes() for lo, hi in zip(edges[:-1], edges[1:], strict=True)], pa.binary()))
+        return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "words": cols[0], "pairs": cols[1]})
+
+    return shares.groupBy("shard").applyInArrow(run, "chunk long, shard int, words binary, pairs binary")
+
+
+def chunk_scores(chunks: DataFrame, levels: DataFrame, shards: int, total: int, kinds: int) -> DataFrame:
+    """(row, score): of each text; the rows of a chunk are numbered from its name on."""
+
+    def run(key: tuple, chunk: pa.Table, levels: pa.Table) -> pa.Table:
+        first, *parts = (chunk.column(i)[0].as_py() for i in range(5))
+        c = Chunk.read(*parts)
+        by = levels.sort_by("shard")
+        words, pairs = (np.frombuffer(b"".join(by.column(n).to_pylist()), np.uint8) for n in ("words", "pairs"))
+        one = values()[words][_by_shard(c.hashes, shards)[1]][c.at]
+        two = values(PAIR_COUNT)[pairs][_by_shard(c.pairs(), shards)[1]]
+        inner = c.inner[1:]
+        logs = score(one[:-1][inner], one[1:][inner], two, total, kinds)
+        inside = c.lens - 1  # at least the end
+        return pa.table({"row": pa.array(np.arange(first, first + len(inside))), "score": pa.array(np.add.reduceat(logs, np.cumsum(inside) - inside))})
+
+    return chunks.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(run, "row long, score double")
+
+
 def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, trained, n_tokens, n_known, train_tokens, base_score, score), one row for each of `docs`.
 
@@ -293,41 +408,64 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
         least = r["n"]
     top = {bytes(r["word"]): r["train"] for r in words.where(F.col("n") >= least).select("word", "train").collect()}  # at most `frequent` rows
     known = spark.sparkContext.broadcast(top)
-    filt = spark.sparkContext.broadcast(train_filter(docs.where(train).select(text_col), words, total, text_col))
+
+    told = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), train.alias("trained"))
+    kind = told.schema["doc_id"].dataType.simpleString()
+    doc = f"row long, doc_id {kind}, trained boolean, n_tokens long, known long, base double, words array<binary>, times array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        row, top, f = (task.partitionId() if task else 0) << 40, known.value, filt.value
-        norm = np.log10(total + kinds + 1.0)
-        for b in sliced(batches):
-            out: list[tuple] = []
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for lo in range(0, len(texts), 500):
-                tokens = [[_END, *lower_words(t), _END] for t in texts[lo : lo + 500]]
-                lens = np.fromiter(map(len, tokens), np.int64, len(tokens))
-                h = np.fromiter((_hashes[w] for ws in tokens for w in ws), np.uint64, int(lens.sum()))
-                logs = np.concatenate([[0.0], np.cumsum(np.concatenate([[0.0], score(h, f, total, kinds)]))])
-                ends = np.cumsum(lens)
-                for ws, e, n in zip(tokens, ends.tolist(), lens.tolist(), strict=True):
-                    c = Counter(ws[1:])
-                    own = [(w, k, top[w]) for w, k in c.items() if w in top]
-                    rest = [(w, k) for w, k in c.items() if w not in top]
-                    base = float(np.dot([k for _, k, _ in own], np.log10(np.array([x for *_, x in own], float) + 1))) if own else 0.0
-                    out.append((n - 1, sum(k for _, k, x in own if x), base, float(logs[e] - logs[e - n + 1]), [w for w, _ in rest], [k for _, k in rest]))
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(row, row + len(out)), pa.int64()), b.column(0), b.column(2), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())), strict=True))],
-                ["row", "doc_id", "trained", "n_tokens", "known", "base", "score", "words", "times"],
-            )
-            row += len(out)
-        del norm
+        row, top = (task.partitionId() if task else 0) << 40, known.value
+        first, got, lens, learned = row, [], [], []
+        types = {"row": pa.int64(), "doc_id": None, "trained": pa.bool_(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "words": pa.list_(pa.binary()), "times": pa.list_(pa.int64())}
+        types |= {"chunk": pa.int64(), "hashes": pa.binary(), "at": pa.binary(), "lens": pa.binary(), "learned": pa.binary()}
+
+        def table(n: int, **cols) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([c if isinstance(c := cols.get(k), pa.Array) else pa.array(c, t) if c is not None else pa.nulls(n, t) for k, t in types.items()], list(types))
+
+        def chunk() -> pa.RecordBatch:
+            u, at, n = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")  # frequent words get low numbers, whose bytes compress
+            place = np.empty(len(u), "<u4")
+            place[order] = np.arange(len(u))
+            planes = np.ascontiguousarray(place[at].view(np.uint8).reshape(-1, 4).T)
+            return table(1, chunk=[first], hashes=[_six(u[order]).tobytes()], at=[zlib.compress(planes.tobytes(), 1)], lens=[np.array(lens, "<u4").tobytes()], learned=[np.array(learned, np.uint8).tobytes()])
 
-    told = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), train.alias("trained"))
-    kind = told.schema["doc_id"].dataType.simpleString()
-    rows = Stored(told.mapInArrow(run, f"row long, doc_id {kind}, trained boolean, n_tokens long, known long, base double, score double, words array<binary>, times array<long>"), "lm-rows").df
+        size = 0
+        for b in sliced(batches, 500):
+            types["doc_id"] = b.column(0).type
+            out: list[tuple] = []
+            for text, trained in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                ws = [_END, *lower_words(text or ""), _END]
+                got.append(np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws)))
+                lens.append(len(ws))
+                learned.append(bool(trained))
+                size += len(ws)
+                c = Counter(ws[1:])
+                own = [(k, top[w]) for w, k in c.items() if w in top]
+                rest = [(w, k) for w, k in c.items() if w not in top]
+                base = float(np.dot([k for k, _ in own], np.log10(np.array([x for _, x in own], float) + 1))) if own else 0.0
+                out.append((row, len(ws) - 1, sum(k for k, x in own if x), base, [w for w, _ in rest], [k for _, k in rest]))
+                row += 1
+                if size > _BLOCK:
+                    yield chunk()
+                    first, size = row, 0
+                    got, lens, learned = [], [], []
+            if out:
+                cols = dict(zip(("row", "n_tokens", "known", "base", "words", "times"), map(list, zip(*out, strict=True)), strict=True))
+                yield table(len(out), doc_id=b.column(0), trained=b.column(2), **cols)
+        if lens:
+            yield chunk()
+
+    kept = Stored(told.mapInArrow(run, f"{doc}, {_CHUNK}"), "lm-rows").df
+    rows = kept.where("row is not null").drop("chunk", "hashes", "at", "lens", "learned")
+    chunks = kept.where("chunk is not null").select("chunk", "hashes", "at", "lens", "learned")
+    shards = max(1, -(-total // _PER_SHARD))
+    levels = Stored(shard_levels(chunk_shares(chunks, shards)), "lm-levels").df  # stored one by one, so that shuffles can go
+    scores = Stored(chunk_scores(chunks, levels, shards, total, kinds), "lm-scores").df
     rare = rows.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
     found = rare.join(words.where(F.col("n") < least).select("word", "train"), "word")
     more = found.where("train > 0").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("train") + 1.0)).alias("logs"))
-    joined = rows.drop("words", "times").join(more, "row", "left")
+    joined = rows.drop("words", "times").join(more, "row", "left").join(scores, "row")
     base = F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(total + kinds + 1.0)))
     return joined.select("doc_id", "trained", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

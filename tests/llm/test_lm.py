@@ -79,3 +79,36 @@ def test_odd_rows(spark, odd, empty):
     none = lm.score_documents(odd, F.lit(False)).collect()
     assert {r["n_known"] for r in none} == {0} == {r["train_tokens"] for r in none}
     assert lm.score_documents(empty, F.lit(True)).collect() == []
+
+
+def test_every_word_and_pair_is_held_at_every_size(spark):
+    docs = spark.createDataFrame([(i, f"common common rare{i} twice{i // 2}") for i in range(40)], "doc_id long, text string")
+    words = lm.word_counts(docs, "doc_id", "text", F.lit(True))
+    f = lm.train_filter(docs, words, 10**10, "text")  # as many tokens as a corpus of some 60 GB has
+    h = np.array([lm._hashes[w] for w in (b"rare7", b"twice3", b"never seen")], np.uint64)
+    assert f.words[f.levels(h)].tolist() == [1, 2, 0]
+    assert f.pairs[f.levels(lm.pair_hashes(np.array([lm._hashes[w] for w in (b"common", b"common")], np.uint64)))][0] >= 30
+
+
+@pytest.mark.parametrize("block, per_shard", [(lm._BLOCK, lm._PER_SHARD), (3000, 5000)])
+def test_shards_score_as_counts_do(spark, monkeypatch, block, per_shard):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(3)
+    train = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    rows = [(r["doc_id"], tokens(r["text"])) for r in docs.collect()]
+    words = Counter(w for i, t in rows if train(i) for w in t)
+    pairs = Counter(p for i, t in rows if train(i) for p in zip([b"\n", *t], t))  # noqa: B905
+    total, kinds = sum(words.values()), len(words)
+    one, two = lm.values(), lm.values(2)
+    level = lambda n, least: int(lm.level_of(np.array([n]), least)[0])
+    monkeypatch.setattr(lm, "_BLOCK", block)
+    monkeypatch.setattr(lm, "_PER_SHARD", per_shard)
+    from quire.llm.common import held_out
+
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(docs, ~held_out(F.col("doc_id"), 7, 2)).collect()}
+    off = []
+    for i, t in rows:
+        count = [one[level(words[w], 1)] for w in [b"\n", *t]]
+        pair = [two[level(pairs[p], 2)] for p in zip([b"\n", *t], t)]  # noqa: B905
+        want = lm.score(np.array(count[:-1]), np.array(count[1:]), np.array(pair), total, kinds).sum()
+        off.append(abs(got[i] - want) / abs(want))
+    assert len(got) == len(rows) and max(off) < 0.1 and np.mean(off) < 0.01  # errors of the filter
