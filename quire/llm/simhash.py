@@ -9,7 +9,9 @@ number of differing bits of the whole fingerprint, and connected components foll
 
 With one block whose radius is the limit, rows that share a variant are within the radius of each
 other, so these ties give exactly the components of the full link graph. With several blocks the
-candidates are those that agree in at least one block within the radius.
+candidates are those that agree in at least one block within the radius, and rows of a variant need not
+be within the limit of each other: where a variant's rows are still in several components after the ties,
+all rows of different components are compared, in pieces, and what links is tied.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from .graph import components
 #: Odd multipliers and shifts of the splitmix64 finaliser (fixed values), for the second and later words.
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 _CHUNK = 1 << 15
+#: Rows of a piece of a crowded variant; two pieces are compared at once.
+_PIECE = 2000
 
 
 @dataclass(frozen=True)
@@ -122,8 +126,8 @@ def differing(spec: Spec, a: str = "", b: str = "o") -> Column:
     return sum((F.bit_count(F.col(f"{a}f{k}").bitwiseXOR(F.col(f"{b}f{k}"))) for k in range(1, spec.words)), F.bit_count(F.col(f"{a}f0").bitwiseXOR(F.col(f"{b}f0"))))
 
 
-def candidate_pairs(nodes: DataFrame, spec: Spec) -> DataFrame:
-    """Distinct pairs (a > b) of ids that meet in a variant. nodes: (id, f0, ...), distinct fingerprints.
+def _keyed(nodes: DataFrame, spec: Spec, *also: str) -> DataFrame:
+    """(id, v, and the columns `also`): the variants of each node.
 
     An odd radius would need one side to emit one more flip, so radii are even.
     """
@@ -131,19 +135,62 @@ def candidate_pairs(nodes: DataFrame, spec: Spec) -> DataFrame:
         raise ValueError("the radius must be even and blocks must divide 64 bits")
     blocks = F.array(*(F.struct(F.lit(k).cast("byte").alias("k"), _block(spec, k).alias("x")) for k in range(spec.blocks)))
     if spec.blocks == 1:
-        rows = nodes.select("id", F.lit(0).cast("byte").alias("k"), _block(spec, 0).alias("x"))
+        rows = nodes.select("id", *also, F.lit(0).cast("byte").alias("k"), _block(spec, 0).alias("x"))
     else:
-        rows = nodes.select("id", F.inline(blocks))
+        rows = nodes.select("id", *also, F.inline(blocks))
     variants = F.transform(F.array(*map(F.lit, _masks(spec))), lambda m: m.cast("long").bitwiseXOR(F.col("x")))
-    keyed = rows.select("id", "k", F.explode(variants).alias("v"))
+    keyed = rows.select("id", *also, "k", F.explode(variants).alias("v"))
     if spec.blocks > 1:  # one long as key: the block's number above its bits
-        keyed = keyed.select("id", F.shiftleft(F.col("k").cast("long"), spec.bits).bitwiseOR(F.col("v")).alias("v"))
+        keyed = keyed.select("id", *also, F.shiftleft(F.col("k").cast("long"), spec.bits).bitwiseOR(F.col("v")).alias("v"))
+    return keyed.select("id", "v", *also)
+
+
+def candidate_pairs(nodes: DataFrame, spec: Spec) -> DataFrame:
+    """Distinct pairs (a > b) of ids that are tied in a variant. nodes: (id, f0, ...), distinct fingerprints."""
+    keyed = _keyed(nodes, spec)
     near = Window.partitionBy("v").orderBy("id")
     met = keyed.select("id", F.first("id").over(near).alias("least"), F.lag("id").over(near).alias("before")).where("before is not null")
     ties = [F.col("least")] if spec.blocks == 1 else [F.col("least"), F.col("before")]
     return met.select(F.col("id").alias("a"), F.explode(F.array(*ties)).alias("b")).distinct()
 
 
+def crowded_links(nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
+    """(a, b): links between components `roots` that ties missed. nodes: (id, f0, ...), distinct fingerprints.
+
+    Ties test all pairs of up to three rows of a variant. Of larger variants with rows in several components
+    (those with the same rows count once) every two rows meet in a pair of pieces, where those of different
+    components are compared; a piece pair returns a link only if it joins what its other links have not.
+    """
+    piece = piece or _PIECE
+    names = [f"f{k}" for k in range(spec.words)]
+    told = nodes.join(roots, nodes["id"] == roots["node"], "left").select("id", *names, F.coalesce("component", "id").alias("c"))
+    told = Stored(told, "simhash-told").df
+    keyed = _keyed(told, spec, "c")
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(f"m{k}") for k in range(2)]
+    groups = keyed.groupBy("v").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), *marks).where("n > 3 and lo <> hi")
+    crowded = Stored(groups.groupBy("n", "m0", "m1").agg(F.min("v").alias("v")).select("v", F.ceil(F.col("n") / piece).cast("int").alias("pieces")), "simhash-crowded").df
+    rows = keyed.select("id", "v").join(crowded, "v").withColumn("p", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    met = rows.select("id", "v", "p", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("q"))
+    met = met.select("id", "v", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).join(told, "id")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        ids, c = (table.column(n).to_numpy() for n in ("id", "c"))
+        f = np.stack([table.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
+        c = np.unique(c, return_inverse=True)[1]
+        a, b = [], []
+        for i in range(len(ids)):
+            other = np.flatnonzero(c[i + 1 :] != c[i]) + i + 1
+            if len(other):
+                for j in other[np.bitwise_count(f[other] ^ f[i]).sum(axis=1, dtype=np.int64) <= spec.limit]:
+                    if c[j] != c[i]:
+                        a.append(max(ids[i], ids[j]))
+                        b.append(min(ids[i], ids[j]))
+                        c[c == c[j]] = c[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return met.groupBy("v", "p", "q").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, f0, ..., component_id): the class of each row, named by the smallest doc_id reachable.
 
@@ -158,6 +205,10 @@ def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id",
     if spec.blocks > 1 or spec.limit < spec.radius:
         one, other = nodes.withColumnRenamed("id", "a"), nodes.select(F.col("id").alias("b"), *(F.col(n).alias(f"o{n}") for n in names))
         pairs = pairs.join(one, "a").join(other, "b").where(differing(spec) <= spec.limit).select("a", "b")
+    if spec.blocks > 1:
+        pairs = Stored(pairs, "simhash-links").df
+        more = crowded_links(nodes.where("id is not null"), components(pairs), spec)
+        pairs = pairs.union(more)
     roots = components(pairs)
     classes = nodes.join(roots, nodes["id"] == roots["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
     return prints.join(classes, names).select("doc_id", *names, "component_id")

@@ -102,3 +102,25 @@ def test_variants_of_blocks_meet(spark):
     pairs = {(r["a"], r["b"]) for r in simhash.candidate_pairs(spark.createDataFrame(rows, "id long, f0 long"), spec).collect()}
     assert (1, 0) in pairs and (2, 0) not in pairs
     assert simhash.differing(spec) is not None and F is not None
+
+
+@pytest.mark.parametrize("piece", [simhash._PIECE, 2])
+def test_crowded_variants_are_compared_whole(spark, monkeypatch, piece):
+    monkeypatch.setattr(simhash, "_PIECE", piece)
+    rng = random.Random(5)
+    spec = simhash.NEAR
+    far = [rng.getrandbits(224) << 32 for _ in range(6)]  # one block in common, the others some 112 bits apart
+    prints = {0: far[0], 1: far[1], 2: far[2], 3: far[3], 4: far[1] ^ (1 << 40) ^ (1 << 80) ^ (1 << 120), 5: far[4], 6: far[5]}
+    for k in range(1, 8):  # three flips in each other block, so 1 and 4 meet in block 0 only
+        prints[4] ^= 0b111 << (32 * k)
+    word = lambda x, k: (lambda y: y - (1 << 64) if y >> 63 else y)(x >> (64 * k) & (2**64 - 1))
+    rows = [(i, *(word(x, k) for k in range(4))) for i, x in prints.items()]
+    assert 0 < (prints[1] ^ prints[4]).bit_count() <= spec.limit
+    nodes = spark.createDataFrame(rows, "id long, f0 long, f1 long, f2 long, f3 long")
+    tied = {(r["a"], r["b"]) for r in simhash.candidate_pairs(nodes, spec).collect()}
+    assert (4, 1) not in tied  # the ties alone miss it
+    none = spark.createDataFrame([], "node long, component long")
+    assert {(r["a"], r["b"]) for r in simhash.crowded_links(nodes, none, spec).collect()} == {(4, 1)}
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: nodes.withColumnRenamed("id", "doc_id"))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(nodes, spec).collect()}
+    assert got == {i: 1 if i == 4 else i for i in prints}
