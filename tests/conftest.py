@@ -6,7 +6,6 @@ import pytest
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, REPO)
 os.environ["PYTHONPATH"] = REPO + os.pathsep + os.environ.get("PYTHONPATH", "")
-DATA = os.environ.get("QUIRE_DATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")

@@ -3,7 +3,7 @@
 import pytest
 
 import oracle
-from conftest import DATA
+from paths import DATA
 from quire.plans import catalogue
 
 D = f"{DATA}/sf0.001"
