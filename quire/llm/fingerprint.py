@@ -1,7 +1,7 @@
 """Document fingerprints: a canonical exact digest.
 
-The canonical form of a text is its Unicode case folding in composed normal form with runs of white
-space as one space and none at the ends. Its digest is two 64-bit xxhashes. Rows are grouped by
+The canonical form of a text is the composed normal form, case-folded, in composed normal form again
+(folding can undo it), with runs of white space as one space and none at the ends. Its digest is two 64-bit xxhashes. Rows are grouped by
 digest; inside a group the canonical bytes are compared, and should two different ones ever share a
 digest, the later ones in byte order get a suffix, so fingerprints are equal exactly if the canonical
 texts are. Only built-in expressions: normalisation and folding are static methods of the ICU library
@@ -25,8 +25,11 @@ def canonical(text: Column) -> Column:
     """The canonical form; null is the empty text."""
     text = F.coalesce(text, F.lit(""))
 
+    def compose(x: Column) -> Column:
+        return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), x, F.lit(False))
+
     def fold(x: Column) -> Column:
-        return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), x, F.lit(True)), F.lit(False))
+        return compose(F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), compose(x), F.lit(True)))
 
     # what ASCII alone holds needs neither table
     plain = F.octet_length(text) == F.char_length(text)

@@ -9,13 +9,13 @@ mixed text. A text gets the language of most of its letters.
 from __future__ import annotations
 
 import bisect
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +25,8 @@ UNKNOWN = "und"
 #: First code points of script ranges and their names, in order (fixed values of the Unicode charts).
 SCRIPT_STARTS = (0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0750, 0x0900, 0x0980, 0x0A00, 0x0E00, 0x0E80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x30A0, 0x3100, 0xAC00, 0xD7B0, 0xF900, 0xFB00, 0xFB1D, 0xFB50, 0xFE00, 0xFF66, 0xFFA0, 0x20000)
 SCRIPT_NAMES = ("latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "other", "devanagari", "bengali", "other", "thai", "other", "georgian", "hangul", "ethiopic", "latin", "greek", "other", "kana", "kana", "han", "hangul", "other", "han", "latin", "hebrew", "arabic", "other", "kana", "hangul", "han")
-_WORD = re.compile(r"[^\W\d_]+")
+#: Letters, with the combining marks among and after them (vowel signs and the like).
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Buckets of hashed n-grams, n-gram lengths, words that are scored together.
 _BUCKETS, _ORDERS, _TOGETHER = 1 << 16, (1, 2, 3, 4), 20_000
 #: Documents a language that are fitted on at most (all, if it has fewer), chosen by a hash of the id.

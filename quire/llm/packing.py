@@ -12,6 +12,7 @@ needed, in whole windows and in sequences whose lengths are powers of two, which
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,12 +39,15 @@ class Tokenizer:
 
     A pre-token never goes on past a space that follows other text, so a text without runs of white
     space before a space is the join of its parts " word", whose ids are remembered. Parts not seen
-    before are encoded together and told apart by the lengths of their tokens.
+    before are encoded together and told apart by the lengths of their tokens. The special tokens'
+    strings in a text are one id each; what lies between them is encoded by itself.
     """
 
-    def __init__(self, ranks: bytes, pattern: str):
+    def __init__(self, ranks: bytes, pattern: str, special: dict[str, int] | None = None):
         import tiktoken
 
+        self.special = {t: int(i).to_bytes(4, "little") for t, i in (special or {}).items()}
+        self.cuts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
         self.widths = np.zeros(max(merges.values()) + 1, np.int64)
@@ -74,6 +78,14 @@ class Tokenizer:
             a = b
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if not any(t in x for x in texts for t in self.special):
+            return self.ordinary(texts)
+        parts = [self.cuts.split(x) for x in texts]  # every second part is a special token
+        between = iter(self.ordinary([x for p in parts for x in p[::2]]))
+        return [b"".join(self.special[x] if k % 2 else next(between) for k, x in enumerate(p)) for p in parts]
+
+    def ordinary(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts in which special tokens' strings are text like any other."""
         cut = [None if _RUN.search(t) else t.split(" ") for t in texts]
         self.learn({p for c in cut if c for p in c[1:]})
         return [self.plain(t) if c is None else self.plain(c[0]) + b"".join(map(self.parts.__getitem__, c[1:])) for t, c in zip(texts, cut, strict=True)]
@@ -147,25 +159,37 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
-def pack(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None, window: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def special_tokens(path: str) -> dict[str, int]:
+    """The special tokens of a tokenizer's JSON file and their ids."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def pack(
+    docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None, window: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", special: dict[str, int] | None = None
+) -> DataFrame:
     """One row for each piece of a document: see SCHEMA; sequence ids are unique, offsets gapless from 0.
 
-    ranks_path: a vocabulary of ranks on the driver (its bytes, under 1 MB, go to the workers); the
-    default holds the vocabulary of byte_bpe_50k.json. A null or empty text is the end id alone. Rows
-    that repeat are packed again; a null id stays null. No rows: no sequences.
+    ranks_path: a vocabulary of ranks on the driver (its bytes, under 1 MB, go to the workers) and special:
+    its special tokens; the defaults are those of byte_bpe_50k.json. A null or empty text is the end id
+    alone; a very long one fills whole windows, and only its rest is held. Rows that repeat are packed
+    again; a null id stays null. Ids are numbers or their decimal form: other text is an error. Equal items
+    are taken in the order they are read. No rows: no sequences. Only the two columns are read, so others'
+    names don't matter.
     """
     internal(docs, id_col, text_col)
-    if ranks_path is None or pattern is None:
+    if ranks_path is None or pattern is None or special is None:
         import public_tokenizers
 
         ranks_path, pattern = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
+        special = special_tokens(public_tokenizers.path("byte_bpe_50k.json")) if special is None else special
     with open(ranks_path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        packer, t = Packer(window, (task.partitionId() if task else 0) << 40), held("tokenizer", (zlib.crc32(ranks.value), pattern), lambda: Tokenizer(ranks.value, pattern))
+        packer, t = Packer(window, (task.partitionId() if task else 0) << 40), held("tokenizer", (zlib.crc32(ranks.value), pattern, *special.items()), lambda: Tokenizer(ranks.value, pattern, special))
         for b in sliced(batches, _TOGETHER):
             for doc, ids in zip(b.column(0).to_pylist(), t.ids(texts(b)), strict=True):
                 packer.add(doc, ids + end)

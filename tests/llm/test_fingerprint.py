@@ -12,7 +12,7 @@ def canonical(text):
     return re.sub(r"[\s\x1c-\x1f\x85]+", " ", t).strip(" ")
 
 
-TEXTS = ["Schön  Test", "scho\u0308n\ttest ", "SCHÖN\ntest", "schon test", "", None, " ", "\u00a0x\u2003y", "X Y", "Straße", "STRASSE", "é" * 3, "e\u0301" * 3, "😀 a", "a😀", "İ", "a\x1cb", "a b"]
+TEXTS = ["Schön  Test", "scho\u0308n\ttest ", "SCHÖN\ntest", "schon test", "", None, " ", "\u00a0x\u2003y", "X Y", "Straße", "STRASSE", "é" * 3, "e\u0301" * 3, "😀 a", "a😀", "İ", "a\x1cb", "a b", "α\u0301\u0345", "α\u0345\u0301", "ᾴ", "ΆΙ", "ﬁ", "FI", "ǰ", "J\u030c"]
 
 
 def test_fingerprints_are_equal_exactly_if_canonical_texts_are(spark):

@@ -13,20 +13,18 @@ from quire.llm import packing, queries
 @pytest.fixture(scope="module")
 def own():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-        return packing.Tokenizer(f.read(), public_tokenizers.PATTERN)
+        return packing.Tokenizer(f.read(), public_tokenizers.PATTERN, packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_those_of_the_tokenizer(own, plain, spark):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     rng = random.Random(5)
-    texts += ["", " ", "  a  b ", "a \n b", "don't we'll\t\tx", "é ñ 日本 語 😀", "a  b", "x " * 50 + "\n\n", "<|endoftext|> a"]
+    texts += ["", " ", "  a  b ", "a \n b", "don't we'll\t\tx", "é ñ 日本 語 😀", "a  b", "x " * 50 + "\n\n", "<|endoftext|> a", "a<|endoftext|>b  <|endoftext|>", " x <|endoftext|>  y\n<|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext|", "<|<|endoftext|>|>"]
     texts += ["".join(rng.choices("ab 1\n.,'\t é", k=rng.randrange(60))) for _ in range(300)]
     for _ in range(2):  # again, with remembered parts
         got = own.ids(texts)
@@ -65,6 +63,12 @@ def test_query(spark, own):
     check(queries.op5_packing(spark, d).collect(), tokens)
 
 
+def test_special_tokens_in_texts(spark, plain):
+    texts = ["<|endoftext|> a", "x <|endoftext|>", "no special <|endoftext| here"]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    check(rows, {i: np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for i, t in enumerate(texts)})
+
+
 def test_odd_rows(odd, empty, own):
     rows = packing.pack(odd.where("doc_id <> 2")).collect()
     docs = odd.where("doc_id <> 2").collect()
