@@ -1,22 +1,24 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Words and word pairs of the training texts are counted over all of them. Every word is held by the filter, and
-every pair that was seen twice, however large the corpus. A count c becomes the level
+Words, word pairs and word triples of the training texts are counted over all of them. The filter holds every
+word, and every pair and triple that was seen twice, however large the corpus. A count c becomes the level
 1 + floor(log_1.5 (c / least count held)), and the filter holds (n-gram, 1), (n-gram, 2), ... up to its level:
 the level of an n-gram is how many memberships in a row hold, so an error can only raise a count, and by little.
 
-The filter grows with the corpus, so it is never in one place: it is cut in shards by the n-gram's hash. Texts are
-kept as word hashes in chunks. A chunk sends each of its distinct n-grams once to the n-gram's shard, with its
-count in training rows; one task builds the shard from them, probes it, and sends their levels back.
+The filter grows with the corpus, so it is never in one place and never broadcast: it is cut in shards by the
+n-gram's hash, each of a set number of training tokens. Texts are kept as word numbers in chunks of a set number of
+tokens. A chunk sends each of its distinct n-grams once to the n-gram's shard, with its count in training rows; one
+task builds the shard from them, probes it, and sends their levels back. A row of that exchange holds at least one
+n-gram, so it has never more rows than n-grams; an n-gram, however frequent, is in it once a chunk. Words travel as
+they are written, so their counts are exact.
 
-The probability of a word after another mixes the pair's relative frequency with the word's add-one
-frequency, both from the filter.
+The probability of a word mixes its relative frequency after the two words before it, after the word before it and
+its add-one frequency, all from the filter.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,16 +33,16 @@ from .common import Stored, internal, lower_words, sliced
 
 #: Bits and probes of a membership.
 BITS, PROBES = 10, 4
-#: The least count of a pair that is held.
-PAIR_COUNT = 2
-#: Tokens of a chunk, and training tokens for each shard.
+#: The least count of a pair or triple that is held.
+LEAST = 2
+#: Tokens of a chunk, and training tokens of a shard on average.
 _BLOCK, _PER_SHARD = 1_500_000, 1_000_000
-#: The most frequent words, whose exact counts are broadcast; other words' counts are joined.
-FREQUENT = 100_000
 _BASE = 1.5
-_MASK = np.uint64((1 << 48) - 1)
 _END = b"\n"  # never a word
-_TOP = 80  # levels: 1.5 ** 79 is over 10 ** 13
+_TOP = 120  # levels: 1.5 ** 119 is over 2 ** 64
+#: A shard knows an n-gram by this many bits of its hash.
+_KEY = np.uint64(40)
+_GOLD = 0x9E3779B97F4A7C15
 
 
 def level_of(count: np.ndarray, least: float = 1.0) -> np.ndarray:
@@ -49,11 +51,11 @@ def level_of(count: np.ndarray, least: float = 1.0) -> np.ndarray:
     return np.where(ratio < 1, 0, 1 + np.floor(np.log(np.maximum(ratio, 1)) / np.log(_BASE) + 1e-9)).astype(np.int64)
 
 
-def values(least: float = 1.0, none: float = 0.0) -> np.ndarray:
-    """The count that each level stands for: the middle of the whole numbers that have it; `none` for level 0."""
+def values(least: float = 1.0) -> np.ndarray:
+    """The count that each level stands for: the middle of the whole numbers that have it; 0 for level 0."""
     k = np.arange(1, _TOP + 1)
     lo, hi = np.ceil(least * _BASE ** (k - 1) - 1e-9), np.ceil(least * _BASE**k - 1e-9) - 1
-    return np.concatenate([[none], (lo + np.maximum(lo, hi)) / 2])
+    return np.concatenate([[0.0], (lo + np.maximum(lo, hi)) / 2])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -63,16 +65,16 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pair_hashes(h: np.ndarray) -> np.ndarray:
-    """48-bit hashes of the neighbouring pairs of word hashes."""
-    return _mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) & _MASK
+def joined_hashes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of all but their last words and those of their last words."""
+    return _mixed(before * np.uint64(_GOLD) + word)
 
 
 class Hashes(dict):
-    """Word -> 48-bit hash, remembered up to a bound."""
+    """Word -> 64-bit hash, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, 1) & ((1 << 48) - 1)
+        h = xxhash.xxh64_intdigest(word, 1)
         if len(self) < 300_000 and len(word) <= 48:
             self[word] = h
         return h
@@ -81,391 +83,288 @@ class Hashes(dict):
 _hashes = Hashes()
 
 
-def _positions(h: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
-    x = _mixed(h + np.uint64((level * 0x9E3779B97F4A7C15) & (2**64 - 1)))
-    a, b = x & np.uint64(0xFFFFFFFF), (x >> np.uint64(32)) | np.uint64(1)
-    return [(a + np.uint64(i) * b) % np.uint64(bits) for i in range(PROBES)]
+def _probes(key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    x = _mixed(key + np.uint64((level * _GOLD) & (2**64 - 1)))
+    return x & np.uint64(0xFFFFFFFF), (x >> np.uint64(32)) | np.uint64(1)
 
 
-def build_shard(h: np.ndarray, level: np.ndarray, bits: int) -> np.ndarray:
-    """The shard's bits, as bytes, with all memberships of its n-grams."""
-    out = np.zeros((bits + 7) // 8, np.uint8)
-    for k in range(1, int(level.max(initial=0)) + 1):
-        for p in _positions(h[level >= k], k, bits):
-            np.bitwise_or.at(out, (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8))
-    return out
+class Filter:
+    """The filter of some n-grams, given their keys and levels: bits of all memberships (n-gram, 1 ... level)."""
 
+    def __init__(self, key: np.ndarray, level: np.ndarray):
+        self.bits = max(64, BITS * int(level.sum()))
+        on = np.zeros((self.bits + 7) // 8 * 8, bool)
+        for k in range(1, int(level.max(initial=0)) + 1):
+            a, b = _probes(key[level >= k], k)
+            for i in range(PROBES):
+                on[(a + np.uint64(i) * b) % np.uint64(self.bits)] = True
+        self.data = np.packbits(on, bitorder="little")
 
-@dataclass
-class Filter:
-    """shards: the bytes of all, one after the other; start: first byte of each; bits: bits of each; words,
-    pairs: the counts that levels stand for."""
-
-    shards: np.ndarray
-    start: np.ndarray
-    bits: np.ndarray
-    words: np.ndarray
-    pairs: np.ndarray
-
-    def levels(self, h: np.ndarray) -> np.ndarray:
-        """Of each n-gram hash; repeated membership probes, each for what passed the one before."""
-        out, at = np.zeros(len(h), np.int64), np.arange(len(h))
-        shard = (h % np.uint64(len(self.bits))).astype(np.int64)
-        at = at[self.bits[shard] > 0]
+    def levels(self, key: np.ndarray) -> np.ndarray:
+        """Of each n-gram; repeated membership probes, each for what passed the one before."""
+        out, at = np.zeros(len(key), np.uint8), np.arange(len(key))
         for k in range(1, _TOP + 1):
+            a, b = _probes(key[at], k)
+            for i in range(PROBES):
+                p = (a + np.uint64(i) * b) % np.uint64(self.bits)
+                hit = (self.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                at, a, b = at[hit], a[hit], b[hit]
             if not len(at):
                 break
-            x, s = h[at], shard[at]
-            hit = np.ones(len(at), bool)
-            y = _mixed(x + np.uint64((k * 0x9E3779B97F4A7C15) & (2**64 - 1)))
-            a, b = y & np.uint64(0xFFFFFFFF), (y >> np.uint64(32)) | np.uint64(1)
-            bits, start = self.bits[s].astype(np.uint64), self.start[s]
-            for i in range(PROBES):
-                p = (a + np.uint64(i) * b) % bits
-                hit &= (self.shards[start + (p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                if i == 0 and not hit.all():  # most misses end here
-                    at, a, b, bits, start, hit = at[hit], a[hit], b[hit], bits[hit], start[hit], hit[hit]
-            at = at[hit]
             out[at] = k
         return out
 
 
-def word_counts(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataFrame:
-    """(word, n, train): occurrences of each word (binary) in all rows and in training rows, with the ends of texts."""
+def weights(before: np.ndarray) -> np.ndarray:
+    """How much a pair's relative frequency counts, by the count of its first word."""
+    return 0.5 * before / (before + 1000.0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every: dict[bool, Counter] = {True: Counter(), False: Counter()}
 
-        def rows() -> pa.RecordBatch:
-            kinds = [(k, c) for k, c in every.items() if c]
-            w = pa.array([x for _, c in kinds for x in c], pa.binary())
-            n = np.concatenate([np.empty(0, np.int64), *(np.fromiter(c.values(), np.int64, len(c)) for _, c in kinds)])
-            t = np.concatenate([np.empty(0, np.int64), *(np.fromiter(c.values(), np.int64, len(c)) * k for k, c in kinds)])
-            every[True], every[False] = Counter(), Counter()
-            return pa.RecordBatch.from_arrays([w, pa.array(n), pa.array(t)], ["word", "n", "train"])
+#: How much a triple's relative frequency counts where its first two words are held as a pair.
+TRIPLE = 0.3
 
-        for b in sliced(batches):
-            for text, is_train in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c = every[bool(is_train)]
-                c.update(lower_words(text or ""))
-                c[_END] += 1
-                if len(c) > 1_000_000:
-                    yield rows()
-        yield rows()
 
-    told = docs.select(F.col(text_col).alias("text"), train.alias("train"))
-    return told.mapInArrow(run, "word binary, n long, train long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("train").alias("train"))
+def score(before: np.ndarray, own: np.ndarray, pair: np.ndarray, pair_before: np.ndarray, triple: np.ndarray, total: int, kinds: int) -> np.ndarray:
+    """log10 probabilities of words, from the counts of the words before them, their own, those of the pairs they
+    end, of the pairs before them (0 at the begin of a text) and of the triples they end."""
+    w = weights(before)
+    p = (1 - w) * (own + 1) / (total + kinds + 1) + w * np.minimum(1.0, pair / np.maximum(before, 1))
+    w = np.where(pair_before > 0, TRIPLE, 0.0)
+    return np.log10((1 - w) * p + w * np.minimum(1.0, triple / np.maximum(pair_before, 1)))
 
 
-def pair_shares(docs: DataFrame, text_col: str, shards: int) -> DataFrame:
-    """(shard, hashes, counts): the pairs that a task has seen of each shard, packed."""
+def _pack(x: np.ndarray, width: int) -> bytes:
+    """Whole numbers as compressed byte planes, `width` bytes each."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return zlib.compress(planes.tobytes(), 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[np.ndarray] = []
-        size = 0
 
-        def rows() -> pa.RecordBatch:
-            h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *got]), return_counts=True)
-            shard = (h % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            h, n, edges = h[order], n[order].astype("<u4"), np.searchsorted(shard[order], np.arange(shards + 1))
-            six = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-            some = [s for s in range(shards) if edges[s] < edges[s + 1]]
-            got.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([six[edges[s] : edges[s + 1]].tobytes() for s in some], pa.binary()), pa.array([n[edges[s] : edges[s + 1]].tobytes() for s in some], pa.binary())],
-                ["shard", "hashes", "counts"],
-            )
-
-        for b in sliced(batches):
-            for text in b.column(0).to_pylist():
-                w = [_END, *lower_words(text or ""), _END]
-                got.append(pair_hashes(np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))))
-                size += len(w)
-                if size > _BLOCK:
-                    yield rows()
-                    size = 0
-        yield rows()
-
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "shard int, hashes binary, counts binary")
-
-
-def word_shares(words: DataFrame, shards: int) -> DataFrame:
-    """As `pair_shares`, of the training words; a partition is one row a shard."""
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = np.fromiter((xxhash.xxh64_intdigest(w, 1) & ((1 << 48) - 1) for w in b.column(0).to_pylist()), np.uint64, b.num_rows)
-            n = b.column(1).to_numpy(zero_copy_only=False).astype("<u8")
-            shard = (h % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            h, n, edges = h[order], np.minimum(n[order], 2**32 - 1).astype("<u4"), np.searchsorted(shard[order], np.arange(shards + 1))
-            six = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-            some = [s for s in range(shards) if edges[s] < edges[s + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([six[edges[s] : edges[s + 1]].tobytes() for s in some], pa.binary()), pa.array([n[edges[s] : edges[s + 1]].tobytes() for s in some], pa.binary())],
-                ["shard", "hashes", "counts"],
-            )
-
-    return words.where("train > 0").select("word", "train").mapInArrow(run, "shard int, hashes binary, counts binary")
-
-
-def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes and the sums of their counts."""
-    six = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint8).reshape(-1, 6)
-    h = np.zeros((len(six), 8), np.uint8)
-    h[:, :6] = six
-    n = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
-    u, at = np.unique(h.view("<u8").ravel(), return_inverse=True)
-    return u.astype(np.uint64), np.bincount(at, n, len(u)).astype(np.int64)
-
-
-def train_filter(docs: DataFrame, words: DataFrame, tokens: int, text_col: str, word_share: float = 0.0, pair_share: float = 0.0) -> Filter:
-    """The whole filter of `docs` (the training rows) and their words in one place, for corpora whose filter fits there.
-
-    `score_documents` takes the same levels from shards. Above 0, the shares leave out n-grams with less of the tokens.
+
+@dataclass
+class Chunk:
+    """Texts as numbers of words, each text with an end before it and one after it.
+
+    words: the distinct words, frequent ones first; at: the word of each token; lens: tokens of each text;
+    learned: whether it is learned from.
     """
-    shards = max(1, -(-tokens // _PER_SHARD))
-    least_word, least_pair = max(1.0, word_share * tokens), max(float(PAIR_COUNT), pair_share * tokens)
-
-    def build(key: tuple, table: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-
-        pairs = table.column("pair")
-        h2, n2 = _unpack(table.filter(pairs))
-        h1, n1 = _unpack(table.filter(pc.invert(pairs)))
-        h, level = np.concatenate([h1, h2]), np.concatenate([level_of(n1, least_word), level_of(n2, least_pair)])
-        h, level = h[level > 0], level[level > 0]
-        m = int(max(64, BITS * level.sum())) if len(h) else 0
-        out = build_shard(h, level, m)
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([m], pa.int64()), "data": pa.array([out.tobytes()], pa.binary())})
-
-    shares = pair_shares(docs, text_col, shards).withColumn("pair", F.lit(True)).union(word_shares(words, shards).withColumn("pair", F.lit(False)))
-    built = Stored(shares.groupBy("shard").applyInArrow(build, "shard int, bits long, data binary"), "lm-filter")
-    rows = {r["shard"]: r for r in built.df.toLocalIterator()}
-    built.drop()
-    size = np.zeros(shards, np.int64)
-    for s, r in rows.items():
-        size[s] = r["bits"]
-    lens = (size + 7) // 8
-    start = np.cumsum(lens) - lens
-    data = np.zeros(int(lens.sum()), np.uint8)
-    for s in list(rows):
-        data[start[s] : start[s] + lens[s]] = np.frombuffer(rows.pop(s)["data"], np.uint8)
-    left = words.where((F.col("train") > 0) & (F.col("train") < least_word)).agg(F.sum("train").alias("n"), F.count("*").alias("k")).first()
-    return Filter(data, start, size, values(least_word, (left["n"] or 0) / (left["k"] + 1)), values(least_pair))
-
-
-def pair_weight(before: np.ndarray) -> np.ndarray:
-    """How much a pair's relative frequency counts, by the count of its first word."""
-    return 0.5 * before / (before + 1000.0)
 
+    words: list[bytes]
+    at: np.ndarray
+    lens: np.ndarray
+    learned: np.ndarray
 
-def score(before: np.ndarray, own: np.ndarray, pair: np.ndarray, total: int, kinds: int) -> np.ndarray:
-    """log10 probabilities of words, from the counts of the words before them, their own and the pairs'."""
-    w = pair_weight(before)
-    p = (1 - w) * (own + 1) / (total + kinds + 1) + w * np.minimum(1.0, pair / np.maximum(before, 1))
-    return np.log10(p)
+    @classmethod
+    def read(cls, words: bytes, at: bytes, lens: bytes, learned: bytes) -> Chunk:
+        return cls(zlib.decompress(words).split(b" "), _unpack(at, 4).astype(np.int64), _unpack(lens, 5).astype(np.int64), np.frombuffer(learned, np.uint8))
 
+    def __post_init__(self) -> None:
+        first = np.cumsum(self.lens) - self.lens
+        self.inner = np.ones(len(self.at), bool)  # tokens but for the end before a text
+        self.inner[first] = False
+        self.later = self.inner.copy()  # those with two tokens before them
+        self.later[first + 1] = False
 
-_CHUNK = "chunk long, hashes binary, at binary, lens binary, learned binary"
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(_hashes.__getitem__, self.words), np.uint64, len(self.words))
 
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hashes of the words, of the pair that each inner token ends, and of the triple that each later one ends."""
+        own = self.hashes()
+        h = own[self.at]
+        pair = joined_hashes(h[:-1], h[1:])  # of token i + 1
+        triple = joined_hashes(pair[:-1] ^ np.uint64(_GOLD), h[2:])  # of token i + 2
+        return own, pair[self.inner[1:]], triple[self.later[2:]]
 
-def _six(h: np.ndarray) -> np.ndarray:
-    """48-bit hashes as rows of six bytes."""
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
 
+def _by_shard(h: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each hash and the key it has there, as one number that sorts by shard, then key."""
+    shard = (h >> np.uint64(24)) % np.uint64(shards)
+    return (shard << _KEY) | (h & np.uint64((1 << 40) - 1))
 
-def _from_six(data: bytes) -> np.ndarray:
-    h = np.zeros((len(data) // 6, 8), np.uint8)
-    h[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return h.view("<u8").ravel().astype(np.uint64)
 
+def _cuts(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shards that occur, and where each begins, with the end."""
+    shard, first = np.unique(sorted_keys >> _KEY, return_index=True)
+    return shard.astype(np.int64), np.append(first, len(sorted_keys))
 
-def _by_shard(h: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct hashes in order of their shards, the place of each of `h` among them, and the shards' edges."""
-    u, at = np.unique(h, return_inverse=True)
-    shard = (u % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    place = np.empty(len(u), np.int64)
-    place[order] = np.arange(len(u))
-    return u[order], place[at], np.searchsorted(shard[order], np.arange(shards + 1))
 
+_CHUNK = "chunk long, tokens long, words binary, at binary, lens binary, learned binary"
 
-@dataclass
-class Chunk:
-    """Texts as word hashes, each text with an end before it and one after it.
 
-    hashes: of the distinct words; at: the word of each token (read from compressed byte planes); lens: tokens of each text; learned: whether it
-    is learned from; inner: tokens that are not the end before a text.
-    """
+def chunks_of(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
+    """(chunk, tokens, words, at, lens, learned, ids): see Chunk; tokens: training tokens of the chunk."""
+    told = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("trained"))
+    kind = told.schema["doc_id"].dataType.simpleString()
 
-    hashes: np.ndarray
-    at: np.ndarray
-    lens: np.ndarray
-    learned: np.ndarray
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        name = (task.partitionId() if task else 0) << 40
+        number: dict[bytes, int] = {}
+        at: list[np.ndarray] = []
+        lens, learned, ids = [], [], []
 
-    @classmethod
-    def read(cls, hashes: bytes, at: bytes, lens: bytes, learned: bytes) -> Chunk:
-        planes = np.frombuffer(zlib.decompress(at), np.uint8).reshape(4, -1)
-        return cls(_from_six(hashes), np.ascontiguousarray(planes.T).view("<u4").ravel(), np.frombuffer(lens, "<u4").astype(np.int64), np.frombuffer(learned, np.uint8))
-
-    @property
-    def inner(self) -> np.ndarray:
-        out = np.ones(len(self.at), bool)
-        out[np.cumsum(self.lens) - self.lens] = False
-        return out
+        def chunk() -> pa.RecordBatch:
+            tokens = np.concatenate(at)
+            order = np.argsort(-np.bincount(tokens, minlength=len(number)), kind="stable")  # frequent words get low numbers, whose bytes compress
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order))
+            words, sizes = list(number), np.array(lens)
+            row = [
+                pa.array([name], pa.int64()), pa.array([int((sizes - 1) @ np.array(learned))], pa.int64()), pa.array([zlib.compress(b" ".join(words[i] for i in order.tolist()), 1)], pa.binary()),
+                pa.array([_pack(place[tokens], 4)], pa.binary()), pa.array([_pack(sizes, 5)], pa.binary()), pa.array([np.array(learned, np.uint8).tobytes()], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(lens)], pa.int32()), pa.concat_arrays(ids)),
+            ]
+            return pa.RecordBatch.from_arrays(row, ["chunk", "tokens", "words", "at", "lens", "learned", "ids"])
 
-    def pairs(self) -> np.ndarray:
-        """The hash of each inner token's pair."""
-        return pair_hashes(self.hashes[self.at])[self.inner[1:]]
+        size = 0
+        for b in sliced(batches, 200):
+            for text, trained in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                ws = [_END, *lower_words(text or ""), _END]
+                at.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.uint32, len(ws)))
+                lens.append(len(ws))
+                learned.append(bool(trained))
+                size += len(ws)
+            ids.append(b.column(0))
+            if size > _BLOCK:
+                yield chunk()
+                name, size = name + 1, 0
+                number, at, lens, learned, ids = {}, [], [], [], []
+        if lens:
+            yield chunk()
+
+    return told.mapInArrow(run, f"{_CHUNK}, ids array<{kind}>")
+
+
+_GRAMS = ("pair", "triple")
+_SHARE = "chunk long, shard int, words binary, word_counts binary, pair_keys binary, pair_counts binary, triple_keys binary, triple_counts binary"
 
 
 def chunk_shares(chunks: DataFrame, shards: int) -> DataFrame:
-    """(chunk, shard, words, word_counts, pairs, pair_counts): the n-grams of each chunk by shard, with their training counts."""
+    """Rows of _SHARE: the distinct n-grams of each chunk by shard (words by number, others by key), with their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 name, *parts = (x[i].as_py() for x in b.columns)
                 c = Chunk.read(*parts)
-                inner, learned = c.inner, np.repeat(c.learned, c.lens)
-                w, at, ends = _by_shard(c.hashes, shards)
-                n = np.bincount(at[c.at[inner]], learned[inner], len(w)).astype("<u4")
-                p, at2, ends2 = _by_shard(c.pairs(), shards)
-                n2 = np.bincount(at2, learned[inner], len(p)).astype("<u4")
-                some = [s for s in range(shards) if ends[s] < ends[s + 1] or ends2[s] < ends2[s + 1]]
-                cut = lambda x, e: pa.array([x[e[s] : e[s + 1]].tobytes() for s in some], pa.binary())  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(some), pa.int64()), pa.array(some, pa.int32()), cut(_six(w), ends), cut(n, ends), cut(_six(p), ends2), cut(n2, ends2)],
-                    ["chunk", "shard", "words", "word_counts", "pairs", "pair_counts"],
-                )
-
-    return chunks.mapInArrow(run, "chunk long, shard int, words binary, word_counts binary, pairs binary, pair_counts binary")
+                learned = np.repeat(c.learned, c.lens)
+                own, *grams = c.grams()
+                rows: dict[int, dict[str, bytes]] = {}
+                word = _by_shard(own, shards)
+                order = np.argsort(word >> _KEY, kind="stable")
+                counts = np.bincount(c.at[c.inner], learned[c.inner], len(own)).astype(np.int64)[order]
+                shard, first = _cuts(word[order])
+                for s, lo, hi in zip(shard.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    rows[s] = {"words": zlib.compress(b" ".join(c.words[k] for k in order[lo:hi].tolist()), 1), "word_counts": _pack(counts[lo:hi], 5)}
+                for kind, h, where in zip(_GRAMS, grams, (c.inner, c.later), strict=True):
+                    u, at = np.unique(_by_shard(h, shards), return_inverse=True)
+                    n = np.bincount(at, learned[where], len(u)).astype(np.int64)
+                    shard, first = _cuts(u)
+                    for s, lo, hi in zip(shard.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                        rows.setdefault(s, {}).update({f"{kind}_keys": _pack(u[lo:hi], 5), f"{kind}_counts": _pack(n[lo:hi], 5)})
+                some = sorted(rows)
+                cols = [pa.array([name] * len(some), pa.int64()), pa.array(some, pa.int32())]
+                names = [f.split()[0] for f in _SHARE.split(", ")]
+                cols += [pa.array([rows[s].get(n) for s in some], pa.binary()) for n in names[2:]]
+                yield pa.RecordBatch.from_arrays(cols, names)
+
+    return chunks.select("chunk", "words", "at", "lens", "learned").mapInArrow(run, _SHARE)
+
+
+_LEVELS = "chunk long, shard int, word_counts binary, word_levels binary, pair_levels binary, triple_levels binary, total long, kinds long"
+
+
+def _parts(column: pa.ChunkedArray, read) -> tuple[list, np.ndarray]:
+    """What each row of a column holds (nothing for null), and where each begins, with the end."""
+    got = [read(x) if x is not None else read(None) for x in column.to_pylist()]
+    return got, np.cumsum([0, *map(len, got)])
 
 
 def shard_levels(shares: DataFrame) -> DataFrame:
-    """(chunk, shard, words, pairs): the levels of the n-grams of each of `shares`, one byte each, in their order."""
+    """Rows of _LEVELS: for each of `shares` the training counts of its words and the levels of its n-grams, in their order;
+    total, kinds: training tokens and distinct training words of the shard, in one row of it."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        sums = []
-        for hashes, counts in (("words", "word_counts"), ("pairs", "pair_counts")):
-            lens = [len(x) // 6 for x in table.column(hashes).to_pylist()]
-            u, at = np.unique(_from_six(b"".join(table.column(hashes).to_pylist())), return_inverse=True)
-            n = np.bincount(at, np.frombuffer(b"".join(table.column(counts).to_pylist()), "<u4"), len(u)).astype(np.int64)
-            sums.append((u, at, np.cumsum([0, *lens]), level_of(n, PAIR_COUNT if hashes == "pairs" else 1)))
-        h, level = np.concatenate([u for u, *_ in sums]), np.concatenate([x for *_, x in sums])
-        h, level = h[level > 0], level[level > 0]
-        bits = max(64, BITS * int(level.sum())) if len(h) else 0
-        f = Filter(build_shard(h, level, bits), np.zeros(1, np.int64), np.array([bits]), values(), values(PAIR_COUNT))
-        cols = []
-        for u, at, edges, _ in sums:
-            got = f.levels(u).astype(np.uint8)[at]
-            cols.append(pa.array([got[lo:hi].tobytes() for lo, hi in zip(edges[:-1], edges[1:], strict=True)], pa.binary()))
-        return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "words": cols[0], "pairs": cols[1]})
-
-    return shares.groupBy("shard").applyInArrow(run, "chunk long, shard int, words binary, pairs binary")
+        numbers = lambda x: np.empty(0, np.uint64) if x is None else _unpack(x, 5)
+        words, edges = _parts(table.column("words"), lambda x: [] if x is None else zlib.decompress(x).split(b" "))
+        coded = pa.array([w for part in words for w in part], pa.binary()).dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        own = np.fromiter(map(_hashes.__getitem__, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+        count = _sums(at, np.concatenate([np.empty(0, np.uint64), *_parts(table.column("word_counts"), numbers)[0]]), len(own))
+        found = [(own & np.uint64((1 << 40) - 1), at, edges, level_of(count))]
+        for kind in _GRAMS:
+            keys, edges2 = _parts(table.column(f"{kind}_keys"), numbers)
+            u, place = np.unique(np.concatenate([np.empty(0, np.uint64), *keys]), return_inverse=True)
+            n = _sums(place, np.concatenate([np.empty(0, np.uint64), *_parts(table.column(f"{kind}_counts"), numbers)[0]]), len(u))
+            found.append((u, place, edges2, level_of(n, LEAST)))
+        held = [level > 0 for *_, level in found]
+        shard = Filter(np.concatenate([k[h] for (k, *_), h in zip(found, held, strict=True)]), np.concatenate([level[h] for (*_, level), h in zip(found, held, strict=True)]))
+        cols = [table.column("chunk"), table.column("shard"), pa.array([_pack(count[at[lo:hi]], 6) for lo, hi in zip(edges[:-1], edges[1:], strict=True)], pa.binary())]
+        for keys, place, ends, _ in found:
+            got = shard.levels(keys)[place]
+            cols.append(pa.array([_pack(got[lo:hi], 1) for lo, hi in zip(ends[:-1], ends[1:], strict=True)], pa.binary()))
+        once = [None] * (table.num_rows - 1)
+        cols += [pa.array([int(count.sum()), *once], pa.int64()), pa.array([int((count > 0).sum()), *once], pa.int64())]
+        return pa.table(cols, names=[f.split()[0] for f in _LEVELS.split(", ")])
+
+    return shares.groupBy("shard").applyInArrow(run, _LEVELS)
+
+
+def _sums(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Sums of whole numbers by place, exact below 2 ** 53."""
+    return np.bincount(at, n.astype(np.float64), size).astype(np.int64)
 
 
 def chunk_scores(chunks: DataFrame, levels: DataFrame, shards: int, total: int, kinds: int) -> DataFrame:
-    """(row, score): of each text; the rows of a chunk are numbered from its name on."""
+    """(doc_id, trained, n_tokens, n_known, train_tokens, base_score, score) of each text of the chunks."""
+    kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
     def run(key: tuple, chunk: pa.Table, levels: pa.Table) -> pa.Table:
-        first, *parts = (chunk.column(i)[0].as_py() for i in range(5))
-        c = Chunk.read(*parts)
+        c = Chunk.read(*(chunk.column(n)[0].as_py() for n in ("words", "at", "lens", "learned")))
         by = levels.sort_by("shard")
-        words, pairs = (np.frombuffer(b"".join(by.column(n).to_pylist()), np.uint8) for n in ("words", "pairs"))
-        one = values()[words][_by_shard(c.hashes, shards)[1]][c.at]
-        two = values(PAIR_COUNT)[pairs][_by_shard(c.pairs(), shards)[1]]
+        whole = lambda n, width: np.concatenate([np.empty(0, np.uint64), *(_unpack(x, width) for x in by.column(n).to_pylist())])
+        own, pairs, triples = c.grams()
+        order = np.argsort(_by_shard(own, shards) >> _KEY, kind="stable")
+        count, level = np.empty(len(own)), np.empty(len(own), np.int64)
+        count[order], level[order] = whole("word_counts", 6), whole("word_levels", 1)
+        one = values()[level][c.at]
+        two, three = np.zeros(len(c.at)), np.zeros(len(c.at))
+        for h, out, where, name in ((pairs, two, c.inner, "pair_levels"), (triples, three, c.later, "triple_levels")):
+            out[where] = values(LEAST)[whole(name, 1).astype(np.int64)[np.unique(_by_shard(h, shards), return_inverse=True)[1]]]
         inner = c.inner[1:]
-        logs = score(one[:-1][inner], one[1:][inner], two, total, kinds)
+        before = np.where(c.later[1:], two[:-1], 0.0)
+        logs = score(one[:-1][inner], one[1:][inner], two[1:][inner], before[inner], three[1:][inner], total, kinds)
+        exact = count[c.at[1:][inner]]
         inside = c.lens - 1  # at least the end
-        return pa.table({"row": pa.array(np.arange(first, first + len(inside))), "score": pa.array(np.add.reduceat(logs, np.cumsum(inside) - inside))})
+        first = np.cumsum(inside) - inside
+        base = np.add.reduceat(np.log10((exact + 1) / (total + kinds + 1.0)), first)
+        known = np.add.reduceat((exact > 0).astype(np.int64), first)
+        cols = [chunk.column("ids").chunk(0).flatten(), pa.array(c.learned.astype(bool)), pa.array(inside), pa.array(known), pa.array(np.full(len(inside), total)), pa.array(base), pa.array(np.add.reduceat(logs, first))]
+        return pa.table(cols, names=["doc_id", "trained", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return chunks.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(run, "row long, score double")
+    schema = f"doc_id {kind}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return chunks.drop("tokens").groupBy("chunk").cogroup(levels.drop("total", "kinds").groupBy("chunk")).applyInArrow(run, schema)
 
 
-def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, trained, n_tokens, n_known, train_tokens, base_score, score), one row for each of `docs`.
 
-    `train`: whether a row is learned from. Counts are exact for n_known and base_score (add-one word
-    probabilities) and from the filter for `score`. Null and empty texts are one end; repeated rows count
-    as often as they occur; without training rows every word is unknown. The counts of the most frequent
-    words (at most `frequent`) are broadcast; of the others each row keeps the distinct words, and their
-    counts are joined. A word that is in many rows is frequent, so no key of that join is hot.
+    `train`: whether a row is learned from (null: it isn't). Counts are exact for n_known and base_score (add-one word
+    probabilities) and from the filter for `score`. Null and empty texts are one end; a very long text is in one
+    chunk with others or by itself; repeated rows and ids count and are scored as often as they occur, and texts
+    that tie get equal scores; without training rows every word is unknown; an empty table gives an empty table.
+    Only the two columns are read, so others' names don't matter.
     """
     internal(docs, id_col, text_col)
-    spark = docs.sparkSession
-    words = Stored(word_counts(docs, id_col, text_col, train), "lm-words").df
-    sums = words.agg(F.sum("train").alias("n"), F.count(F.when(F.col("train") > 0, 1)).alias("v"), F.count("*").alias("k")).first()
-    total, kinds = int(sums["n"] or 0), int(sums["v"] or 0)
-    sizes = words.groupBy(F.floor(F.log2(F.col("n").cast("double")) * 4).alias("b")).agg(F.count("*").alias("c"), F.min("n").alias("n")).orderBy(F.desc("b")).collect()  # at most 4 * 63 rows
-    least, seen = (1 << 62), 0
-    for r in sizes:
-        seen += r["c"]
-        if seen > frequent:
-            break
-        least = r["n"]
-    top = {bytes(r["word"]): r["train"] for r in words.where(F.col("n") >= least).select("word", "train").collect()}  # at most `frequent` rows
-    known = spark.sparkContext.broadcast(top)
-
-    told = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), train.alias("trained"))
-    kind = told.schema["doc_id"].dataType.simpleString()
-    doc = f"row long, doc_id {kind}, trained boolean, n_tokens long, known long, base double, words array<binary>, times array<long>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        row, top = (task.partitionId() if task else 0) << 40, known.value
-        first, got, lens, learned = row, [], [], []
-        types = {"row": pa.int64(), "doc_id": None, "trained": pa.bool_(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "words": pa.list_(pa.binary()), "times": pa.list_(pa.int64())}
-        types |= {"chunk": pa.int64(), "hashes": pa.binary(), "at": pa.binary(), "lens": pa.binary(), "learned": pa.binary()}
-
-        def table(n: int, **cols) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([c if isinstance(c := cols.get(k), pa.Array) else pa.array(c, t) if c is not None else pa.nulls(n, t) for k, t in types.items()], list(types))
-
-        def chunk() -> pa.RecordBatch:
-            u, at, n = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
-            order = np.argsort(-n, kind="stable")  # frequent words get low numbers, whose bytes compress
-            place = np.empty(len(u), "<u4")
-            place[order] = np.arange(len(u))
-            planes = np.ascontiguousarray(place[at].view(np.uint8).reshape(-1, 4).T)
-            return table(1, chunk=[first], hashes=[_six(u[order]).tobytes()], at=[zlib.compress(planes.tobytes(), 1)], lens=[np.array(lens, "<u4").tobytes()], learned=[np.array(learned, np.uint8).tobytes()])
-
-        size = 0
-        for b in sliced(batches, 500):
-            types["doc_id"] = b.column(0).type
-            out: list[tuple] = []
-            for text, trained in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                ws = [_END, *lower_words(text or ""), _END]
-                got.append(np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws)))
-                lens.append(len(ws))
-                learned.append(bool(trained))
-                size += len(ws)
-                c = Counter(ws[1:])
-                own = [(k, top[w]) for w, k in c.items() if w in top]
-                rest = [(w, k) for w, k in c.items() if w not in top]
-                base = float(np.dot([k for k, _ in own], np.log10(np.array([x for _, x in own], float) + 1))) if own else 0.0
-                out.append((row, len(ws) - 1, sum(k for k, x in own if x), base, [w for w, _ in rest], [k for _, k in rest]))
-                row += 1
-                if size > _BLOCK:
-                    yield chunk()
-                    first, size = row, 0
-                    got, lens, learned = [], [], []
-            if out:
-                cols = dict(zip(("row", "n_tokens", "known", "base", "words", "times"), map(list, zip(*out, strict=True)), strict=True))
-                yield table(len(out), doc_id=b.column(0), trained=b.column(2), **cols)
-        if lens:
-            yield chunk()
-
-    kept = Stored(told.mapInArrow(run, f"{doc}, {_CHUNK}"), "lm-rows").df
-    rows = kept.where("row is not null").drop("chunk", "hashes", "at", "lens", "learned")
-    chunks = kept.where("chunk is not null").select("chunk", "hashes", "at", "lens", "learned")
-    shards = max(1, -(-total // _PER_SHARD))
-    levels = Stored(shard_levels(chunk_shares(chunks, shards)), "lm-levels").df  # stored one by one, so that shuffles can go
-    scores = Stored(chunk_scores(chunks, levels, shards, total, kinds), "lm-scores").df
-    rare = rows.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
-    found = rare.join(words.where(F.col("n") < least).select("word", "train"), "word")
-    more = found.where("train > 0").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("train") + 1.0)).alias("logs"))
-    joined = rows.drop("words", "times").join(more, "row", "left").join(scores, "row")
-    base = F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(total + kinds + 1.0)))
-    return joined.select("doc_id", "trained", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    chunks = Stored(chunks_of(docs, train, id_col, text_col), "lm-chunks").df
+    tokens = int(chunks.agg(F.sum("tokens").alias("n")).first()["n"] or 0)
+    shards = max(1, min(1 << 24, -(-tokens // _PER_SHARD)))
+    levels = Stored(shard_levels(chunk_shares(chunks, shards)), "lm-levels").df
+    sums = levels.agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
+    return chunk_scores(chunks, levels, shards, int(sums["n"] or 0), int(sums["v"] or 0))
