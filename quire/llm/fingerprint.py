@@ -48,7 +48,9 @@ def collisions(rows: DataFrame) -> DataFrame:
     meet as the least and the greatest of a digest, so a group of copies is one text a task.
     """
     often = Stored(rows.groupBy("digest").count().where("count > 1").select("digest"), "digests").df
-    some = rows.where(may_hold(often, F.col("digest"))).select("digest", canonical(F.col("text")).alias("canon"))  # so that few other texts are shuffled
+    filtered = may_hold(often)  # so that few other texts are shuffled
+    some = rows.where(filtered.holds(F.col("digest"))) if filtered else rows.join(often, "digest", "left_semi")
+    some = some.select("digest", canonical(F.col("text")).alias("canon"))
     odd = Stored(some.groupBy("digest").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select("digest"), "digests").df
     if odd.isEmpty():  # as ever with 128 bits
         return odd.select("digest", F.lit("").alias("canon"), F.lit("").alias("suffix"))

@@ -4,7 +4,9 @@ Documents are aggregated by membership pattern: the set of sources they belong t
 flows from patterns to source quotas; a pattern's first pass over its words is free, the second costs
 one a word, the third two (convex costs of repetition), and there is no fourth. Then seeded documents
 realise each pattern's flow: every document as often as whole passes went through, and of the last
-pass those in the order of a seeded hash until the flow is met.
+pass those in the order of a seeded hash until the flow is met. Where it is met is found by histograms of
+the seeded order, each finer than the one before; what room the last bucket leaves is filled from
+further on in the order, until no document is left that fits.
 """
 
 from __future__ import annotations
@@ -19,10 +21,12 @@ from .common import WORD, Stored, internal
 
 #: Times a document is taken at most.
 PASSES = 3
-#: The most patterns and sources that the driver solves for; beyond it this is an error, never a cut.
-MAX_PATTERNS = 100_000
-#: Documents of a bucket of the seeded order on average, and the most buckets of a pattern.
-_BUCKET, _BUCKETS = 64, 65_536
+#: Bits of the seeded order, and those that a histogram adds at most.
+_BITS, _STEP = 52, 12
+#: Documents of a last bucket, on average at most.
+_BUCKET = 64
+#: Patterns whose plans are broadcast; more are joined as Spark chooses.
+_SMALL = 10_000
 
 
 def size_of(text: Column) -> Column:
@@ -57,18 +61,31 @@ def flow(capacity: dict[tuple, int], quota: dict[object, float], passes: int = P
     """Words taken of each pattern: a minimum-cost flow by successive shortest paths.
 
     capacity: words of each pattern (a tuple of sources). quota: words each source should get. A source
-    gets less than its quota only if its patterns have no more to give.
+    gets less than its quota only if its patterns have no more to give. Patterns that share no source, not
+    even by way of others, don't touch: each such part is a flow of its own.
     """
-    patterns, sources = list(capacity), list(quota)
-    alone = {p for p in patterns if len(p) == 1}
-    taken = dict.fromkeys(patterns, 0.0)
-    shared_sources = {s for p in patterns if p not in alone for s in p}
-    for p in alone:  # a source that no other pattern feeds needs no search
-        if p[0] not in shared_sources:
-            taken[p] = min(passes * float(capacity[p]), quota.get(p[0], 0.0))
-    todo = [p for p in patterns if p not in alone or p[0] in shared_sources]
-    if not todo:
-        return taken
+    root: dict[object, object] = {}
+
+    def find(s: object) -> object:
+        while root.setdefault(s, s) != s:
+            root[s] = s = root[root[s]]
+        return s
+
+    for p in capacity:
+        for s in p[1:]:
+            root[find(s)] = find(p[0])
+    parts: dict[object, list[tuple]] = {}
+    for p in capacity:
+        parts.setdefault(find(p[0]) if p else (), []).append(p)
+    taken: dict[tuple, float] = {}
+    for part in parts.values():
+        sources = sorted({s for p in part for s in p if s in quota}, key=str)
+        taken |= _flow({p: capacity[p] for p in part}, {s: quota[s] for s in sources}, passes)
+    return taken
+
+
+def _flow(capacity: dict[tuple, int], quota: dict[object, float], passes: int) -> dict[tuple, float]:
+    todo, sources, taken = list(capacity), list(quota), {}
     node = {s: 1 + i for i, s in enumerate(sources)}
     first, sink = 1 + len(sources), 1 + len(sources) + len(todo)
     graph: list[list[_Edge]] = [[] for _ in range(sink + 1)]
@@ -115,9 +132,56 @@ def flow(capacity: dict[tuple, int], quota: dict[object, float], passes: int = P
     return taken
 
 
-def _units(seed: int) -> Column:
-    """A number in [0, 1) from the id and the seed."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("__id")), 11) / F.lit(float(1 << 53))
+def _order(seed: int) -> Column:
+    """A row's place in the seeded order: a whole number below 2 ** _BITS of its id and text."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__id", "__text"), 64 - _BITS)
+
+
+def _last_pass(rows: DataFrame, rest: dict[str, float], most: int) -> tuple[dict[str, list[tuple[int, int, int]]], dict[str, list[int]]]:
+    """How the last pass takes `rest` words of each pattern: ranges (from, until, words at most) of the order, of which all
+    rows go, and single places.
+
+    rows: (__key, __size, __h). most: rows of the largest pattern. A round finds the bucket in which the words are met,
+    takes what comes before it, and of the bucket the largest rows first that still fit; the next round goes on
+    behind it with the rows that fit in what is left. Rows of one place (equal id and text) are taken together.
+    """
+    spark = rows.sparkSession
+    ranges: dict[str, list[tuple[int, int, int]]] = {k: [] for k in rest}
+    places: dict[str, list[int]] = {k: [] for k in rest}
+    now = {k: (r, 0, 1 << 62) for k, r in rest.items() if r >= 1}  # what is left, from where, and the largest size
+    while now:
+        edge = {k: (r, 0) for k, (r, *_) in now.items()}  # words to take within the bucket, and which bucket
+        bits, left = 0, most
+        while edge and (not bits or left > _BUCKET) and bits < _BITS:
+            step = min(_STEP, _BITS - bits, max(1, (left // _BUCKET).bit_length()))
+            told = spark.createDataFrame([(k, float(edge[k][0]), edge[k][1], now[k][1], now[k][2]) for k in edge], "__key string, rest double, edge long, start long, most long").coalesce(1)
+            bucket = F.shiftright("__h", _BITS - bits - step)
+            part = rows.join(F.broadcast(told) if len(edge) <= _SMALL else told, "__key").where((F.col("__size") > 0) & (F.col("__size") <= F.col("most")) & (F.col("__h") >= F.col("start")) & (F.shiftright("__h", _BITS - bits) == F.col("edge")))
+            per = part.groupBy("__key", bucket.alias("bucket")).agg(F.sum("__size").alias("size"), F.count("*").alias("n"), F.max("rest").alias("rest"))
+            upto = F.sum("size").over(Window.partitionBy("__key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            met = per.withColumn("upto", upto).where("upto >= rest and upto - size < rest").select("__key", "bucket", "n", (F.col("rest") - (F.col("upto") - F.col("size"))).alias("rest")).collect()  # a row a pattern
+            edge = {r["__key"]: (r["rest"], r["bucket"]) for r in met}
+            bits, left = bits + step, max((r["n"] for r in met), default=0)
+        for k in set(now) - set(edge):  # all that fits is less than what is left
+            ranges[k].append((now[k][1], 1 << _BITS, now[k][2]))
+        if not edge:
+            break
+        width = 1 << (_BITS - bits)
+        told = spark.createDataFrame([(k, float(r), b, now[k][1], now[k][2]) for k, (r, b) in edge.items()], "__key string, rest double, edge long, start long, most long").coalesce(1)
+        bag = rows.join(F.broadcast(told) if len(edge) <= _SMALL else told, "__key").where((F.col("__size") > 0) & (F.col("__size") <= F.col("most")) & (F.col("__h") >= F.col("start")) & (F.shiftright("__h", _BITS - bits) == F.col("edge")))
+        bag = bag.groupBy("__key", "rest", "__h").agg(F.sum("__size").alias("s")).groupBy("__key", "rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("s"), F.col("__h").alias("h")))).alias("items"))
+        begin = F.struct(F.col("rest").alias("room"), F.array().cast("array<long>").alias("hs"))
+        fits = lambda acc, x: F.when(acc["room"] + x["s"] >= -0.5, F.struct((acc["room"] + x["s"]).alias("room"), F.array_append(acc["hs"], x["h"]).alias("hs"))).otherwise(acc)
+        nxt = {}
+        for r in bag.select("__key", F.aggregate("items", begin, fits).alias("x")).collect():  # a row a pattern, of some _BUCKET places
+            k, (room, hs) = r["__key"], r["x"]
+            first = edge[k][1] * width
+            ranges[k].append((now[k][1], first, now[k][2]))
+            places[k] += hs
+            if room >= 1 and first + width < 1 << _BITS:
+                nxt[k] = (room, first + width, int(min(room, now[k][2])))
+        now = nxt
+    return ranges, places
 
 
 def mix(docs: DataFrame, sources: Column, weights, id_col: str = "doc_id", text_col: str = "text", seed: int = 42) -> DataFrame:
@@ -125,21 +189,20 @@ def mix(docs: DataFrame, sources: Column, weights, id_col: str = "doc_id", text_
 
     sources: an array of the sources a row belongs to (none: the row is not taken). weights: a function
     from the sorted list of sources (null last) to {source: weight}, or such a dict. Targets are
-    `targets()` of the sources' sizes. Rows without words are taken as often as whole passes say.
-    The seeded order depends on the id alone, so reruns agree; rows that repeat an id fall in one
-    place of it. Columns of the operator's names are replaced. Within the bucket where a pattern's flow ends, large documents are tried first and
-    what still fits is taken, so the taken words come within a small document of the flow.
+    `targets()` of the sources' sizes. Rows without words (null and empty texts) are taken as often as whole
+    passes say; very long texts count like others. The seeded order depends on id and text alone, so reruns agree;
+    rows equal in both are at one place of it and taken alike. The taken words fall short of the flow by less than the
+    smallest row that was not taken. Columns of the operator's names are replaced; an empty table
+    gives an empty table. The driver holds a few hundred bytes for each membership pattern that occurs.
     """
     internal(docs, id_col, text_col)
-    docs = docs.drop(*(f"__{n}" for n in ("size", "sources", "id", "key", "u", "target", "source_size", "whole", "rest", "buckets", "edge", "us", "copies")))
+    docs = docs.drop(*(f"__{n}" for n in ("size", "sources", "id", "text", "key", "h", "target", "source_size", "whole", "ranges", "places", "copies")))
     kind = docs.select(sources.alias("s")).schema["s"].dataType.simpleString()
     member = F.coalesce(F.array_sort(F.array_distinct(sources)), F.array().cast(kind))
-    told = docs.select("*", size_of(F.col(text_col)).alias("__size"), member.alias("__sources"), F.col(id_col).alias("__id"))
-    told = told.withColumn("__key", F.to_json(F.struct("__sources"))).withColumn("__u", _units(seed)).drop("__id")
-    rows = Stored(told.select("__key", "__sources", "__size", "__u"), "mixing").df
-    found = rows.groupBy("__key").agg(F.first("__sources").alias("p"), F.count("*").alias("n"), F.sum("__size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns: group the sources first")
+    told = docs.select("*", size_of(F.col(text_col)).alias("__size"), member.alias("__sources"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    told = told.withColumn("__key", F.to_json(F.struct("__sources"))).withColumn("__h", _order(seed)).drop("__id", "__text")
+    rows = Stored(told.select("__key", "__sources", "__size", "__h"), "mixing").df
+    found = list(rows.groupBy("__key").agg(F.first("__sources").alias("p"), F.count("*").alias("n"), F.sum("__size").alias("size")).toLocalIterator())
     found.sort(key=lambda r: r["__key"])
     capacity = {tuple(r["p"]): int(r["size"]) for r in found}
     sizes: dict = {}
@@ -151,35 +214,21 @@ def mix(docs: DataFrame, sources: Column, weights, id_col: str = "doc_id", text_
     if (every := sum(sizes.values())) and (once := sum(n for p, n in capacity.items() if p)) != every:
         quota = {s: x * once / every for s, x in quota.items()}  # documents of several sources count once in what there is to share
     taken = flow({p: n for p, n in capacity.items() if p}, quota)
-    plan = []
+    plan, rest = [], {}
     for r in found:
         p = tuple(r["p"])
         n, words = taken.get(p, 0.0), capacity[p]
-        whole = min(PASSES, int(n // words)) if words else int(bool(p))
-        rest = n - whole * words if words and whole < PASSES else 0.0
-        plan.append((r["__key"], float(quota[p[0]]) if p else 0.0, sizes[p[0]] if p else 0, whole, rest if rest >= 1 else 0.0, max(1, min(_BUCKETS, r["n"] // _BUCKET))))
-    spark, fields = docs.sparkSession, "__key string, __target double, __source_size long, __whole int, __rest double, __buckets int"
-    table = spark.createDataFrame(plan, fields).coalesce(1)  # at most MAX_PATTERNS rows
-    bucket = F.floor(F.col("__u") * F.col("__buckets")).cast("int")
-    part = rows.where("__size > 0").join(F.broadcast(table.where("__rest > 0")), "__key").select("__key", "__rest", "__size", "__u", bucket.alias("__bucket"))
-    upto = F.sum("size").over(Window.partitionBy("__key").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    per = part.groupBy("__key", "__bucket").agg(F.sum("__size").alias("size"), F.max("__rest").alias("rest")).withColumn("upto", upto)
-    edge = per.where("upto >= rest and upto - size < rest").select("__key", "__bucket", (F.col("rest") - (F.col("upto") - F.col("size"))).alias("room"))
-    items = F.array_sort(F.collect_list(F.struct((-F.col("__size")).alias("s"), F.col("__u").alias("u"))))
-    bag = part.join(F.broadcast(edge), ["__key", "__bucket"]).groupBy("__key", "__bucket").agg(F.max("room").alias("room"), items.alias("items"))
-    start = F.struct(F.col("room").alias("room"), F.array().cast("array<double>").alias("us"))
-
-    def fits(acc: Column, x: Column) -> Column:
-        room = acc["room"] + x["s"]
-        return F.when(room >= -0.5, F.struct(room.alias("room"), F.array_append(acc["us"], x["u"]).alias("us"))).otherwise(acc)
-
-    chosen = {r["__key"]: (r["__bucket"], r["us"]) for r in bag.select("__key", "__bucket", F.aggregate("items", start, fits)["us"].alias("us")).collect()}
-    # without an edge: nothing of the last pass, or (if sizes round so) all of it
-    full = [(*x, *chosen.get(x[0], (x[5] if x[4] else -1, []))) for x in plan]
-    plans = spark.createDataFrame(full, fields + ", __edge int, __us array<double>").coalesce(1)
-    more = (F.col("__size") > 0) & ((bucket < F.col("__edge")) | ((bucket == F.col("__edge")) & F.array_contains("__us", F.col("__u"))))
-    out = told.join(F.broadcast(plans), "__key").withColumn("__copies", (F.col("__whole") + more.cast("int")).cast("long"))
-    return out.drop("__key", "__u", "__whole", "__rest", "__buckets", "__edge", "__us")
+        whole = min(PASSES, int((n + 1e-6) // words)) if words else int(bool(p))
+        if words and whole < PASSES and n - whole * words >= 1:
+            rest[r["__key"]] = n - whole * words
+        plan.append((r["__key"], float(quota[p[0]]) if p else 0.0, sizes[p[0]] if p else 0, whole))
+    ranges, places = _last_pass(rows.drop("__sources"), rest, max((r["n"] for r in found), default=0)) if rest else ({}, {})
+    fields = "__key string, __target double, __source_size long, __whole int, __ranges array<struct<a:long,b:long,most:long>>, __places array<long>"
+    plans = docs.sparkSession.createDataFrame([(*x, ranges.get(x[0], []), places.get(x[0], [])) for x in plan], fields)  # a row a pattern
+    inside = F.exists("__ranges", lambda x: (F.col("__h") >= x["a"]) & (F.col("__h") < x["b"]) & (F.col("__size") <= x["most"]))
+    more = (F.col("__size") > 0) & (inside | F.array_contains("__places", F.col("__h")))
+    out = told.join(F.broadcast(plans.coalesce(1)) if len(plan) <= _SMALL else plans, "__key").withColumn("__copies", (F.col("__whole") + more.cast("int")).cast("long"))
+    return out.drop("__key", "__h", "__whole", "__ranges", "__places")
 
 
 def by_rank(pattern: tuple[int, ...] = (5, 2, 1)):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, internal
+from .common import Stored, internal, sliced
 from .rules import SYMBOLS, duplicate_lines, repeated_words
 
 #: Labelled rows that are fitted on at most, chosen by a hash of the id; random features; ridge; kernel width.
@@ -64,11 +64,15 @@ def statistics(text: str) -> list[float]:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, x): the statistics of each row's text; null is the empty text."""
+    """(doc_id, x): the statistics of each row's text; null is the empty text, a very long one is read whole.
+
+    Repeated rows are repeated. Only the two columns are read, so others' names don't matter; an empty table gives an
+    empty table.
+    """
     internal(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             x = [statistics(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
 
@@ -127,7 +131,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def fit(rows: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MAX_LABELS, seed: int = 42) -> Model:
     """rows: as of `features`. labels: (doc_id, label_col); only rows with a label of 0 or 1 count.
 
-    Without labels, or with one class, every score is the share of label 1 (a half without labels).
+    Without labels, or with one class, every score is the share of label 1 (a half without labels); so it is
+    with empty tables. A row counts as often as its id repeats in `rows` and `labels`; null ids match nothing.
     """
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col("doc_id").alias("__id"), F.col(label_col).cast("double").alias("y"))
     n = known.count()
@@ -166,7 +171,7 @@ def fit(rows: DataFrame, labels: DataFrame, label_col: str, max_labels: int = MA
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score): the probability of label 1 of rows as of `features`."""
+    """(doc_id, score): the probability of label 1 of rows as of `features`, one row for each; equal texts tie."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,8 +19,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
-#: Hosts blocked with their subdomains where no rule fits, and the rules (fixed values).
-LISTED = ["spam-farm.example.org", "casino-win.example.org", "ads-track.example.org", "cheap-pills.example.com", "free-bets.example.com"]
+#: Hosts blocked with their subdomains where no rule fits: each unwanted name under each domain; and the rules (fixed values).
+LISTED = [f"{name}.example.{top}" for name in ("spam-farm", "casino-win", "ads-track", "cheap-pills", "free-bets", "adult-x") for top in ("com", "net", "org")]
 RULES = [
     urlfilter.Rule("com", "/", "allow"),
     urlfilter.Rule("example.com", "/en/", "block"),

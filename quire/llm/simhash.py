@@ -31,7 +31,7 @@ from .graph import components
 
 #: Odd multipliers and shifts of the splitmix64 finaliser (fixed values), for the second and later words.
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
-_CHUNK = 1 << 15
+_CHUNK = 1 << 13
 #: Rows of a piece of a crowded variant; two pieces are compared at once.
 _PIECE = 2000
 
@@ -54,9 +54,9 @@ class Spec:
 
 #: Three-word shingles, 64 bits, links at two or fewer differing bits.
 EXACT = Spec()
-#: For similarity of 0.8 or more over five-word shingles: 256 bits, of which a Jaccard similarity of
-#: 0.8 leaves 256 * arccos(2 * 0.8 / 1.8) / pi = 38.7 different on average.
-NEAR = Spec(shingle=5, words=4, blocks=8, radius=2, limit=38)
+#: For similarity of 0.8 or more over five-word shingles: 512 bits, of which a Jaccard similarity of 0.8
+#: leaves 512 * arccos(2 * 0.8 / 1.8) / pi = 78 different on average (deviation 8), one of 0.75 leaves 88.
+NEAR = Spec(shingle=5, words=8, blocks=16, radius=2, limit=88)
 
 
 def hashes(text: str, shingle: int) -> np.ndarray:
@@ -75,20 +75,16 @@ def hashes(text: str, shingle: int) -> np.ndarray:
 
 def fold(h: np.ndarray, words: int) -> np.ndarray:
     """The fingerprint of shingle hashes, as signed 64-bit words; without hashes all zero."""
-    out = np.zeros(words, np.uint64)
-    for k in range(words if len(h) else 0):
-        x = h
-        if k:
-            x = h + np.uint64((_MIX[2] * k) & (2**64 - 1))
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[0])
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[1])
-            x ^= x >> np.uint64(31)
-        ones = np.zeros(64, np.int64)
-        for i in range(0, len(x), _CHUNK):
-            part = np.ascontiguousarray(x[i : i + _CHUNK]).astype("<u8")
-            ones += np.add.reduce(np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.int32)
-        out[k] = np.packbits(2 * ones > len(x), bitorder="little").view("<u8")[0]
-    return out.view(np.int64)
+    salt = np.array([(_MIX[2] * k) & (2**64 - 1) for k in range(1, words)], np.uint64)
+    ones = np.zeros(64 * words, np.int64)
+    for i in range(0, len(h), _CHUNK):
+        own = h[i : i + _CHUNK].astype(np.uint64)[:, None]
+        x = own + salt
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[0])
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[1])
+        every = np.ascontiguousarray(np.hstack([own, x ^ (x >> np.uint64(31))])).astype("<u8")
+        ones += np.add.reduce(np.unpackbits(every.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > len(h), bitorder="little").view("<i8").astype(np.int64)
 
 
 def fingerprints(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,71 +141,111 @@ def _keyed(nodes: DataFrame, spec: Spec, *also: str) -> DataFrame:
     return keyed.select("id", "v", *also)
 
 
-def candidate_pairs(nodes: DataFrame, spec: Spec) -> DataFrame:
-    """Distinct pairs (a > b) of ids that are tied in a variant. nodes: (id, f0, ...), distinct fingerprints."""
-    keyed = _keyed(nodes, spec)
+def meetings(nodes: DataFrame, spec: Spec) -> DataFrame:
+    """(id, v, n, least, before): the nodes of each variant that two or more have; n: how many, least: the least id,
+    before: the next smaller one. nodes: (id, f0, ...), distinct fingerprints."""
     near = Window.partitionBy("v").orderBy("id")
-    met = keyed.select("id", F.first("id").over(near).alias("least"), F.lag("id").over(near).alias("before")).where("before is not null")
+    every = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return _keyed(nodes, spec).select("id", "v", F.count("*").over(every).cast("int").alias("n"), F.first("id").over(near).alias("least"), F.lag("id").over(near).alias("before")).where("n > 1")
+
+
+def candidate_pairs(met: DataFrame, spec: Spec) -> DataFrame:
+    """Distinct pairs (a > b) of ids that are tied in a variant of `meetings`."""
     ties = [F.col("least")] if spec.blocks == 1 else [F.col("least"), F.col("before")]
-    return met.select(F.col("id").alias("a"), F.explode(F.array(*ties)).alias("b")).distinct()
+    return met.where("before is not null").select(F.col("id").alias("a"), F.explode(F.array(*ties)).alias("b")).distinct()
 
 
-def crowded_links(nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
+def crowded_links(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
     """(a, b): links between components `roots` that ties missed. nodes: (id, f0, ...), distinct fingerprints.
 
     Ties test all pairs of up to three rows of a variant. Of larger variants with rows in several components
-    (those with the same rows count once) every two rows meet in a pair of pieces, where those of different
-    components are compared; a piece pair returns a link only if it joins what its other links have not.
+    (those with the same rows count once) every two rows meet in a pair of pieces of at most `piece` rows on
+    average, where `spanning` compares those of different components.
     """
     piece = piece or _PIECE
     names = [f"f{k}" for k in range(spec.words)]
-    told = nodes.join(roots, nodes["id"] == roots["node"], "left").select("id", *names, F.coalesce("component", "id").alias("c"))
-    told = Stored(told, "simhash-told").df
-    keyed = _keyed(told, spec, "c")
+    rows = met.where("n > 3").select("id", "v").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    rows = rows.select("id", "v", F.coalesce("component", "id").alias("c"))
     marks = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(f"m{k}") for k in range(2)]
-    groups = keyed.groupBy("v").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), *marks).where("n > 3 and lo <> hi")
+    groups = rows.groupBy("v").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), *marks).where("lo <> hi")
     crowded = Stored(groups.groupBy("n", "m0", "m1").agg(F.min("v").alias("v")).select("v", F.ceil(F.col("n") / piece).cast("int").alias("pieces")), "simhash-crowded").df
-    rows = keyed.select("id", "v").join(crowded, "v").withColumn("p", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    met = rows.select("id", "v", "p", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("q"))
-    met = met.select("id", "v", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).join(told, "id")
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        ids, c = (table.column(n).to_numpy() for n in ("id", "c"))
-        f = np.stack([table.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
-        c = np.unique(c, return_inverse=True)[1]
-        a, b = [], []
-        for i in range(len(ids)):
-            other = np.flatnonzero(c[i + 1 :] != c[i]) + i + 1
-            if len(other):
-                for j in other[np.bitwise_count(f[other] ^ f[i]).sum(axis=1, dtype=np.int64) <= spec.limit]:
-                    if c[j] != c[i]:
-                        a.append(max(ids[i], ids[j]))
-                        b.append(min(ids[i], ids[j]))
-                        c[c == c[j]] = c[i]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return met.groupBy("v", "p", "q").applyInArrow(run, "a long, b long")
+    dealt = rows.join(crowded, "v").withColumn("p", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    dealt = dealt.select("id", "c", "v", "p", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("q"))
+    dealt = dealt.select("id", "c", "v", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).join(nodes, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # of the run that goes on
+        for b in itertools.chain(batches, [None]):
+            now = [] if b is None else [np.stack([x.to_numpy(zero_copy_only=False) for x in b.columns], axis=1)]
+            table = np.concatenate([*held, *now]) if held or now else np.empty((0, 5 + spec.words), np.int64)
+            cuts = np.flatnonzero((table[1:, :3] != table[:-1, :3]).any(axis=1)) + 1
+            edges = [0, *cuts.tolist(), len(table)] if len(table) else [0]
+            last = len(edges) - 1 if b is None else len(edges) - 2
+            held = [table[edges[last] :]] if b is not None and len(table) else []
+            found = [x for lo, hi in zip(edges[:last], edges[1 : last + 1], strict=True) for x in spanning(table[lo:hi, 3], table[lo:hi, 4], table[lo:hi, 5:].view(np.uint64), spec.limit)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["a", "b"])
+
+    order = dealt.select("v", F.col("p").cast("long"), F.col("q").cast("long"), "id", "c", *names).repartition("v", "p", "q").sortWithinPartitions("v", "p", "q")
+    return order.mapInArrow(run, "a long, b long").distinct()
+
+
+def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Links (a > b) within the limit that join all components `c` that any link joins.
+
+    Every row is compared with all later ones that are not yet in its component. Those nearest to the rows'
+    bitwise majority come first, so that a family of copies is joined by its first row.
+    """
+    kinds, c = np.unique(c, return_inverse=True)
+    left, out = len(kinds), []
+    if left < 2:
+        return out
+    f = np.ascontiguousarray(f)
+    if len(ids) > 8:
+        bits = np.unpackbits(f.view(np.uint8), axis=1)
+        far = (bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(ids))).sum(axis=1)
+        order = np.argsort(far, kind="stable")
+        ids, c, f = ids[order], c[order], f[order]
+    for i in range(len(ids) - 1):
+        other = np.flatnonzero(c[i + 1 :] != c[i]) + i + 1
+        if len(other):
+            for j in other[np.bitwise_count(f[other] ^ f[i]).sum(axis=1, dtype=np.int64) <= limit].tolist():
+                if c[j] != c[i]:
+                    out.append((max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))))
+                    c[c == c[j]] = c[i]
+                    left -= 1
+        if left < 2:
+            break
+    return out
 
 
 def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, f0, ..., component_id): the class of each row, named by the smallest doc_id reachable.
 
     Equal fingerprints are one node, so a group of copies of any size costs what one text does. Null
-    and empty texts have fingerprint zero and link like any other; repeated ids keep their rows; rows
-    with a null id are returned with the class of their fingerprint.
+    and empty texts have fingerprint zero and link like any other; a very long text is folded in pieces;
+    repeated ids keep their rows; rows with a null id are returned with the class of their fingerprint. Ids are
+    numbers or their decimal form: other text is an error. Half of a bit's hashes set (a tie) is a 0. Only
+    the two columns are read, so others' names don't matter; an empty table gives an empty table.
     """
     names = [f"f{k}" for k in range(spec.words)]
     prints = stored(fingerprints(docs, spec, id_col, text_col), "simhash")
     nodes = Stored(prints.groupBy(*names).agg(F.min("doc_id").alias("id")), "simhash-nodes").df
-    pairs = candidate_pairs(nodes.where("id is not null"), spec)
+    own = nodes.where("id is not null")
+    met, used = meetings(own, spec), []
+    if spec.blocks > 1:
+        used.append(Stored(met, "simhash-met"))
+        met = used[0].df
+    pairs = candidate_pairs(met, spec)
     if spec.blocks > 1 or spec.limit < spec.radius:
         one, other = nodes.withColumnRenamed("id", "a"), nodes.select(F.col("id").alias("b"), *(F.col(n).alias(f"o{n}") for n in names))
         pairs = pairs.join(one, "a").join(other, "b").where(differing(spec) <= spec.limit).select("a", "b")
     if spec.blocks > 1:
-        pairs = Stored(pairs, "simhash-links").df
-        more = crowded_links(nodes.where("id is not null"), components(pairs), spec)
-        pairs = pairs.union(more)
-    roots = components(pairs)
+        used.append(Stored(pairs, "simhash-links"))
+        pairs = used[1].df
+        pairs = pairs.union(crowded_links(met, own, components(pairs), spec))
+    roots = components(pairs)  # stored, so what it was made of can go
+    for x in used:
+        x.drop()
     classes = nodes.join(roots, nodes["id"] == roots["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
     return prints.join(classes, names).select("doc_id", *names, "component_id")
 

@@ -2,9 +2,9 @@
 
 The probability that a document's grade is at most k is logistic(threshold_k - w . x), with one weight
 vector for all ordered thresholds. x holds log(1 + count) of sparse text features: words and their
-first four to seven letters, and again those that occur twice or more. Labels are binary; the grade of
-a toxic training document is 1, 2 or 3 by the tercile of how much it has of the features chosen (the sum
-of x). The severity is the expected grade.
+first four to seven letters, and again those that occur twice or more. Labels are binary; the grade of a toxic
+training document is 1, 2 or 3 by the tercile of its amount: how many of its words the other half of the sample
+tells to be toxic, so that no document is graded by what was learned from itself. The severity is the expected grade.
 """
 
 from __future__ import annotations
@@ -16,15 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, internal
+from .common import Stored, internal, sliced
 
-#: Labelled documents that are fitted on at most, by a hash of the id; features at most.
-MAX_LABELS, MAX_FEATURES = 20_000, 4096
-#: A feature is in this many toxic training documents at least, and so many times as often as chance.
-MIN_DOCS, MIN_ODDS = 4, 8.0
+#: Labelled documents that are fitted on at most, by a hash of the id; they bound the features, too.
+MAX_LABELS = 20_000
+#: A feature is in this many toxic training documents at least, and so many times as often as chance; in a half of the sample in so many.
+MIN_DOCS, MIN_ODDS, MIN_HALF = 4, 8.0, 2
 GRADES = 4
 PREFIXES = (4, 5, 6, 7)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -111,47 +111,66 @@ def ordinal(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, grade: np.ndar
     return theta[:k], theta[k] + np.concatenate([[0.0], np.cumsum(np.exp(theta[k + 1 :]))])
 
 
+def amount(text: str, told: set[str]) -> int:
+    """How many of a text's words have a feature in `told`."""
+    return sum(n for w, n in Counter(tokens(text)).items() if not told.isdisjoint(names(w)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labels: int = MAX_LABELS, seed: int = 42) -> Model:
-    """labels: (doc_id, label_col); only labels of 0 or 1 count. Without a toxic one every severity is 0."""
+    """labels: (doc_id, label_col); only labels of 0 or 1 count. Without a toxic one every severity is 0.
+
+    Null and empty texts have no features. A row counts as often as its id repeats in `docs` and `labels`;
+    documents of one amount get one grade. An empty table is one without labels.
+    """
     internal(docs, id_col, text_col)
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col("doc_id").alias("__id"), F.col(label_col).cast("int").alias("y"))
     count = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     share = {y: min(1.0, max_labels / 2 / n) for y, n in count.items()}
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__id"), 11) / F.lit(float(1 << 53))
+    half = F.pmod(F.xxhash64(F.lit(seed + 1), "__id"), F.lit(2)).cast("int")
     some = known.where(unit < F.when(F.col("y") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)))  # about max_labels rows
-    told = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text")).join(F.broadcast(some), F.col("__doc") == F.col("__id")).select("text", "y")
+    told = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text")).join(F.broadcast(some), F.col("__doc") == F.col("__id")).select("text", "y", half.alias("half"))
     sample = Stored(told, "toxicity-sample").df
+    kinds = [(y, h) for y in (0, 1) for h in (0, 1)]
 
     def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found: dict[int, Counter] = {0: Counter(), 1: Counter()}
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found[y].update(features(text or ""))
-            f = [*found[0], *found[1]]
-            n0, n1 = [*found[0].values(), *[0] * len(found[1])], [*[0] * len(found[0]), *found[1].values()]
-            yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(n0, pa.int64()), pa.array(n1, pa.int64())], ["f", "n0", "n1"])
-
-    size = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    odds = (F.col("n1") + 0.5) / (size.get(1, 0) + 1.0) / ((F.col("n0") + 0.5) / (size.get(0, 0) + 1.0))
-    freq = sample.mapInArrow(count_features, "f string, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    chosen = freq.where((F.col("n1") >= MIN_DOCS) & (odds >= MIN_ODDS)).orderBy(F.desc("n1"), "f").limit(MAX_FEATURES).collect()
-    model = Model({r["f"]: i for i, r in enumerate(chosen)}, np.zeros(len(chosen)), np.full(GRADES - 1, 30.0))
+        for b in sliced(batches):
+            found: dict[tuple[int, int], Counter] = {k: Counter() for k in kinds}
+            for text, y, h in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                found[y, h].update(features(text or ""))
+            f = list(set().union(*found.values()))
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), *(pa.array([found[k][x] for x in f], pa.int64()) for k in kinds)], ["f", *(f"n{y}{h}" for y, h in kinds)])
+
+    size = {(r["y"], r["half"]): r["count"] for r in sample.groupBy("y", "half").count().collect()}
+    counted = sample.mapInArrow(count_features, "f string, " + ", ".join(f"n{y}{h} long" for y, h in kinds)).groupBy("f").agg(*(F.sum(f"n{y}{h}").alias(f"n{y}{h}") for y, h in kinds))
+
+    def marked(halves: tuple[int, ...], least: int) -> Column:
+        n0, n1 = (sum((F.col(f"n{y}{h}") for h in halves), F.lit(0)) for y in (0, 1))
+        s0, s1 = (sum(size.get((y, h), 0) for h in halves) for y in (0, 1))
+        return (n1 >= least) & ((n1 + 0.5) / (s1 + 1.0) / ((n0 + 0.5) / (s0 + 1.0)) >= MIN_ODDS)
+
+    freq = counted.select("f", marked((0, 1), MIN_DOCS).alias("chosen"), *(marked((h,), MIN_HALF).alias(f"told{h}") for h in (0, 1)))
+    rows = freq.where("chosen or told0 or told1").orderBy("f").collect()  # features of a bounded sample
+    chosen = [r["f"] for r in rows if r["chosen"]]
+    model = Model({f: i for i, f in enumerate(chosen)}, np.zeros(len(chosen)), np.full(GRADES - 1, 30.0))
     if not chosen:
         return model
-    shared = spark.sparkContext.broadcast(model)
+    by_half = [{r["f"] for r in rows if r[f"told{h}"]} for h in (0, 1)]
+    shared = spark.sparkContext.broadcast((model, by_half))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, tuple] = {}
-        for b in batches:
-            got = [shared.value.vector(t or "", seen) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([list(x) for x in got], pa.list_(pa.int32())), pa.array([list(x.values()) for x in got], pa.list_(pa.int32())), b.column(1)], ["i", "n", "y"])
-
-    rows = sample.mapInArrow(vectors, "i array<int>, n array<int>, y int").collect()  # about max_labels rows of a few features
-    grade, amount = np.array([r["y"] for r in rows]), np.array([np.log1p(np.array(r["n"], float)).sum() for r in rows])
-    toxic = grade == 1
-    cuts = np.quantile(amount[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
-    grade = np.where(toxic, 1 + np.searchsorted(cuts, amount, side="left"), 0)
+        (model, by_half), seen = shared.value, {}
+        for b in sliced(batches):
+            texts, y, h = (c.to_pylist() for c in b.columns)
+            got = [model.vector(t or "", seen) for t in texts]
+            much = [amount(t or "", by_half[1 - k]) if bad else 0 for t, bad, k in zip(texts, y, h, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([list(x) for x in got], pa.list_(pa.int32())), pa.array([list(x.values()) for x in got], pa.list_(pa.int32())), b.column(1), pa.array(much, pa.int64())], ["i", "n", "y", "much"])
+
+    rows = sample.mapInArrow(vectors, "i array<int>, n array<int>, y int, much long").collect()  # about max_labels rows of a few features
+    toxic, much = np.array([r["y"] for r in rows]) == 1, np.array([r["much"] for r in rows])
+    cuts = np.quantile(much[toxic], [1 / 3, 2 / 3]) if toxic.any() else np.zeros(2)
+    grade = np.where(toxic, 1 + np.searchsorted(cuts, much, side="left"), 0)
     at = np.repeat(np.arange(len(rows)), [len(r["i"]) for r in rows])
     cols = np.array([i for r in rows for i in r["i"]], np.int64)
     vals = np.log1p(np.array([n for r in rows for n in r["n"]], float))
@@ -162,14 +181,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, severity, grade, p_toxic): expected and likeliest grade, probability of any grade above 0.
 
-    One row for each of `docs`; a null or empty text has no features and the severity they leave.
+    One row for each of `docs`; a null or empty text has no features and the severity they leave; of grades that
+    tie the least counts; equal texts, however long, get equal values. Only the two columns are read, so others' names
+    don't matter; an empty table gives an empty table.
     """
     internal(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, tuple] = {}
-        for b in batches:
+        for b in sliced(batches):
             value = np.array([sum(shared.value.weights[i] * np.log1p(n) for i, n in shared.value.vector(t or "", seen).items()) for t in b.column(1).to_pylist()], float)
             p = _grades(shared.value.thresholds, value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p @ np.arange(GRADES), pa.float64()), pa.array(p.argmax(axis=1), pa.int32()), pa.array(1 - p[:, 0], pa.float64())], ["doc_id", "severity", "grade", "p_toxic"])

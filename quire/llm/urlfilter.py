@@ -6,8 +6,10 @@ the corpus is listed if the first level that does not hold it is odd. As every k
 seen while building, the answer is exact. A level is an array of longs that reaches the executors as
 an uncorrelated scalar subquery: no join, no UDF.
 
-The bits of a level are a set number for each key, so the arrays' size is known before they are made;
-beyond MAX_BITS bits the same answer comes from a semi-join.
+The bits of a level are a set number for each key, so the arrays' size is known before they are made. A
+level of over MAX_BITS bits is cut in shards by the key's hash, each an array of its own. Only where all
+shards of a level were over ALL_BITS bits together (some 200 million listed keys that the corpus has), too
+much for executors to hold, the same answer comes from a semi-join.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import Stored, internal
 
-#: Bits of the largest level that is sent to executors (32 MB).
-MAX_BITS = 1 << 28
+#: Bits of the largest array that is sent to executors (32 MB), and of all arrays of a level (256 MB).
+MAX_BITS, ALL_BITS = 1 << 28, 1 << 31
 #: Bits and probes a key, in the first level and in the others.
 FIRST, OTHER = (10, 5), (4, 2)
 
@@ -75,42 +77,58 @@ def _holds(words: Column, key: Column, level: int, bits: int, probes: int) -> Co
     return out
 
 
+def _shard(key: Column, shards: int) -> Column:
+    """Which of the shards a key is in; of a hash that no level probes with."""
+    return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards)).cast("int")
+
+
 @dataclass
 class Level:
-    """A Bloom filter; words: a frame of one row, the array of its bits."""
+    """A Bloom filter; shards: for each a frame of one row, the array of its bits, and how many bits (0: no key)."""
 
-    words: DataFrame
+    shards: list[tuple[DataFrame | None, int]]
     level: int
-    bits: int
     probes: int
 
     def holds(self, key: Column) -> Column:
-        return _holds(self.words.scalar(), key, self.level, self.bits, self.probes)
+        inside = [_holds(words.scalar(), key, self.level, bits, self.probes) if words is not None else F.lit(False) for words, bits in self.shards]
+        out, shard = inside[0], _shard(key, len(inside))
+        for k, x in list(enumerate(inside))[1:]:
+            out = F.when(shard == k, x).otherwise(out)
+        return out
 
 
-def build(keys: DataFrame, level: int, bits: int, probes: int) -> Level:
-    """keys: one column. The bits are set by an aggregation over 64-bit words."""
-    key = F.col(keys.columns[0])
-    p = keys.select(F.explode(F.array(*_positions(key, level, bits, probes))).alias("p"))
+def _words(keys: DataFrame, level: int, bits: int, probes: int) -> DataFrame:
+    """One row, the array of a filter's bits, set by an aggregation over 64-bit words."""
+    p = keys.select(F.explode(F.array(*_positions(F.col("key"), level, bits, probes))).alias("p"))
     some = p.select(F.shiftright("p", 6).alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int")).alias("w"))
     every = keys.sparkSession.range(bits // 64).select(F.col("id").alias("i"), F.lit(0).cast("long").alias("w"))
     words = some.groupBy("i").agg(F.bit_or("w").alias("w")).union(every).groupBy("i").agg(F.bit_or("w").alias("w"))
     row = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]).alias("words"))
-    return Level(Stored(row, "bloom").df, level, bits, probes)
+    return Stored(row, "bloom").df
+
+
+def build(keys: DataFrame, n: int, level: int, per_key: int, probes: int, max_bits: int = MAX_BITS) -> Level:
+    """keys: one column, `n` rows. Of so many shards that each has `max_bits` bits at most, on average."""
+    keys = keys.toDF("key")
+    count = max(1, -(-n * per_key // max_bits))
+    if count == 1:
+        return Level([(_words(keys, level, max(64, (n * per_key + 63) // 64 * 64), probes), max(64, (n * per_key + 63) // 64 * 64))], level, probes)
+    sizes = {r["s"]: r["count"] for r in keys.groupBy(_shard(F.col("key"), count).alias("s")).count().collect()}  # one row a shard
+    bits = [(sizes.get(s, 0) * per_key + 63) // 64 * 64 for s in range(count)]
+    return Level([(_words(keys.where(_shard(F.col("key"), count) == s), level, b, probes) if b else None, b) for s, b in enumerate(bits)], level, probes)
 
 
-def may_hold(keys: DataFrame, key: Column, max_bits: int = MAX_BITS) -> Column:
-    """False only where `key` is none of `keys`; always true if a filter of 8 bits a key were over `max_bits`."""
+def may_hold(keys: DataFrame, max_bits: int = MAX_BITS, all_bits: int = ALL_BITS) -> Level | None:
+    """A filter of 8 bits for each of `keys` (one column); none if it had over `all_bits`."""
     n = keys.count()
-    if not n or 8 * n > max_bits:
-        return F.lit(bool(n))
-    return build(keys, 0, (8 * n + 63) // 64 * 64, 4).holds(key)
+    return build(keys, n, 0, 8, 4, max_bits) if 8 * n <= all_bits else None
 
 
 class Cascade:
     """keys: distinct listed keys; universe: distinct keys of the corpus. Both have one column, `key`."""
 
-    def __init__(self, listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS):
+    def __init__(self, listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS, all_bits: int = ALL_BITS):
         self.spark: SparkSession = universe.sparkSession
         known = universe.where("key is not null").distinct().join(listed.where("key is not null").select("key").distinct().withColumn("in", F.lit(True)), "key", "left")
         self.all = Stored(known.select("key", F.coalesce("in", F.lit(False)).alias("in")), "urls").df
@@ -119,11 +137,10 @@ class Cascade:
         inside, outside = self.all.where("in").select("key"), self.all.where("not in").select("key")
         while n := inside.count():
             per, probes = OTHER if self.levels else FIRST
-            bits = (n * per + 63) // 64 * 64
-            if bits > max_bits:
+            if n * per > all_bits:
                 self.levels, self.exact = [], self.all.where("in").select("key")
                 return
-            self.levels.append(build(inside, len(self.levels), bits, probes))
+            self.levels.append(build(inside, n, len(self.levels), per, probes, max_bits))
             passed = Stored(outside.where(self._at(len(self.levels) - 1, F.col("key"))), "urls").df
             inside, outside = passed, inside
 
@@ -138,13 +155,14 @@ class Cascade:
         return out
 
 
-def filter_urls(pages: DataFrame, listed: list[str] | DataFrame, rules: list[Rule], url_col: str = "url", max_bits: int = MAX_BITS) -> DataFrame:
+def filter_urls(pages: DataFrame, listed: list[str] | DataFrame, rules: list[Rule], url_col: str = "url", max_bits: int = MAX_BITS, all_bits: int = ALL_BITS) -> DataFrame:
     """All columns of `pages` with __host, __path, __rule and __verdict (allow or block).
 
     listed: hosts (a frame has one column, `key`) that are blocked with their subdomains where no rule
     fits. Null, empty and odd urls have an empty host, which no rule and no list names: allowed. Urls
-    of any length and repeats cost one pass. Columns of these names are replaced; keys of the corpus are its hosts' last labels, as many as
-    a listed host has.
+    of any length cost one pass; repeated rows stay; of rules of one length the earlier counts; an empty table
+    gives an empty table. Columns of these names are replaced; keys of the corpus are its hosts' last labels,
+    as many as a listed host has.
     """
     internal(pages, url_col)
     pages = pages.drop("__host", "__path", "__rule", "__verdict", "__i", "__bad")
@@ -154,7 +172,7 @@ def filter_urls(pages: DataFrame, listed: list[str] | DataFrame, rules: list[Rul
     most = int(listed.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first()["n"] or 1)
     named = pages.withColumns({"__host": host_of(F.col(url_col)), "__path": path_of(F.col(url_col))})
     universe = named.select("__host").distinct().select(F.explode(F.array(*suffixes(F.col("__host"), most))).alias("key")).where("key <> ''")
-    cascade = Cascade(listed, universe, max_bits)
+    cascade = Cascade(listed, universe, max_bits, all_bits)
     index = rule_for(F.col("__host"), F.col("__path"), rules)
     text, verdict = F.array(*(F.lit(r.text) for r in rules), F.lit(None).cast("string")), F.array(*(F.lit(r.verdict) for r in rules), F.lit(None).cast("string"))
     named = named.withColumn("__i", index)

@@ -34,7 +34,7 @@ def test_quality_and_language_keep_clean_documents(spark, stages):
 
 def test_one_of_each_class_stays(stages):
     before, after = ({r["doc_id"]: r["text"] for r in df.collect()} for df in stages[2:4])
-    prints = {i: simhash.fold(simhash.hashes(t, 5), 4).tobytes() for i, t in before.items()}
+    prints = {i: simhash.fold(simhash.hashes(t, simhash.NEAR.shingle), simhash.NEAR.words).tobytes() for i, t in before.items()}
     classes = defaultdict(list)
     for i, p in prints.items():
         classes[p].append(i)

@@ -2,6 +2,7 @@ import itertools
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def test_query_against_brute_force(spark):
 def test_links_at_one_and_two_bits_and_not_three(spark):
     nodes = [0, 1, 3, 7, 0b11 << 62, 1 << 63]
     rows = [(i, x - (1 << 64) if x >> 63 else x) for i, x in enumerate(nodes)]
-    pairs = simhash.candidate_pairs(spark.createDataFrame(rows, "id long, f0 long"), simhash.EXACT).collect()
+    pairs = simhash.candidate_pairs(simhash.meetings(spark.createDataFrame(rows, "id long, f0 long"), simhash.EXACT), simhash.EXACT).collect()
     got = classes(range(6), [(r["a"], r["b"]) for r in pairs])
     want = classes(range(6), [(a, b) for a, b in itertools.combinations(range(6), 2) if (nodes[a] ^ nodes[b]).bit_count() <= 2])
     assert got == want
@@ -99,7 +100,7 @@ def test_near_copies_of_five_word_shingles(spark, changes, found):
 def test_variants_of_blocks_meet(spark):
     spec = simhash.Spec(words=1, blocks=2, radius=2, limit=40)
     rows = [(0, 0), (1, 0b11), (2, (1 << 40) - 1)]
-    pairs = {(r["a"], r["b"]) for r in simhash.candidate_pairs(spark.createDataFrame(rows, "id long, f0 long"), spec).collect()}
+    pairs = {(r["a"], r["b"]) for r in simhash.candidate_pairs(simhash.meetings(spark.createDataFrame(rows, "id long, f0 long"), spec), spec).collect()}
     assert (1, 0) in pairs and (2, 0) not in pairs
     assert simhash.differing(spec) is not None and F is not None
 
@@ -108,7 +109,7 @@ def test_variants_of_blocks_meet(spark):
 def test_crowded_variants_are_compared_whole(spark, monkeypatch, piece):
     monkeypatch.setattr(simhash, "_PIECE", piece)
     rng = random.Random(5)
-    spec = simhash.NEAR
+    spec = simhash.Spec(shingle=5, words=4, blocks=8, radius=2, limit=38)
     far = [rng.getrandbits(224) << 32 for _ in range(6)]  # one block in common, the others some 112 bits apart
     prints = {0: far[0], 1: far[1], 2: far[2], 3: far[3], 4: far[1] ^ (1 << 40) ^ (1 << 80) ^ (1 << 120), 5: far[4], 6: far[5]}
     for k in range(1, 8):  # three flips in each other block, so 1 and 4 meet in block 0 only
@@ -117,10 +118,36 @@ def test_crowded_variants_are_compared_whole(spark, monkeypatch, piece):
     rows = [(i, *(word(x, k) for k in range(4))) for i, x in prints.items()]
     assert 0 < (prints[1] ^ prints[4]).bit_count() <= spec.limit
     nodes = spark.createDataFrame(rows, "id long, f0 long, f1 long, f2 long, f3 long")
-    tied = {(r["a"], r["b"]) for r in simhash.candidate_pairs(nodes, spec).collect()}
+    met = simhash.meetings(nodes, spec)
+    tied = {(r["a"], r["b"]) for r in simhash.candidate_pairs(met, spec).collect()}
     assert (4, 1) not in tied  # the ties alone miss it
     none = spark.createDataFrame([], "node long, component long")
-    assert {(r["a"], r["b"]) for r in simhash.crowded_links(nodes, none, spec).collect()} == {(4, 1)}
+    assert {(r["a"], r["b"]) for r in simhash.crowded_links(met, nodes, none, spec).collect()} == {(4, 1)}
     monkeypatch.setattr(simhash, "fingerprints", lambda *_: nodes.withColumnRenamed("id", "doc_id"))
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(nodes, spec).collect()}
     assert got == {i: 1 if i == 4 else i for i in prints}
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 40])
+def test_spanning_links_join_what_all_links_join(n):
+    rng = np.random.default_rng(n)
+    for _ in range(20):
+        base = rng.integers(0, 2, (4, 128), dtype=np.uint8)
+        bits = base[rng.integers(0, 4, n)] ^ (rng.random((n, 128)) < 0.08)
+        f = np.packbits(bits, axis=1).view(np.uint64)
+        ids, c = np.arange(n) * 3, rng.integers(0, max(1, n // 2), n)
+        near = [(a, b) for a, b in itertools.combinations(range(n), 2) if (bits[a] != bits[b]).sum() <= 20]
+        same = [(a, b) for a, b in itertools.combinations(range(n), 2) if c[a] == c[b]]
+        got = simhash.spanning(ids, c, f, 20)
+        assert all(a > b and (a // 3, b // 3) in {*near, *((y, x) for x, y in near)} for a, b in got)
+        assert classes(range(n), [*same, *((a // 3, b // 3) for a, b in got)]) == classes(range(n), [*same, *near])
+
+
+def test_fold_against_counting_bits():
+    rng = random.Random(9)
+    mix = lambda x: (lambda y: y ^ y >> 31)((lambda y: (y ^ y >> 27) * simhash._MIX[1] % 2**64)((x ^ x >> 30) * simhash._MIX[0] % 2**64))
+    for n in (0, 1, 2, 9, 10_000):
+        h = [rng.getrandbits(64) for _ in range(n)]
+        for k, word in enumerate(simhash.fold(np.array(h, np.uint64), 3).tolist()):
+            own = [mix((x + k * simhash._MIX[2]) % 2**64) if k else x for x in h]
+            assert word % 2**64 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > n)

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import oracle
@@ -45,10 +46,22 @@ def test_cascade_is_exact_and_has_levels(spark):
     assert got == {k: k in listed for k in keys}
 
 
-def test_beyond_the_size_bound_it_is_a_semi_join(spark):
+@pytest.mark.parametrize("bounds", [{"max_bits": 64}, {"all_bits": 1}])
+def test_shards_and_the_semi_join_give_the_same(spark, bounds):
     df = spark.createDataFrame(list(enumerate(ODD)), "page_id long, url string")
-    a = urlfilter.filter_urls(df, ["spam.org", "b.net"], queries.RULES).orderBy("page_id").collect()
-    assert a == urlfilter.filter_urls(df, ["spam.org", "b.net"], queries.RULES, max_bits=1).orderBy("page_id").collect()
+    listed = ["spam.org", "b.net", *(f"x{i}.org" for i in range(40))]
+    a = urlfilter.filter_urls(df, listed, queries.RULES).orderBy("page_id").collect()
+    assert a == urlfilter.filter_urls(df, listed, queries.RULES, **bounds).orderBy("page_id").collect()
+
+
+def test_a_sharded_cascade_is_exact(spark):
+    rng = random.Random(2)
+    keys = [f"h{i}.{rng.randrange(10**6)}" for i in range(1500)]
+    listed = set(rng.sample(keys, 400))
+    universe = spark.createDataFrame([(k,) for k in keys], "key string")
+    c = urlfilter.Cascade(spark.createDataFrame([(k,) for k in listed], "key string"), universe, max_bits=1024)
+    assert len(c.levels) >= 2 and len(c.levels[0].shards) == 4
+    assert {r["key"]: r["x"] for r in universe.select("key", c.contains(F.col("key")).alias("x")).collect()} == {k: k in listed for k in keys}
 
 
 def test_query_against_sql_and_brute_force(spark):
