@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -63,6 +64,12 @@ def stored(df: DataFrame, hint: str) -> DataFrame:
     return Stored(df, hint).df
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished jobs: its cleaner acts once the driver has collected garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear(spark: SparkSession) -> None:
     """Removes all tables that operators stored; frames that read them must have been written or dropped."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quire")

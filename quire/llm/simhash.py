@@ -11,11 +11,13 @@ With one block whose radius is the limit, rows that share a variant are within t
 other, so these ties give exactly the components of the full link graph. With several blocks the
 candidates are those that agree in at least one block within the radius, and rows of a variant need not
 be within the limit of each other: where a variant's rows are still in several components after the ties,
-all rows of different components are compared, in pieces, and what links is tied.
+all rows of different components are compared, in pieces. Pairs whose differing bits leave it open whether
+they are similar enough are held against each other by their whole sets of shingles.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stored, internal, lower_words, sliced, stored, texts
+from .common import Stored, internal, lower_words, release, sliced, stored, texts
 from .graph import components
 
 #: Odd multipliers and shifts of the splitmix64 finaliser (fixed values), for the second and later words.
@@ -39,13 +41,16 @@ _PIECE = 2000
 @dataclass(frozen=True)
 class Spec:
     """shingle: words a shingle; words: 64-bit words a fingerprint; blocks: blocks it is cut in; radius:
-    differing bits within which two blocks meet; limit: differing bits within which fingerprints link."""
+    differing bits within which two blocks meet; limit: differing bits within which fingerprints may link;
+    sure: those within which they do; between the two, the Jaccard similarity of shingles must reach `similarity`."""
 
     shingle: int = 3
     words: int = 1
     blocks: int = 1
     radius: int = 2
     limit: int = 2
+    sure: int = 2
+    similarity: float = 0.0
 
     @property
     def bits(self) -> int:
@@ -55,8 +60,10 @@ class Spec:
 #: Three-word shingles, 64 bits, links at two or fewer differing bits.
 EXACT = Spec()
 #: For similarity of 0.8 or more over five-word shingles: 512 bits, of which a Jaccard similarity of 0.8
-#: leaves 512 * arccos(2 * 0.8 / 1.8) / pi = 78 different on average (deviation 8), one of 0.75 leaves 88.
-NEAR = Spec(shingle=5, words=8, blocks=16, radius=2, limit=88)
+#: leaves 512 * arccos(2 * 0.8 / 1.8) / pi = 78 different on average, with a deviation of 8.
+NEAR = Spec(shingle=5, words=8, blocks=16, radius=2, limit=110, sure=58, similarity=0.8)
+#: Blocks whose variants are shuffled at once.
+_AT_ONCE = 4
 
 
 def hashes(text: str, shingle: int) -> np.ndarray:
@@ -122,31 +129,31 @@ def differing(spec: Spec, a: str = "", b: str = "o") -> Column:
     return sum((F.bit_count(F.col(f"{a}f{k}").bitwiseXOR(F.col(f"{b}f{k}"))) for k in range(1, spec.words)), F.bit_count(F.col(f"{a}f0").bitwiseXOR(F.col(f"{b}f0"))))
 
 
-def _keyed(nodes: DataFrame, spec: Spec, *also: str) -> DataFrame:
-    """(id, v, and the columns `also`): the variants of each node.
+def _keyed(nodes: DataFrame, spec: Spec, which: range | None = None) -> DataFrame:
+    """(id, v): the variants of the blocks `which` (all) of each node.
 
     An odd radius would need one side to emit one more flip, so radii are even.
     """
     if spec.radius % 2 or 64 % spec.bits:
         raise ValueError("the radius must be even and blocks must divide 64 bits")
-    blocks = F.array(*(F.struct(F.lit(k).cast("byte").alias("k"), _block(spec, k).alias("x")) for k in range(spec.blocks)))
+    blocks = F.array(*(F.struct(F.lit(k).cast("byte").alias("k"), _block(spec, k).alias("x")) for k in which or range(spec.blocks)))
     if spec.blocks == 1:
-        rows = nodes.select("id", *also, F.lit(0).cast("byte").alias("k"), _block(spec, 0).alias("x"))
+        rows = nodes.select("id", F.lit(0).cast("byte").alias("k"), _block(spec, 0).alias("x"))
     else:
-        rows = nodes.select("id", *also, F.inline(blocks))
+        rows = nodes.select("id", F.inline(blocks))
     variants = F.transform(F.array(*map(F.lit, _masks(spec))), lambda m: m.cast("long").bitwiseXOR(F.col("x")))
-    keyed = rows.select("id", *also, "k", F.explode(variants).alias("v"))
+    keyed = rows.select("id", "k", F.explode(variants).alias("v"))
     if spec.blocks > 1:  # one long as key: the block's number above its bits
-        keyed = keyed.select("id", *also, F.shiftleft(F.col("k").cast("long"), spec.bits).bitwiseOR(F.col("v")).alias("v"))
-    return keyed.select("id", "v", *also)
+        keyed = keyed.select("id", F.shiftleft(F.col("k").cast("long"), spec.bits).bitwiseOR(F.col("v")).alias("v"))
+    return keyed.select("id", "v")
 
 
-def meetings(nodes: DataFrame, spec: Spec) -> DataFrame:
+def meetings(nodes: DataFrame, spec: Spec, which: range | None = None) -> DataFrame:
     """(id, v, n, least, before): the nodes of each variant that two or more have; n: how many, least: the least id,
-    before: the next smaller one. nodes: (id, f0, ...), distinct fingerprints."""
+    before: the next smaller one. nodes: (id, f0, ...), distinct fingerprints; which: blocks, by default all."""
     near = Window.partitionBy("v").orderBy("id")
     every = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return _keyed(nodes, spec).select("id", "v", F.count("*").over(every).cast("int").alias("n"), F.first("id").over(near).alias("least"), F.lag("id").over(near).alias("before")).where("n > 1")
+    return _keyed(nodes, spec, which).select("id", "v", F.count("*").over(every).cast("int").alias("n"), F.first("id").over(near).alias("least"), F.lag("id").over(near).alias("before")).where("n > 1")
 
 
 def candidate_pairs(met: DataFrame, spec: Spec) -> DataFrame:
@@ -155,12 +162,12 @@ def candidate_pairs(met: DataFrame, spec: Spec) -> DataFrame:
     return met.where("before is not null").select(F.col("id").alias("a"), F.explode(F.array(*ties)).alias("b")).distinct()
 
 
-def crowded_links(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
-    """(a, b): links between components `roots` that ties missed. nodes: (id, f0, ...), distinct fingerprints.
+def crowded_pairs(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
+    """(a, b): pairs between components `roots` that ties missed. nodes: (id, f0, ...), distinct fingerprints.
 
     Ties test all pairs of up to three rows of a variant. Of larger variants with rows in several components
     (those with the same rows count once) every two rows meet in a pair of pieces of at most `piece` rows on
-    average, where `spanning` compares those of different components.
+    average, where `spanning` and `nearest` compare those of different components.
     """
     piece = piece or _PIECE
     names = [f"f{k}" for k in range(spec.words)]
@@ -182,7 +189,12 @@ def crowded_links(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec
             edges = [0, *cuts.tolist(), len(table)] if len(table) else [0]
             last = len(edges) - 1 if b is None else len(edges) - 2
             held = [table[edges[last] :]] if b is not None and len(table) else []
-            found = [x for lo, hi in zip(edges[:last], edges[1 : last + 1], strict=True) for x in spanning(table[lo:hi, 3], table[lo:hi, 4], table[lo:hi, 5:].view(np.uint64), spec.limit)]
+            found = []
+            for lo, hi in zip(edges[:last], edges[1 : last + 1], strict=True):
+                ids, c, f = table[lo:hi, 3], table[lo:hi, 4], np.ascontiguousarray(table[lo:hi, 5:]).view(np.uint64)
+                found += spanning(ids, c, f, spec.sure)
+                if spec.limit > spec.sure:
+                    found += nearest(ids, c, f, spec.limit)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["a", "b"])
 
     order = dealt.select("v", F.col("p").cast("long"), F.col("q").cast("long"), "id", "c", *names).repartition("v", "p", "q").sortWithinPartitions("v", "p", "q")
@@ -199,7 +211,6 @@ def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[
     left, out = len(kinds), []
     if left < 2:
         return out
-    f = np.ascontiguousarray(f)
     if len(ids) > 8:
         bits = np.unpackbits(f.view(np.uint8), axis=1)
         far = (bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(ids))).sum(axis=1)
@@ -218,6 +229,56 @@ def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[
     return out
 
 
+def nearest(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Of each row the nearest one of another component `c`, if it is within the limit, as pairs (a > b)."""
+    out = set()
+    if len(set(c.tolist())) > 1:
+        for i in range(len(ids)):
+            far = np.where(c == c[i], 1 << 20, np.bitwise_count(f ^ f[i]).sum(axis=1, dtype=np.int64))
+            if far[j := int(far.argmin())] <= limit:
+                out.add((max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))))
+    return sorted(out)
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame:
+    """(id, s): the sorted distinct shingle hashes of the text of each node in `ids` (id). Only texts of those ids are read in Python."""
+    names = [f"f{k}" for k in range(spec.words)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches, 200):
+            h = [hashes(t, spec.shingle) for t in texts(b)]
+            f = np.array([fold(x, spec.words) for x in h], np.int64).reshape(-1, spec.words)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f[:, k]) for k in range(spec.words)), pa.array([np.unique(x).tobytes() for x in h], pa.binary())], ["id", *names, "s"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
+    told = rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names) + ", s binary")
+    return told.join(nodes, ["id", *names], "left_semi").groupBy("id").agg(F.max("s").alias("s"))
+
+
+def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: Spec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The (a, b) of `pairs` that link, by the whole fingerprints and, where these leave it open, by the sets of shingles."""
+    names = [f"f{k}" for k in range(spec.words)]
+    one, other = nodes.withColumnRenamed("id", "a"), nodes.select(F.col("id").alias("b"), *(F.col(n).alias(f"o{n}") for n in names))
+    told = pairs.join(one, "a").join(other, "b").select("a", "b", differing(spec).alias("far")).where(F.col("far") <= spec.limit)
+    if spec.limit <= spec.sure:
+        return told.select("a", "b")
+    told = Stored(told, "simhash-far").df
+    unsure = told.where(F.col("far") > spec.sure).select("a", "b")
+    sets = Stored(shingle_sets(docs, nodes, unsure.select(F.explode(F.array("a", "b")).alias("id")).distinct(), spec, id_col, text_col), "simhash-sets").df
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= spec.similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_())), b.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+
+    met = unsure.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    return told.where(F.col("far") <= spec.sure).select("a", "b").union(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, f0, ..., component_id): the class of each row, named by the smallest doc_id reachable.
 
@@ -231,21 +292,20 @@ def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id",
     prints = stored(fingerprints(docs, spec, id_col, text_col), "simhash")
     nodes = Stored(prints.groupBy(*names).agg(F.min("doc_id").alias("id")), "simhash-nodes").df
     own = nodes.where("id is not null")
-    met, used = meetings(own, spec), []
-    if spec.blocks > 1:
-        used.append(Stored(met, "simhash-met"))
-        met = used[0].df
-    pairs = candidate_pairs(met, spec)
-    if spec.blocks > 1 or spec.limit < spec.radius:
-        one, other = nodes.withColumnRenamed("id", "a"), nodes.select(F.col("id").alias("b"), *(F.col(n).alias(f"o{n}") for n in names))
-        pairs = pairs.join(one, "a").join(other, "b").where(differing(spec) <= spec.limit).select("a", "b")
-    if spec.blocks > 1:
-        used.append(Stored(pairs, "simhash-links"))
-        pairs = used[1].df
-        pairs = pairs.union(crowded_links(met, own, components(pairs), spec))
-    roots = components(pairs)  # stored, so what it was made of can go
-    for x in used:
-        x.drop()
+    if spec.blocks == 1 and spec.limit >= spec.radius:
+        roots = components(candidate_pairs(meetings(own, spec), spec))  # rows of a variant are within the radius
+    else:
+        parts = []
+        for k in range(0, spec.blocks, _AT_ONCE):
+            parts.append(Stored(meetings(own, spec, range(k, min(spec.blocks, k + _AT_ONCE))), "simhash-met"))
+            release(docs.sparkSession)
+        met = functools.reduce(DataFrame.union, (p.df for p in parts))
+        parts.append(Stored(links(candidate_pairs(met, spec), own, docs, spec, id_col, text_col), "simhash-links"))
+        tied = parts[-1].df
+        parts.append(Stored(crowded_pairs(met, own, components(tied), spec), "simhash-more"))
+        roots = components(tied.union(links(parts[-1].df, own, docs, spec, id_col, text_col)))  # stored, so the rest can go
+        for p in parts:
+            p.drop()
     classes = nodes.join(roots, nodes["id"] == roots["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))
     return prints.join(classes, names).select("doc_id", *names, "component_id")
 

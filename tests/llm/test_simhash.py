@@ -109,7 +109,7 @@ def test_variants_of_blocks_meet(spark):
 def test_crowded_variants_are_compared_whole(spark, monkeypatch, piece):
     monkeypatch.setattr(simhash, "_PIECE", piece)
     rng = random.Random(5)
-    spec = simhash.Spec(shingle=5, words=4, blocks=8, radius=2, limit=38)
+    spec = simhash.Spec(shingle=5, words=4, blocks=8, radius=2, limit=38, sure=38)
     far = [rng.getrandbits(224) << 32 for _ in range(6)]  # one block in common, the others some 112 bits apart
     prints = {0: far[0], 1: far[1], 2: far[2], 3: far[3], 4: far[1] ^ (1 << 40) ^ (1 << 80) ^ (1 << 120), 5: far[4], 6: far[5]}
     for k in range(1, 8):  # three flips in each other block, so 1 and 4 meet in block 0 only
@@ -122,8 +122,9 @@ def test_crowded_variants_are_compared_whole(spark, monkeypatch, piece):
     tied = {(r["a"], r["b"]) for r in simhash.candidate_pairs(met, spec).collect()}
     assert (4, 1) not in tied  # the ties alone miss it
     none = spark.createDataFrame([], "node long, component long")
-    assert {(r["a"], r["b"]) for r in simhash.crowded_links(met, nodes, none, spec).collect()} == {(4, 1)}
+    assert {(r["a"], r["b"]) for r in simhash.crowded_pairs(met, nodes, none, spec).collect()} == {(4, 1)}
     monkeypatch.setattr(simhash, "fingerprints", lambda *_: nodes.withColumnRenamed("id", "doc_id"))
+    assert {(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(4, 1), (3, 1)], "a long, b long"), nodes, nodes, spec).collect()} == {(4, 1)}
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(nodes, spec).collect()}
     assert got == {i: 1 if i == 4 else i for i in prints}
 
@@ -151,3 +152,48 @@ def test_fold_against_counting_bits():
         for k, word in enumerate(simhash.fold(np.array(h, np.uint64), 3).tolist()):
             own = [mix((x + k * simhash._MIX[2]) % 2**64) if k else x for x in h]
             assert word % 2**64 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > n)
+
+
+def jaccard(a, b):
+    x, y = set(simhash.hashes(a, 5).tolist()), set(simhash.hashes(b, 5).tolist())
+    return len(x & y) / max(1, len(x | y))
+
+
+def test_open_pairs_are_told_by_their_shingles(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    texts = {}
+    for g in range(12):
+        base = [word() for _ in range(240)]
+        texts[100 * g] = " ".join(base)
+        for n in range(1, 13):  # so many words changed, each of which takes five shingles
+            copy = list(base)
+            for i in rng.sample(range(240), n):
+                copy[i] = word()
+            texts[100 * g + n] = " ".join(copy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    pairs = [(a, b) for a, b in itertools.combinations(sorted(texts), 2) if a // 100 == b // 100]
+    nodes = simhash.fingerprints(docs, simhash.NEAR).withColumnRenamed("doc_id", "id")
+    nodes = spark.createDataFrame(nodes.collect(), nodes.schema)
+    got = {(r["b"], r["a"]) for r in simhash.links(spark.createDataFrame([(b, a) for a, b in pairs], "a long, b long"), nodes, docs, simhash.NEAR).collect()}
+    want = {(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.8}
+    assert got <= {(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.77} and len(got & want) >= 0.99 * len(want)
+
+
+def test_near_classes_against_brute_force(spark):
+    """Nearly all pairs of a similarity of 0.8 or more end in one class, and classes hold nothing that no chain of such pairs reaches."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    sets = {i: frozenset(simhash.hashes(t, 5).tolist()) for i, t in texts.items()}
+    by = defaultdict(set)
+    for i, s in sets.items():
+        for h in s:
+            by[h].add(i)
+    near = {(a, b) for ids in by.values() if len(ids) < 400 for a, b in itertools.combinations(sorted(ids), 2)}
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in near}
+    classed = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, simhash.NEAR).collect()}
+    found = [classed[a] == classed[b] for (a, b), x in like.items() if x >= 0.8]
+    assert len(found) > 20 and np.mean(found) >= 0.9
+    reach = classes(texts, [p for p, x in like.items() if x >= 0.77])
+    empty = {i for i, s in sets.items() if not s}
+    assert all(reach[i] == reach[c] or {i, c} <= empty for i, c in classed.items())
