@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.python import best_window, similarities, similarity, stem
-from ..functions.strings import ends_sentence, strip_leading_quotes
+from ..functions.similarity import set_jaccard
+from ..functions.strings import ends_sentence, normal_prefix, python_split, strip_leading_quotes
 from . import windows
 
 BEFORE_FIRST = ("none", "first")
@@ -46,15 +47,31 @@ def forward(sources: DataFrame, targets: DataFrame, keys: list[str], at: str, co
     return as_of(back(sources), back(targets), keys, at, columns).withColumn(at, -F.col(at))
 
 
-def intervals(sources: DataFrame, keys: list[str], at: str, last: int = 999_999) -> DataFrame:
-    """Sources with `until`, the next source's place (exclusive)."""
-    return sources.withColumn("until", F.lead(at, 1, last).over(Window.partitionBy(*keys).orderBy(at)))
+def intervals(sources: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Sources with `until`, the next source's place (exclusive); null for the last, whose interval is open."""
+    return sources.withColumn("until", F.lead(at).over(Window.partitionBy(*keys).orderBy(at)))
 
 
 def interval_owner(sources: DataFrame, targets: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """(keys, target, owner): from <= target < until; the same as `as_of`, as a join on the keys."""
-    s = intervals(sources, keys, at).select(*keys, F.col(at).alias("owner"), "until")
-    return targets.join(s, keys).where((F.col("owner") <= F.col(at)) & (F.col(at) < F.col("until"))).select(*keys, F.col(at).alias("target"), "owner")
+    """(keys, target, owner): from <= target < until, the last interval without end; targets before the first drop out."""
+    own = as_of(sources.select(*keys, F.col(at).alias("__from")).withColumn(at, F.col("__from")), targets.select(*keys, at), keys, at, ["__from"])
+    return own.where("owner___from is not null").select(*keys, F.col(at).alias("target"), F.col("owner___from").alias("owner"))
+
+
+def best_by_jaccard(verses: DataFrame, references: DataFrame, keys: list[str], window: int = 15, chars: int = 200) -> DataFrame:
+    """(keys, v, rv, common): of the references numbered v to v + window - 1 the one with the greatest word overlap.
+
+    Numbers are cut in bands of `window`: a verse meets the references of its band and the next, so a chapter of
+    any length costs what its bands do. Verses and references without words drop out; ties go to the first reference.
+    """
+    words = lambda x: F.array_distinct(python_split(normal_prefix(F.col(x), chars)))
+    band = lambda x: F.floor(F.col(x) / window)
+    x = verses.select(*keys, "v", words("text").alias("ws")).where("size(ws) > 0").withColumn("band", band("v"))
+    y = references.select(*keys, F.col("v").alias("rv"), words("text").alias("rs")).where("size(rs) > 0")
+    y = y.withColumn("band", F.explode(F.array(band("rv"), band("rv") - 1)))
+    near = x.join(y, [*keys, "band"]).where(F.col("rv").between(F.col("v"), F.col("v") + window - 1)).withColumn("s", set_jaccard(F.col("ws"), F.col("rs")))
+    best = F.max(F.struct("s", (-F.col("rv")).alias("r"), F.size(F.array_intersect("ws", "rs")).alias("common"))).alias("x")
+    return near.groupBy(*keys, "v").agg(best).select(*keys, "v", (-F.col("x.r")).alias("rv"), "x.common")
 
 
 def merge_blocks(blocks: DataFrame, keys: list[str], order: str = "pos") -> DataFrame:
@@ -179,8 +196,11 @@ def number_splits(split: DataFrame, verses: DataFrame, references: DataFrame, ke
 
     first = verses.select(*keys, "pos", F.col("v").cast("int").alias("__v"))
     second = split.where("part = 1").join(first, [*keys, "pos"])
-    ref = references.select(*keys, F.col("v").cast("int").alias("rv"), F.col("text").alias("rt"))
-    near = second.join(ref, keys).where("rv > __v").withColumn("k", F.row_number().over(Window.partitionBy(*keys, "pos").orderBy("rv"))).where(F.col("k") <= window)
+    ref = references.select(*keys, F.col("v").cast("int").alias("rv"), F.col("text").alias("rt"), F.row_number().over(Window.partitionBy(*keys).orderBy("v")).alias("k"))
+    # the references after a verse are those of the next ranks, so ranks are joined
+    told = as_of(ref.select(*keys, F.col("rv").alias("__v"), "k"), second, keys, "__v", ["k"])
+    ranks = told.withColumn("k", F.explode(F.sequence(F.coalesce("owner_k", F.lit(0)) + 1, F.coalesce("owner_k", F.lit(0)) + window)))
+    near = ranks.join(ref, [*keys, "k"])
     best = near.withColumn("s", blend_sim("text", "rt")).groupBy(*keys, "pos").agg(F.max(F.struct("s", (-F.col("rv")).alias("r"))).alias("x"))
     told = second.join(best, [*keys, "pos"], "left").select(*keys, "pos", "part", F.when(F.col("x.s") >= least, -F.col("x.r")).otherwise(F.col("__v") + 1).alias("v"), "text")
     return split.where("part = 0").unionByName(told)

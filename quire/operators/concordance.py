@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.strings import inner_apostrophe_tokens, stop_word_tokens, turkish_lower
+from ..functions.strings import inner_apostrophe_tokens, python_split, stop_word_tokens, turkish_lower
 from .windows import bigrams, top_k, without_overlap
 
 #: Beginnings of names that are left out, since they stand in most verses (fixed values).
@@ -23,10 +23,15 @@ def is_sacred(stem: Column) -> Column:
 def term_rows(verses: DataFrame, keys: list[str], stop: tuple[str, ...] = (), stems: DataFrame | None = None) -> DataFrame:
     """(keys, kind, place, term, surface): words and neighbouring pairs of every verse.
 
-    stems: (surface, stem) of distinct words; without it a word is its own stem.
+    stems: (surface, stem) of distinct words; without it a word is its own stem, and words and pairs come out of
+    each verse's own array, without a shuffle.
     """
+    if stems is None:
+        kept = verses.select(*keys, F.filter(stop_word_tokens(F.col("text"), stop), lambda w: ~is_sacred(w)).alias("ws"))
+        told = kept.select(*keys, F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), c.alias("terms")) for k, c in ((1, F.col("ws")), (2, bigrams(F.col("ws"))))))))
+        return told.select(*keys, "kind", F.posexplode("terms").alias("place", "term")).withColumn("surface", F.col("term"))
     words = verses.select(*keys, F.posexplode(F.filter(stop_word_tokens(F.col("text"), stop), lambda w: ~is_sacred(w))).alias("place", "surface"))
-    told = words.join(stems, "surface", "left").withColumn("term", F.coalesce("stem", "surface")) if stems is not None else words.withColumn("term", F.col("surface"))
+    told = words.join(stems, "surface", "left").withColumn("term", F.coalesce("stem", "surface"))
     w = Window.partitionBy(*keys).orderBy("place")
     pair = told.withColumns({"__t": F.lead("term").over(w), "__s": F.lead("surface").over(w)}).where("__t is not null")
     one = told.select(*keys, F.lit(1).alias("kind"), "place", "term", "surface")
@@ -91,15 +96,49 @@ def occurs(tokens: Column, word: Column, more: int = 7) -> Column:
 
 
 def verse_index(words: DataFrame, owners: DataFrame, verses: DataFrame, keys: list[str], most: int = MOST_REFS) -> DataFrame:
-    """(st, word, rank, keys): the first verses of an id in which each of its words occurs. words: (st, word)."""
+    """(st, word, rank, keys): the first verses of an id in which each of its words occurs. words: (st, word).
+
+    A verse's tokens are exploded once, each with those of its beginnings that are as long as the first part of some
+    word, and meet the distinct first parts in an equi-join; only words of several parts look at the tokens again.
+    """
+    told = words.where("word is not null").select("st", "word").distinct().withColumn("parts", F.split(turkish_lower(F.col("word")), " "))
+    heads = told.select(F.col("parts")[0].alias("head"), "word", (F.size("parts") > 1).alias("more")).distinct()
+    lengths = [r["n"] for r in heads.select(F.length("head").alias("n")).distinct().collect()]  # one row a length of word
     tokens = verses.select(*keys, F.transform(inner_apostrophe_tokens(F.col("text")), turkish_lower).alias("tokens"))
-    told = words.join(owners, "st").join(tokens, keys).where(occurs(F.col("tokens"), F.col("word")))
-    return top_k(told.drop("tokens"), ["st", "word"], most, list(keys))
+    begun = lambda t: F.filter(F.array(*map(F.lit, lengths)), lambda n: F.length(t).between(n, n + 7))
+    starts = F.flatten(F.transform(F.array_distinct("tokens"), lambda t: F.transform(begun(t), lambda n: F.substring(t, F.lit(1), n))))
+    if not lengths:
+        starts = F.array().cast("array<string>")
+    met = tokens.select(*keys, "tokens", F.explode(F.array_distinct(starts)).alias("head")).join(heads, "head")
+    found = met.where(~F.col("more") | occurs(F.col("tokens"), F.col("word"))).select(*keys, "word")
+    return top_k(found.join(owners, keys).join(told.select("st", "word"), ["st", "word"]), ["st", "word"], most, list(keys))
+
 
+def inverted(owners: DataFrame, keys: list[str], page: Column | None = None) -> DataFrame:
+    """(st, page, refs): an id's verses in order, a row for each value of `page`, which bounds it (by default the first key)."""
+    rows = owners.withColumn("page", F.col(keys[0]) if page is None else page)
+    return rows.groupBy("st", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct(*keys))), lambda x: F.concat_ws(".", *(x[k] for k in keys))).alias("refs"))
 
-def inverted(owners: DataFrame, keys: list[str]) -> DataFrame:
-    """(st, refs): an id's verses in order."""
-    return owners.groupBy("st").agg(F.transform(F.array_sort(F.collect_list(F.struct(*keys))), lambda x: F.concat_ws(".", *(x[k] for k in keys))).alias("refs"))
+
+def phrases_in(texts: DataFrame, phrases: DataFrame, key: str, name: str, head: int = 4) -> DataFrame:
+    """(name, key) of phrases that a text contains as whole words. texts: (key, text); phrases: (name, text).
+
+    White space is one space. A text's windows of up to `head` words (as long as the heads of phrases are) meet the
+    phrases' first words in an equi-join, and what meets is tested in whole. Phrases without words match nothing.
+    """
+    flat = lambda c: F.concat(F.lit(" "), F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit(" "))
+    p = phrases.select(name, flat("text").alias("phrase")).where(F.trim("phrase") != "").withColumn("head", F.array_join(F.slice(python_split(F.col("phrase")), 1, head), " "))
+    lengths = [r["n"] for r in p.select(F.size(F.split("head", " ")).alias("n")).distinct().collect()]  # at most `head` rows
+    t = texts.select(key, python_split(F.col("text")).alias("ws"))
+    at = F.when(F.size("ws") > 0, F.sequence(F.lit(1), F.size("ws"))).otherwise(F.array().cast("array<int>"))
+
+    def windows_of(n: int) -> Column:
+        return F.transform(at, lambda i: F.when(i + n - 1 <= F.size("ws"), F.array_join(F.slice("ws", i, F.lit(n)), " ")))
+
+    every = F.array_compact(F.flatten(F.array(*map(windows_of, lengths)))) if lengths else F.array().cast("array<string>")
+    hit = t.select(key, F.explode(F.array_distinct(every)).alias("head")).join(p, "head").select(key, name, "phrase")
+    body = texts.select(key, flat("text").alias("body"))
+    return hit.join(body, key).where(F.contains("body", "phrase")).select(name, key)
 
 
 def pair_counts(verses: DataFrame) -> DataFrame:

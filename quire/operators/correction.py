@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.python import turkish_lower as lower_py
-from ..functions.strings import LETTERS, ROOT_SUFFIXES, apply_rules, split_token, tokenise
+from ..functions.strings import LETTERS, ROOT_SUFFIXES, apply_rules, split_token, tokenise, turkish_lower
 from .vocab import combined_frequency
 
 #: Misread characters and what they were (fixed values); the wider map also takes a dotless i.
@@ -257,22 +257,59 @@ class Lexicon:
         return re.sub(word, lambda m: self.undigit(m[0]), text)
 
 
-def repair_characters(verses: DataFrame, vocab: DataFrame, text: str = "text", most: int = 2_000_000) -> DataFrame:
-    """Verses with misread ?, quotes and digits inside words repaired; only those that have any reach Python.
+#: What `Lexicon.repair` puts in place of marks, digits and misread letters, with these, is one class in a skeleton.
+_CLASS = 'bşyıiöğolzst012345678?"“”„'
+_RUN = f"{LETTERS}0-9'‘’?\"“”„"
 
-    The vocabulary is broadcast up to `most` words (a corpus in one language has fewer); beyond it this is an
-    error, and a rarer-word threshold has to be chosen.
+
+def _skeleton(word: Column) -> Column:
+    return F.translate(turkish_lower(word), _CLASS, "*" * len(_CLASS))
+
+
+def repaired_runs(runs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(run, fixed) of distinct runs of letters, digits, apostrophes and marks that `Lexicon.repair` changes.
+
+    What it looks up has the skeleton of a beginning of what follows a mark, digit or apostrophe, or of the run itself;
+    so a run meets the words it may need in an equi-join, and no task holds the vocabulary.
     """
-    if vocab.limit(most + 1).count() > most:
-        raise ValueError(f"the vocabulary has over {most} words: leave out the rarest")
-    freq = verses.sparkSession.sparkContext.broadcast({r["word"]: r["freq"] for r in vocab.toLocalIterator()})
+    bare, n = _skeleton(F.col("run")), F.length("run")
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | F.substring("run", i - 1, F.lit(1)).rlike("[0-9'‘’?\"“”„]"))
+    beginnings = lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(bare, i, k))
+    keys = runs.select("run", F.explode(F.array_distinct(F.flatten(F.transform(starts, beginnings)))).alias("skeleton"))
+    known = vocab.select("word", "freq", _skeleton(F.col("word")).alias("skeleton"))
+    need = keys.join(known, "skeleton").groupBy("run").agg(F.collect_list(F.struct("word", "freq")).alias("known"))
 
     @F.pandas_udf("string")
-    def run(t: pd.Series) -> pd.Series:
-        return t.map(Lexicon(freq.value).repair)
+    def run(run: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series([Lexicon({x["word"]: int(x["freq"]) for x in k}).repair(r) for r, k in zip(run, known, strict=True)], dtype=object)
+
+    return need.withColumn("fixed", run("run", "known")).where("fixed <> run").select("run", "fixed")
+
+
+def repair_characters(verses: DataFrame, vocab: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """Verses with misread ?, quotes and digits inside words repaired. keys: unique to a verse.
+
+    Each distinct run is repaired once, and only runs that change are gathered by verse.
+    """
+    cut = F.regexp_extract_all(text, F.lit(f"[{_RUN}]+|[^{_RUN}]+"), F.lit(0))
+    odd = verses.where(F.col(text).rlike('[?"“”„]|[0-8]')).select(*keys, F.posexplode(cut).alias("place", "run"))
+    odd = odd.where(F.col("run").rlike(f"[{LETTERS}]") & F.col("run").rlike('[?"“”„0-8]'))
+    fixes = odd.join(repaired_runs(odd.select("run").distinct(), vocab), "run")
+    new = fixes.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("place", "fixed"))).alias("__new"))
+    put = F.array_join(F.transform(cut, lambda w, i: F.coalesce(F.element_at("__new", i), w)), "")
+    return verses.join(new, keys, "left").withColumn(text, F.when(F.col("__new").isNull(), F.col(text)).otherwise(put)).drop("__new")
+
+
+def change_counts(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, applied, flagged, total) of change rows."""
+    return changes.groupBy(*keys).agg(F.count_if(F.col("action") == "applied").alias("applied"), F.count_if(F.col("action") != "applied").alias("flagged"), F.count("*").alias("total"))
+
 
-    odd = F.col(text).rlike('[?"“”„]|[0-8]')
-    return verses.where(~odd | F.col(text).isNull()).unionByName(verses.where(odd).withColumn(text, run(F.col(text))))
+def patch_then_truncate(verses: DataFrame, patches: DataFrame, keys: list[str], sentinels: DataFrame) -> DataFrame:
+    """`apply_patches`, then the texts of the verses that `sentinels` (keys, sentinel) names up to their sentinel."""
+    told = apply_patches(verses, patches, keys).join(sentinels.select(*keys, F.col("sentinel").alias("__s")), keys, "left")
+    at = F.call_function("instr", F.col("text"), F.col("__s"))
+    return told.withColumn("text", F.when(at > 0, F.substring("text", F.lit(1), at + F.length("__s") - 1)).otherwise(F.col("text"))).drop("__s")
 
 
 def join_splits(tokens: list[str], known: set[str], most: int = 6, prefix: int = 7, suffix: int = 5) -> list[str]:

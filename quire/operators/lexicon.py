@@ -106,3 +106,10 @@ def translated(entries: DataFrame, column: str, udf, batch: int | None = None) -
     distinct = entries.select(F.col(column).alias("__t")).where("__t is not null").distinct()
     distinct = (distinct.repartition(batch) if batch else distinct).withColumn("__u", udf("__t"))
     return entries.join(distinct, F.col(column) == F.col("__t"), "left").withColumn(column, F.coalesce("__u", column)).drop("__t", "__u")
+
+
+def carried(new: DataFrame, old: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """New rows with the old ones' optional `fields` where a new one has none (null or empty)."""
+    o = old.select(*keys, *(F.col(f).alias(f"__{f}") for f in fields))
+    values = {f: F.coalesce(F.nullif(F.col(f), F.lit("")), F.col(f"__{f}")) if f in new.columns else F.col(f"__{f}") for f in fields}
+    return new.join(o, keys, "left").withColumns(values).drop(*(f"__{f}" for f in fields))

@@ -79,10 +79,15 @@ def corruption(verses: DataFrame, keys: list[str]) -> DataFrame:
     return told.select(*keys, F.bround(score, 3).alias("score"), bad.alias("is_corrupted"), "issues")
 
 
-def requested(books: DataFrame, report: DataFrame, keys: list[str]) -> DataFrame:
-    """The report for every requested book; those without rows have the issue NOT_FOUND."""
-    told = books.join(report, keys, "left")
-    return told.withColumns({"issues": F.coalesce("issues", F.array(F.lit("NOT_FOUND"))), "score": F.coalesce("score", F.lit(0.0)), "is_corrupted": F.coalesce("is_corrupted", F.lit(False))})
+def requested(books: DataFrame, report: DataFrame, keys: list[str], chapters: DataFrame | None = None) -> DataFrame:
+    """The report for every requested book; those without rows have the issue NOT_FOUND, or NO_CHAPTERS if `chapters`
+    (keys: the books that there are, with chapters or without) knows them."""
+    told, none = books.join(report, keys, "left"), F.lit("NOT_FOUND")
+    if chapters is not None:
+        told = told.join(chapters.select(*keys).distinct().withColumn("__there", F.lit(True)), keys, "left")
+        none = F.when(F.col("__there"), "NO_CHAPTERS").otherwise("NOT_FOUND")
+    told = told.withColumn("issues", F.coalesce("issues", F.array(none))).drop("__there")
+    return told.withColumns({ "score": F.coalesce("score", F.lit(0.0)), "is_corrupted": F.coalesce("is_corrupted", F.lit(False))})
 
 
 def suspicious_tokens(words: DataFrame, keys: list[str], most: int = 30) -> DataFrame:
@@ -148,24 +153,26 @@ def empty_or_short(verses: DataFrame, least: int = 8, marker: str = "[verse text
 
 
 def characters(verses: DataFrame) -> DataFrame:
-    """Character-level findings, once for each match where a rule looks at matches."""
-    q = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1))), lambda i: F.when(F.substring("text", i, F.lit(1)) == "?", i)), lambda i: i.isNotNull() & (F.substring("text", F.greatest(i - 1, F.lit(1)), F.lit(1)).rlike(r"\p{L}") | F.trim(F.substring("text", i + 1, F.lit(3))).rlike(r"^\p{L}")))
-    quest = verses.where(F.col("text").rlike(r"\p{L}\?|\?\s{0,2}\p{L}")).withColumn("at", F.explode(q))
-    every = lambda p: verses.withColumn("m", F.explode(F.regexp_extract_all("text", F.lit(p), F.lit(0))))
-    n = word_count(F.col("text"))
+    """Character-level findings, once for each match where a rule looks at matches. One pass over the verses."""
+    text, n = F.col("text"), word_count(F.col("text"))
+    item = lambda r, s, d: F.struct(F.lit(r).alias("r"), F.lit(s).alias("s"), d.alias("d"))
+    at = lambda i, k: F.substring("text", i, F.lit(k))
+    near = lambda i: at(F.greatest(i - 1, F.lit(1)), 1).rlike(r"\p{L}") | F.trim(at(i + 1, 3)).rlike(r"^\p{L}")
+    places = F.filter(F.sequence(F.lit(1), F.length("text")), lambda i: (at(i, 1) == "?") & near(i))
+    places = F.when(text.rlike(r"\p{L}\?|\?\s{0,2}\p{L}"), places).otherwise(F.array().cast("array<int>"))
+    every = lambda p, r: F.transform(F.regexp_extract_all("text", F.lit(p), F.lit(0)), lambda m: item(r, "HIGH", m))
     once = F.array_compact(F.array(
-        F.when(F.col("text").rlike(r"(?i)dipnot|footnot|\bbkz\b|grekçede|asıl metinde"), F.struct(F.lit("FOOTNOTE_LEAK").alias("r"), F.lit("HIGH").alias("s"), F.substring("text", 1, 120).alias("d"))),
-        F.when(F.col("text").rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"), F.struct(F.lit("CONTROL_CHAR").alias("r"), F.lit("HIGH").alias("s"), F.substring("text", 1, 60).alias("d"))),
-        F.when((n > 0) & (n < 5), F.struct(F.lit("VERY_SHORT_VERSE").alias("r"), F.lit("MEDIUM").alias("s"), F.col("text").alias("d"))),
-        F.when(F.length("text") > 500, F.struct(F.lit("VERY_LONG_VERSE").alias("r"), F.lit("MEDIUM").alias("s"), F.substring("text", 1, 120).alias("d"))),
+        F.when(text.rlike(r"(?i)dipnot|footnot|\bbkz\b|grekçede|asıl metinde"), item("FOOTNOTE_LEAK", "HIGH", F.substring("text", 1, 120))),
+        F.when(text.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"), item("CONTROL_CHAR", "HIGH", F.substring("text", 1, 60))),
+        F.when((n > 0) & (n < 5), item("VERY_SHORT_VERSE", "MEDIUM", text)),
+        F.when(F.length("text") > 500, item("VERY_LONG_VERSE", "MEDIUM", F.substring("text", 1, 120))),
     ))
-    one = verses.withColumn("x", F.explode(once))
-    return union(
-        _finding(quest, "EMBEDDED_QUESTION_MARK", "HIGH", snippet(F.col("text"), F.col("at"), 15)),
-        _finding(every(rf"[{LETTERS}]\d|\d[{LETTERS}]"), "DIGIT_IN_WORD", "HIGH", F.col("m")),
-        _finding(every(rf'[{LETTERS}]["“”„][{LETTERS}]'), "QUOTE_CHAR_MID_WORD", "HIGH", F.col("m")),
-        _finding(one, F.col("x.r"), F.col("x.s"), F.col("x.d")),
-    )
+    found = F.concat(
+        F.transform(places, lambda i: item("EMBEDDED_QUESTION_MARK", "HIGH", snippet(text, i, 15))),
+        every(rf"[{LETTERS}]\d|\d[{LETTERS}]", "DIGIT_IN_WORD"), every(rf'[{LETTERS}]["“”„][{LETTERS}]', "QUOTE_CHAR_MID_WORD"), once,
+    )
+    told = verses.withColumn("x", F.explode(found))
+    return _finding(told, F.col("x.r"), F.col("x.s"), F.col("x.d"))
 
 
 def _tokens(verses: DataFrame, least: int = 3) -> DataFrame:
@@ -185,7 +192,7 @@ def rare_words(verses: DataFrame, vocab: DataFrame) -> DataFrame:
 def length_by_median(verses: DataFrame, references: DataFrame, short: float = 0.35, long: float = 3.5, least: int = 3) -> DataFrame:
     """Word counts far from the upper median of the references'. references: (b, c, v, text)."""
     n = references.where("trim(text) <> ''").select("b", "c", "v", word_count(F.col("text")).alias("n"))
-    median = n.groupBy("b", "c", "v").agg(F.get(F.array_sort(F.collect_list("n")), (F.count("*") / 2).cast("int")).alias("m"))
+    median = n.groupBy("b", "c", "v").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n DESC)").alias("m"))  # the upper one of two
     told = verses.join(median, ["b", "c", "v"]).where(F.col("m") >= least).withColumn("r", word_count(F.col("text")) / F.col("m"))
     return union(_finding(told.where(F.col("r") < short), "VERSE_TOO_SHORT_VS_REFS", "HIGH", F.bround("r", 2)), _finding(told.where(F.col("r") > long), "VERSE_TOO_LONG_VS_REFS", "MEDIUM", F.bround("r", 2)))
 
@@ -255,6 +262,17 @@ def sanity(verses: DataFrame, rules=SANITY) -> DataFrame:
     return union(_finding(told, F.col("x.d"), F.col("x.s")), _finding(mid, "capital I inside a word", "HIGH", F.col("m")))
 
 
+def verse_lists(verses: DataFrame, expected: DataFrame) -> DataFrame:
+    """Chapters whose numbers are not exactly those expected: one finding for each missing or extra number.
+
+    expected: (b, c, v). Only chapters that it names, of editions that have the book, are looked at.
+    """
+    want = verses.select("t", "b").distinct().join(expected.select("b", "c", "v").distinct(), "b")
+    have = verses.where("v is not null").select("t", "b", "c", "v").distinct().join(expected.select("b", "c").distinct(), ["b", "c"], "left_semi")
+    k = ["t", "b", "c", "v"]
+    return union(_finding(want.join(have, k, "left_anti"), "LIST_MISSING", "CRITICAL"), _finding(have.join(want, k, "left_anti"), "LIST_EXTRA", "CRITICAL"))
+
+
 def spot_checks(verses: DataFrame, expected: DataFrame) -> DataFrame:
     """Places whose text lacks a keyword, or that are missing. expected: (b, c, v, keyword)."""
     told = expected.join(verses.select("t", "b", "c", "v", "text"), ["b", "c", "v"], "left").where(F.col("text").isNull() | ~F.contains(F.lower("text"), F.lower("keyword")))
@@ -280,6 +298,12 @@ def completeness(verses: DataFrame, canon: DataFrame, reference: str) -> tuple[D
     return coverage, missing, flags
 
 
+def words_not_in(verses: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, word): distinct words of each verse that the same verse elsewhere lacks."""
+    words = lambda x: x.select(*keys, F.explode(F.array_distinct(letter_tokens(F.col("text")))).alias("word"))
+    return words(verses).join(words(others), [*keys, "word"], "left_anti")
+
+
 def chapter_lists(missing: DataFrame) -> DataFrame:
     """(t, b, chapters): missing chapters as one text."""
     return missing.groupBy("t", "b").agg(F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda c: c.cast("string")), ", ").alias("chapters"))

@@ -166,7 +166,7 @@ def asof_owner_first(spark, d):
     return alignment.as_of(s, _places(spark, d, "view", True).withColumn("at", F.col("event_id")), ["user_id"], "at", ["event_id"], "first").drop("at")
 
 
-@query("interval_owner", "WITH s AS (SELECT user_id, event_id AS owner, lead(event_id, 1, 999999) OVER (PARTITION BY user_id ORDER BY event_id) AS until FROM events WHERE event_type = 'view') SELECT t.user_id, t.event_id AS target, s.owner FROM events t JOIN s ON t.user_id = s.user_id AND s.owner <= t.event_id AND t.event_id < s.until WHERE t.event_type <> 'view'")
+@query("interval_owner", "WITH s AS (SELECT user_id, event_id AS owner, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS until FROM events WHERE event_type = 'view') SELECT t.user_id, t.event_id AS target, s.owner FROM events t JOIN s ON t.user_id = s.user_id AND s.owner <= t.event_id AND (s.until IS NULL OR t.event_id < s.until) WHERE t.event_type <> 'view'")
 def interval_owner(spark, d):
     return alignment.interval_owner(_places(spark, d, "view"), _places(spark, d, "view", True), ["user_id"], "event_id")
 
@@ -182,10 +182,9 @@ _WC = r"len(regexp_extract_all({}, '\S+'))"
 
 @query("length_vs_upper_median", f"WITH n AS (SELECT doc_id, lang, {_WC.format('text')} AS n FROM documents), m AS (SELECT lang, percentile_disc(0.5) WITHIN GROUP (ORDER BY n DESC) AS m FROM n WHERE n > 0 GROUP BY 1) SELECT doc_id, CASE WHEN n < 0.35 * m THEN 'TOO_SHORT' ELSE 'TOO_LONG' END AS reason FROM n JOIN m USING (lang) WHERE m >= 3 AND (n < 0.35 * m OR n > 3.5 * m)")
 def length_vs_upper_median(spark, d):
-    n = table(spark, d, "documents").select("doc_id", "lang", st.word_count(F.col("text")).alias("n"))
-    m = n.where("n > 0").groupBy("lang").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n DESC)").alias("m"))
-    told = n.join(F.broadcast(m), "lang").where("m >= 3 and (n < 0.35 * m or n > 3.5 * m)")
-    return told.select("doc_id", F.when(F.expr("n < 0.35 * m"), "TOO_SHORT").otherwise("TOO_LONG").alias("reason"))
+    told = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("t"), F.col("lang").alias("b"), F.lit(1).alias("c"), F.lit(1).alias("v"), "text")
+    f = quality.length_by_median(told, told.drop("t"))
+    return f.select(F.col("t").cast("bigint").alias("doc_id"), F.when(F.col("reason") == "VERSE_TOO_SHORT_VS_REFS", "TOO_SHORT").otherwise("TOO_LONG").alias("reason"))
 
 
 @query("length_vs_mean", f"WITH {EDITION}, r AS (SELECT b, v, length(text) AS n FROM edition WHERE t = 1) SELECT b, e.v, CASE WHEN length(e.text) < 0.5 * n THEN 'SHORT' ELSE 'LONG' END AS reason FROM edition e JOIN r USING (b, v) WHERE t = 0 AND e.text <> '' AND n >= 20 AND (length(e.text) < 0.5 * n OR length(e.text) > 2 * n)")
@@ -206,12 +205,7 @@ _SET = f"list_distinct(list_filter(regexp_split_to_array({_NORM.format('text')},
     "r AS (SELECT *, row_number() OVER (PARTITION BY b, v ORDER BY i::DOUBLE / u DESC, rv) AS k FROM j) SELECT b, v, rv, CAST(i AS INTEGER) AS common FROM r WHERE k = 1",
 )
 def best_line_by_jaccard(spark, d):
-    a, b = editions(spark, d)
-    words = lambda x: F.array_distinct(st.python_split(st.normal_prefix(F.col(x), 200)))
-    x = a.select("b", "v", words("text").alias("ws")).where("size(ws) > 0")
-    y = b.select("b", F.col("v").alias("rv"), words("text").alias("rs")).where("size(rs) > 0")
-    near = x.join(y, "b").where("rv between v and v + 14").withColumn("s", sim.set_jaccard(F.col("ws"), F.col("rs")))
-    return windows.top_k(near, ["b", "v"], 1, [F.desc("s"), "rv"]).select("b", "v", "rv", F.size(F.array_intersect("ws", "rs")).alias("common"))
+    return alignment.best_by_jaccard(*editions(spark, d), ["b"])
 
 
 _TERMS = (
@@ -224,26 +218,32 @@ _TERMS = (
     "per AS (SELECT doc_id, source, kind, term, count(*) AS k FROM term GROUP BY ALL), n AS (SELECT source, count(DISTINCT doc_id) AS n FROM term GROUP BY 1), "
     "loc AS (SELECT source AS st, kind, term, CAST(sum(k) AS BIGINT) AS tf, count(*) AS df FROM per GROUP BY ALL)"
 )
-_USAGE = f"WITH {_TERMS} SELECT st, kind, term, tf, df FROM loc JOIN n ON n.source = loc.st WHERE df >= greatest(4, floor(n * CASE WHEN n >= 1000 THEN 0.25 WHEN n >= 200 THEN 0.35 ELSE 0.5 END * CASE WHEN kind = 2 THEN 0.75 ELSE 1.0 END))"
+_USAGE = f"WITH {_TERMS}, cor AS (SELECT kind, term, sum(k) AS cf FROM per GROUP BY ALL), tot AS (SELECT kind, sum(cf) AS ct FROM cor GROUP BY 1), lt AS (SELECT st, kind, sum(tf) AS lt FROM loc GROUP BY ALL) SELECT st, kind, term, tf, df, round((tf / lt) / (cf / ct) * ln(1 + df) * CASE WHEN kind = 2 THEN 1.2 ELSE 1.0 END, 6)::DOUBLE AS score FROM loc JOIN n ON n.source = loc.st JOIN lt USING (st, kind) JOIN cor USING (kind, term) JOIN tot USING (kind) WHERE df >= greatest(4, floor(n * CASE WHEN n >= 1000 THEN 0.25 WHEN n >= 200 THEN 0.35 ELSE 0.5 END * CASE WHEN kind = 2 THEN 0.75 ELSE 1.0 END))"
 
 
 def _usage(spark, d) -> DataFrame:
     t = table(spark, d, "documents")
     owners = t.select(F.col("source").alias("st"), "doc_id").distinct()
-    return concordance.usage(concordance.term_rows(t, ["doc_id"]), owners, ["doc_id"])
+    return concordance.usage(concordance.term_rows(t, ["doc_id"]), owners, ["doc_id"]).withColumn("score", F.round("score", 6))
 
 
 @query("usage_terms", _USAGE)
 def usage_terms(spark, d):
-    return _usage(spark, d).select("st", "kind", "term", "tf", "df")
+    return _usage(spark, d)
 
 
-@query("usage_topk", f"SELECT st, term, df, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY st ORDER BY df DESC, term DESC) AS r FROM ({_USAGE})) WHERE r <= 8")
+@query("usage_topk", f"SELECT st, term, df, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY st ORDER BY score DESC, term DESC) AS r FROM ({_USAGE})) WHERE r <= 8")
 def usage_topk(spark, d):
-    return windows.top_k(_usage(spark, d), ["st"], 8, [F.desc("df"), F.desc("term")]).select("st", "term", "df", "rank")
+    return concordance.plain_top(_usage(spark, d), 8).select("st", "term", "df", "rank")
+
+
+#: Chosen chips are a text between bars; a chip comes in while there are fewer than six and none has a word of it.
+_CHOOSE = (
+    "list_reduce(list(term ORDER BY score DESC, term), lambda a, x: CASE WHEN len(string_split(a, '|')) <= " + str(concordance.MOST_CHIPS) + " AND len(list_intersect(string_split(replace(a, '|', ' '), ' '), string_split(x, ' '))) = 0 THEN a || '|' || x ELSE a END, '')"
+)
 
 
-@query("usage_chips")
+@query("usage_chips", f"WITH chosen AS (SELECT st, list_filter(string_split({_CHOOSE}, '|'), lambda x: x <> '') AS ts FROM ({_USAGE}) GROUP BY 1) SELECT st, CAST(unnest(range(1, len(ts) + 1)) AS INTEGER) AS rank, unnest(ts) AS term FROM chosen")
 def usage_chips(spark, d):
     return concordance.chips(_usage(spark, d))
 
@@ -253,18 +253,16 @@ def bigrams(spark, d):
     return concordance.pair_counts(table(spark, d, "documents"))
 
 
-@query("phrase_containment", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(' ' || regexp_replace(d.text, '\\s+', ' ', 'g') || ' ', ' ' || regexp_replace(b.text, '\\s+', ' ', 'g') || ' ')")
+@query("phrase_containment", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(' ' || trim(regexp_replace(d.text, '\\s+', ' ', 'g')) || ' ', ' ' || trim(regexp_replace(b.text, '\\s+', ' ', 'g')) || ' ') WHERE regexp_matches(b.text, '\\S')")
 def phrase_containment(spark, d):
-    """Texts that contain a phrase as whole words: an equi-join on the phrase's first words, then the test."""
-    flat = lambda c: F.regexp_replace(c, r"\s+", " ")
-    n = 4
-    p = table(spark, d, "benchmark").select("item_id", F.concat(F.lit(" "), flat("text"), F.lit(" ")).alias("phrase"))
-    p = p.withColumn("head", F.array_join(F.slice(st.python_split(F.col("phrase")), 1, n), " "))
-    t = table(spark, d, "documents").select("doc_id", st.python_split(F.col("text")).alias("ws"))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("ws"), F.lit(1))), lambda i: F.array_join(F.slice("ws", i, F.lit(n)), " "))
-    hit = t.select("doc_id", F.explode(F.array_distinct(grams)).alias("head")).join(p, "head").select("doc_id", "item_id", "phrase")
-    body = table(spark, d, "documents").select("doc_id", F.concat(F.lit(" "), flat("text"), F.lit(" ")).alias("body"))
-    return hit.join(body, "doc_id").where(F.contains("body", "phrase")).select("item_id", "doc_id")
+    return concordance.phrases_in(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"), "doc_id", "item_id")
+
+
+@query("short_phrases", "SELECT b.item_id, d.doc_id FROM (SELECT item_id, array_to_string(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')[1:1 + item_id % 3], ' ') AS phrase FROM benchmark) b JOIN (SELECT doc_id, ' ' || trim(regexp_replace(text, '\\s+', ' ', 'g')) || ' ' AS body FROM documents) d ON contains(body, ' ' || phrase || ' ') WHERE phrase <> ''")
+def short_phrases(spark, d):
+    """Phrases of one to three words."""
+    p = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(st.python_split(F.col("text")), F.lit(1), (1 + F.col("item_id") % 3).cast("int")), " ").alias("text"))
+    return concordance.phrases_in(table(spark, d, "documents").select("doc_id", "text"), p, "doc_id", "item_id")
 
 
 _ENDS = "[.!?»\"“”''‘’)\\]…›,;:]+\\s*$"
@@ -562,12 +560,12 @@ def structure_findings(spark, d):
     return quality.count_by(quality.sequence(v), "reason")
 
 
-@query("completeness", "WITH canon AS (SELECT n_nationkey AS b, 7 AS chapters FROM nation), have AS (SELECT DISTINCT l_returnflag AS t, s_nationkey AS b, l_linenumber AS c FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) SELECT t, count(DISTINCT b) AS books, count(*) AS present, CAST((SELECT sum(chapters) FROM canon) AS BIGINT) AS expected, CAST(floor(count(*) * 1000 / (SELECT sum(chapters) FROM canon)) AS INTEGER) AS permille FROM have JOIN canon USING (b) WHERE c BETWEEN 1 AND chapters GROUP BY 1")
+@query("completeness", "WITH canon AS (SELECT n_nationkey AS b, 7 AS chapters FROM nation), have AS (SELECT DISTINCT l_returnflag AS t, s_nationkey AS b, l_linenumber AS c FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) SELECT t, count(DISTINCT b) AS books, count(*) AS present, CAST((SELECT sum(chapters) FROM canon) AS BIGINT) AS expected, CAST(floor(count(*) * 1000 / (SELECT sum(chapters) FROM canon)) AS INTEGER) AS permille, CASE WHEN min(b) >= 12 THEN 'NT-only' WHEN max(b) < 12 THEN 'OT-only' ELSE 'Full Bible' END AS scope FROM have JOIN canon USING (b) WHERE c BETWEEN 1 AND chapters GROUP BY 1")
 def completeness(spark, d):
     li, s = table(spark, d, "lineitem"), table(spark, d, "supplier")
     v = li.join(s, li.l_suppkey == s.s_suppkey).select(F.col("l_returnflag").alias("t"), F.col("s_nationkey").alias("b"), F.col("l_linenumber").alias("c"), F.lit(1).alias("v"))
-    canon = table(spark, d, "nation").select(F.col("n_nationkey").alias("b"), F.lit(7).alias("chapters"), F.lit("NT").alias("testament"))
-    return quality.completeness(v, canon, "A")[0].drop("scope")
+    canon = table(spark, d, "nation").select(F.col("n_nationkey").alias("b"), F.lit(7).alias("chapters"), F.when(F.col("n_nationkey") < 12, "OT").otherwise("NT").alias("testament"))
+    return quality.completeness(v, canon, "A")[0]
 
 
 @query("spot_checks", "WITH v AS (SELECT doc_id, lower(text) AS text FROM documents) SELECT CAST(item_id AS INTEGER) AS c, CASE WHEN v.text IS NULL THEN 'SPOT_MISSING' ELSE 'SPOT_KEYWORD' END AS reason FROM benchmark b LEFT JOIN v ON v.doc_id = b.item_id WHERE v.text IS NULL OR NOT contains(v.text, lower(split_part(b.text, ' ', 1)))")
@@ -577,11 +575,16 @@ def spot_checks(spark, d):
     return quality.spot_checks(v, e).select("c", "reason")
 
 
-@query("sanity_findings", r"WITH v AS (SELECT doc_id, text FROM documents) SELECT CAST(doc_id AS INTEGER) AS c, 'large number before a word' AS reason FROM v WHERE regexp_matches(text, '(^|[^0-9])[0-9]{3,}[A-ZÇĞİÖŞÜa-züşğçöı]') UNION ALL SELECT doc_id, 'copyright notice' FROM v WHERE contains(text, 'Permission should be obtained') UNION ALL SELECT doc_id, 'copyright notice' FROM v WHERE contains(text, '(c) The Translation Trust') UNION ALL SELECT doc_id, 'name without its dot' FROM v WHERE regexp_matches(text, '(^|[^\p{L}])Isa($|[^\p{L}])') UNION ALL SELECT doc_id, 'introduction in verse text' FROM v WHERE contains(text, 'Genel bakış:')")
+#: The rules of `quality.SANITY` without lookaround, which DuckDB's expressions lack.
+_PLAIN = lambda p: "(^|[^0-9])" + p[len(r"(?<!\d)") :].replace("(?=", "(?:") if p.startswith(r"(?<!\d)") else p.replace(r"(?<!\p{L})", r"(?:^|[^\p{L}])").replace(r"(?!\p{L})", r"(?:$|[^\p{L}])")
+_SANITY = " UNION ALL ".join(f"SELECT CAST(doc_id AS INTEGER) AS c, '{what}' AS reason, '{severity}' AS severity FROM documents WHERE regexp_matches(text, '{_PLAIN(p).replace(chr(39), chr(39) * 2)}')" for p, what, severity in quality.SANITY)
+_INNER_I = "SELECT CAST(doc_id AS INTEGER), 'capital I inside a word', 'HIGH' FROM (SELECT doc_id, text, unnest(range(1, length(text))) AS i FROM documents WHERE contains(text, 'I')) WHERE regexp_matches(substr(text, i::INTEGER, 3), '^[a-züşğçöı]I[a-züşğçöı]')"
+
+
+@query("sanity_findings", f"{_SANITY} UNION ALL {_INNER_I}")
 def sanity_findings(spark, d):
     v = table(spark, d, "documents").select(F.col("doc_id").alias("c"), "text")
-    named = ("large number before a word", "copyright notice", "name without its dot", "introduction in verse text")
-    return quality.sanity(v, [r for r in quality.SANITY if r[1] in named]).where(F.col("reason").isin(*named)).select("c", "reason")
+    return quality.sanity(v).select("c", "reason", "severity")
 
 
 @query("verse_index", "WITH t AS (SELECT doc_id, source, list_transform(regexp_extract_all(text, '\\p{L}+(?:''\\p{L}+)*'), lambda w: lower(translate(w, 'İI', 'iı'))) AS ts FROM documents), w(word) AS (VALUES ('the'), ('der'), ('tion')), m AS (SELECT source AS st, word, doc_id FROM t, w WHERE len(list_filter(ts, lambda x: x = word OR (starts_with(x, word) AND length(x) BETWEEN length(word) + 1 AND length(word) + 7))) > 0) SELECT st, word, doc_id, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY st, word ORDER BY doc_id) AS r FROM m) WHERE r <= 50")
@@ -592,10 +595,10 @@ def verse_index(spark, d):
     return concordance.verse_index(words, owners, t, ["doc_id"])
 
 
-@query("inverted_index", "SELECT source AS st, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS refs FROM documents GROUP BY 1")
+@query("inverted_index", "SELECT source AS st, doc_id // 1000 AS page, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS refs FROM documents GROUP BY 1, 2")
 def inverted_index(spark, d):
     owners = table(spark, d, "documents").select(F.col("source").alias("st"), "doc_id").distinct()
-    return concordance.inverted(owners, ["doc_id"]).withColumn("refs", F.array_join("refs", ","))
+    return concordance.inverted(owners, ["doc_id"], F.floor(F.col("doc_id") / 1000)).withColumn("refs", F.array_join("refs", ","))
 
 
 @query("section_placement", "WITH h AS (SELECT user_id, event_id AS v FROM events WHERE event_type = 'signup') SELECT user_id, v, kind, CAST(row_number() OVER (PARTITION BY user_id ORDER BY v, kind, text) AS INTEGER) AS n, text FROM (SELECT user_id, v, 0 AS kind, 'heading' AS text FROM h UNION ALL SELECT user_id, event_id, 1, event_type FROM events)")
@@ -664,6 +667,7 @@ def verse_references(spark, d):
 @query("reference_words", f"WITH {EDITION}, w AS (SELECT t, b, v, unnest(regexp_extract_all(lower(translate(text, 'İI', 'iı')), '[\\p{{L}}''’]+')) AS word FROM edition), r AS (SELECT DISTINCT b, v, word FROM w WHERE t = 1 AND length(word) >= 2) SELECT b, v, count(*) AS missing FROM (SELECT DISTINCT b, v, word FROM w WHERE t = 0 AND length(word) >= 2) x WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.b = x.b AND r.v = x.v AND r.word = x.word) GROUP BY b, v")
 def reference_words(spark, d):
     """Words of each verse that the same verse of the other edition lacks."""
-    words = lambda x: x.select("b", "v", F.explode(F.array_distinct(st.letter_tokens(F.col("text")))).alias("word"))
-    a, b = editions(spark, d)
-    return words(a).join(words(b), ["b", "v", "word"], "left_anti").groupBy("b", "v").agg(F.count("*").alias("missing"))
+    return quality.words_not_in(*editions(spark, d), ["b", "v"]).groupBy("b", "v").agg(F.count("*").alias("missing"))
+
+
+from . import text_queries  # noqa: E402, F401  it adds its queries to QUERIES and SQL

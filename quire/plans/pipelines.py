@@ -48,7 +48,7 @@ def deep_audit(verses: DataFrame, references: DataFrame, canon: DataFrame) -> tu
     """(verses, findings): artifacts off, characters repaired, wider correction; then the structure's findings."""
     words = vocab.vocabulary(references)
     clean = verses.withColumn("text", correction.clean_artifacts(F.col("text"))["text"])
-    repaired = correction.repair_characters(clean, words)
+    repaired = correction.repair_characters(clean, words, VERSE)
     fixed, _ = correction.correct_verses(repaired, words, VERSE, wider=True)
     return fixed, quality.structure(fixed, canon)
 

@@ -2,7 +2,8 @@
 
 spark.dataSource.register(SqliteSource)
 spark.read.format("quire_sqlite").option("path", file).option("query", sql).option("schema", ddl).load()
-With options `column`, `lower`, `upper` and `parts` the query runs once a range of an integer column.
+With options `column`, `lower`, `upper` and `parts` the query runs once a range of an integer column; the
+bounds only set the ranges' width: the first and the last are open, and rows without a value come with the first.
 The file must be readable where executors run.
 """
 
@@ -29,8 +30,11 @@ class SqliteReader(DataSourceReader):
         if "column" not in o:
             return [_Range("", ())]
         lo, hi, n = int(o["lower"]), int(o["upper"]), int(o.get("parts", 8))
-        cuts = sorted({lo + (hi + 1 - lo) * i // n for i in range(n + 1)})
-        return [_Range(f" WHERE {o['column']} >= ? AND {o['column']} < ?", (a, b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+        cuts, col = sorted({lo + (hi + 1 - lo) * i // n for i in range(1, n)}), o["column"]
+        if not cuts:
+            return [_Range("", ())]
+        inner = [_Range(f" WHERE {col} >= ? AND {col} < ?", (a, b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [_Range(f" WHERE {col} < ? OR {col} IS NULL", (cuts[0],)), *inner, _Range(f" WHERE {col} >= ?", (cuts[-1],))]
 
     def read(self, partition: _Range) -> Iterator[tuple]:
         with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:

@@ -58,6 +58,9 @@ CASES = [
     (lambda c: st.stop_ratio(c, ["the", "of"]), "the king of Spain", 0.5),
     (P.stem_udf, "kitaplarından", "kitap"),
     (cl.ocr_verse, "yol - larını du-  runcaya vaf-tiz (3) söz(12)ler Mat.11/10, son 842", "yollarını duruncaya vaftiz söz ler son"),
+    (cl.ocr_verse, "Baş-Melek ve ya- 123 zdı – , son (*) söz(†).", "Baş-Melek ve yazdıson söz."),
+    (cl.ocr_verse, "bir 12 iki 345 üç-456 beş", "bir 12 iki üçbeş"),
+    (cl.whole_words, "ev -de ev- den ev-den Ev-Den", "evde evden evden Ev-Den"),
     (lambda c: cl.strip_noise(c, ["book_references", "references", "see", "edition_mark", "roman"]), "Bak Kol.3:4 ve 5:1-3 bkz. xy ELÇ IV son", "Bak ve son"),
     (lambda c: cl.strip_noise(c, ["notes_block"]), "Söz. Dipnotları bir iki", "Söz."),
     (lambda c: cl.title_in(c, [("MARKOS", "MRK"), ("MATTA", "MAT")]), "MATTA - 1", "MAT"),
@@ -94,7 +97,7 @@ def test_split_token(spark):
 
 
 def test_python_functions():
-    assert P.dedupe_definition("1. kral, krallar, ev {x, x} ev") == "1. kral, ev{x, x}ev"
+    assert P.distinct_items("1. kral, krallar, ev {x, x} ev") == "1. kral, ev{x, x}ev"
     assert P.translate_protected("from H12 and G345", str.upper) == "FROM H12 AND G345"
     assert P.translate_protected("x", lambda _: "") == "x"
     assert P.find_names("1.SAMUEL 3 - 2.SAMUEL", {"1.SAMUEL": "1SA", "2.SAMUEL": "2SA", "SAMUEL": "X"}) == ["1SA", "2SA"]

@@ -1,3 +1,4 @@
+import random
 """Operators on small corpora worked out by hand."""
 
 import random
@@ -164,10 +165,28 @@ def test_corrections_against_the_definition(spark):
 def test_character_repair(spark):
     ref = corpus(spark, *[(i, "kaynağı dağ şehir ışık iş") for i in range(1, 30)])
     bad = corpus(spark, (1, "kayna?ı ve da\"ğ 5ehir"), (2, "temiz"), (3, "Ne dedi?"))
-    got = {r["v"]: r["text"] for r in correction.repair_characters(bad, vocab.vocabulary(ref)).collect()}
+    got = {r["v"]: r["text"] for r in correction.repair_characters(bad, vocab.vocabulary(ref), ["v"]).collect()}
     assert got[1].startswith("kaynağı ve") and got[1].endswith("şehir") and got[2] == "temiz" and got[3] == "Ne dedi?"
 
 
+def test_character_repair_against_the_whole_vocabulary(spark):
+    rng = random.Random(11)
+    known = "kaynağı dağ şehir ışık iş bütün yıldızların içindeki Şehir'in göğü öğrenci toprakların İsrail ağaç gökyüzü".split()
+    ref = corpus(spark, *[(i, " ".join(rng.choices(known, k=12))) for i in range(1, 60)])
+    words = vocab.vocabulary(ref)
+
+    def spoil(w):
+        chars = list(w)
+        for i in rng.sample(range(len(chars)), min(len(chars), rng.randrange(3))):
+            chars[i] = rng.choice('?"0123456789’b')
+        return "".join(chars)
+
+    texts = [" ".join(spoil(rng.choice(known)) + rng.choice(["", "?", "'", " ,"]) for _ in range(8)) for _ in range(60)]
+    got = {r["v"]: r["text"] for r in correction.repair_characters(corpus(spark, *enumerate(texts)), words, ["v"]).collect()}
+    lexicon = correction.Lexicon({r["word"]: r["freq"] for r in words.collect()})
+    assert got == {i: lexicon.repair(t) for i, t in enumerate(texts)} and sum(got[i] != t for i, t in enumerate(texts)) >= 10
+
+
 def test_split_words_are_joined(spark):
     assert correction.join_splits("kut sal kitap lar".split(), {"kutsal", "kitap"}) == ["kutsal", "kitap", "lar"]
     assert correction.join_splits(["Yeruşa", "limdeki"], {"yeruşalim"}) == ["Yeruşalimdeki"]

@@ -77,6 +77,10 @@ def test_sqlite(spark, tmp_path):
     assert {tuple(x) for x in r.load().collect()} == want
     parts = r.option("column", "Book").option("lower", 1).option("upper", 5).option("parts", 3).load()
     assert {tuple(x) for x in parts.collect()} == want and parts.count() == 15
+    with sqlite3.connect(path) as db:  # bounds only set the width of ranges: these rows are outside them, or nowhere
+        db.executemany("INSERT INTO Bible VALUES (?, 1, 0, 'x')", [(-7,), (900,), (None,)])
+    for n in (1, 2, 3, 50):
+        assert r.option("column", "Book").option("lower", 2).option("upper", 4).option("parts", n).load().count() == 18
 
 
 def test_html(spark):
