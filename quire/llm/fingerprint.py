@@ -84,6 +84,8 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     The edited text is that of `edited`, with the next row's text (`with_next`). An edited text whose
     digest is that of its own text, or of a text with a suffix, is compared by its canonical form too.
+    Ids are numbers or their decimal form: other text is an error. Only the two columns are read, so others'
+    names don't matter; an empty table gives an empty table.
     """
     internal(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("digest", digest(canonical(F.col("text"))))

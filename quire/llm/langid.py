@@ -228,7 +228,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     __lang: the language of most letters, or `und` where the text is null or has no letter (or nothing
     was learned); ties go to the first in order. __score: its share of the letters; 0 for `und`.
-    __spans: array of (lang, first word, words). Columns of these names are replaced; repeated rows stay.
+    __spans: array of (lang, first word, words). Columns of these names are replaced; repeated rows stay; a very
+    long text is labelled whole, by itself; an empty table gives an empty table.
     """
     internal(docs, text_col)
     docs = docs.drop("__lang", "__score", "__spans")

@@ -69,7 +69,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the five statistics, base_failed, kept, quality."""
-    rows = rules.judge(documents(spark, sf_dir).select("doc_id", "text"))
+    rows = rules.judge(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
     failed = rules.base_failed(F.col("__n_words"), F.col("__n_repeat_words"))
     return rows.select("doc_id", *(F.col(f"__{s}").alias(s) for s in rules.STATS), failed.alias("base_failed"), F.col("__kept").alias("kept"), F.col("__quality").alias("quality"))
 

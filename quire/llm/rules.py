@@ -65,10 +65,6 @@ def stats(text: str) -> tuple[int, int, int, int, int]:
 RULES = ("length", "word_length", "symbols", "marked_words", "duplicate_lines", "repeats", "capitals", "letters", "sentences", "variety")
 
 
-def _vote(x: float, good: bool, bad: bool) -> int:
-    return 1 if good else 0 if bad else -1
-
-
 def votes(text: str, s: tuple[int, int, int, int, int]) -> str:
     """The pattern of a text: '+', '-' or '.' (abstains) for each of RULES."""
     n, chars, symbols, dup, repeats = s
@@ -100,18 +96,19 @@ def votes(text: str, s: tuple[int, int, int, int, int]) -> str:
     return "".join(out)
 
 
-def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns of `docs` with __n_words ... __n_repeat_words (long) and __votes (string)."""
+def features(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """All columns of `docs` (the text only if it is kept) with __n_words ... __n_repeat_words (long) and __votes (string)."""
     internal(docs, text_col)
-    at = docs.columns.index(text_col)
+    at, kept = docs.columns.index(text_col), [i for i, c in enumerate(docs.columns) if keep_text or c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             rows = [(s := stats(t), votes(t, s)) for t in ((x or "") for x in b.column(at).to_pylist())]
             cols = [pa.array([r[0][k] for r in rows], pa.int64()) for k in range(len(STATS))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols, pa.array([r[1] for r in rows], pa.string())], [*b.schema.names, *(f"__{s}" for s in STATS), "__votes"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), *cols, pa.array([r[1] for r in rows], pa.string())], [*(b.schema.names[i] for i in kept), *(f"__{s}" for s in STATS), "__votes"])
 
-    schema = docs.select("*", *(F.lit(0).cast("long").alias(f"__{s}") for s in STATS), F.lit("").alias("__votes")).schema
+    own = docs if keep_text else docs.drop(text_col)
+    schema = own.select("*", *(F.lit(0).cast("long").alias(f"__{s}") for s in STATS), F.lit("").alias("__votes")).schema
     return docs.mapInArrow(run, schema)
 
 
@@ -148,16 +145,17 @@ def base_failed(n_words: Column, repeats: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n_words)
 
 
-def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """All columns of `docs`, the five statistics as __n_words ..., __votes, __quality (posterior) and __kept.
 
-    Null and empty texts have no words: they fail. Repeated rows count as often as they occur. An
-    empty table gives an empty table. Columns of the same names as the added ones are replaced.
+    Null and empty texts have no words: they fail; very long ones are read whole. Repeated rows count as often as they
+    occur; a posterior of a half is kept. An empty table gives an empty table. Columns of the same names as the added
+    ones are replaced. What was found is stored once, without the texts unless they are kept.
     """
     docs = docs.drop(*(f"__{s}" for s in STATS), "__votes", "__quality", "__kept")
-    rows = Stored(features(docs, text_col), "rules").df
+    rows = Stored(features(docs, text_col, keep_text), "rules").df
     found = {r["__votes"]: r["count"] for r in rows.groupBy("__votes").count().collect()}  # at most 3 ** len(RULES) rows
-    quality = fit(found)
-    table = F.create_map(*(F.lit(x) for kv in sorted(quality.items()) for x in kv)) if quality else F.create_map().cast("map<string,double>")
+    told = docs.sparkSession.createDataFrame(sorted(fit(found).items()), "__votes string, __quality double").coalesce(1)
     failed = base_failed(F.col("__n_words"), F.col("__n_repeat_words"))
-    return rows.withColumn("__quality", F.element_at(table, F.col("__votes"))).withColumn("__kept", ~failed & (F.col("__quality") >= 0.5))
+    judged = rows.join(F.broadcast(told), "__votes").withColumn("__kept", ~failed & (F.col("__quality") >= 0.5))
+    return judged.select(*rows.columns, "__quality", "__kept")

@@ -55,6 +55,40 @@ def test_held_out_accuracy(spark):
     assert sum(held) >= 0.98 * len(held)
 
 
+def test_n_gram_counts_against_plain_loops(spark):
+    rows = [(1, "Aé bc, bc 12", "x"), (2, "bc d", "x"), (3, "éé", "y")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = np.full((langid._BUCKETS, 2), 0.5)
+    for _, text, lang in rows:
+        for w in langid._WORD.findall(text):
+            raw = b"\x02" + w.lower().encode() + b"\x03"
+            for n in (1, 2, 3, 4):
+                for i in range(len(raw) - n + 1):
+                    h = 0
+                    for c in raw[i : i + n]:
+                        h = (h * 1_000_003 + c + 1) % 2**64
+                    counts[(h * 0x9E3779B97F4A7C15 % 2**64 >> 48) % langid._BUCKETS, "xy".index(lang)] += 1
+    assert model.languages == ["x", "y"] and np.allclose(model.log_prob, np.log(counts / counts.sum(axis=0)), atol=1e-5)
+
+
+def test_rows_against_the_labels_of_their_words(spark):
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(langid.training(docs, F.lit(True)))
+    labeller = langid.Labeller(model)
+    for r in langid.predict(docs, model).collect():
+        words, labels = next(labeller.label([r["text"] or ""]))
+        letters = {x: sum(len(w) for w, k in zip(words, labels, strict=True) if model.languages[k] == x) for x in model.languages}
+        assert (r["__lang"], r["__score"]) == (max(model.languages, key=lambda x: letters[x]), max(letters.values()) / sum(letters.values())) if words else ("und", 0.0)
+        assert [tuple(s) for s in r["__spans"]] == langid.spans(words, labels, model.languages)
+
+
+def test_numerals_and_marks(spark):
+    model = _toy(spark)
+    rows = langid.predict(spark.createDataFrame([("½ ² Ⅷ ١٢",), ("ไม่ใช่",)], "text string"), model).collect()
+    assert (rows[0]["__lang"], rows[0]["__score"]) == ("und", 0.0) and rows[1]["__spans"][0]["words"] == 1
+
+
 def test_odd_rows(spark, odd, empty):
     model = langid.fit(langid.training(odd, F.lit(True)))
     rows = langid.predict(odd, model).collect()

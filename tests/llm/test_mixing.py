@@ -64,6 +64,37 @@ def test_odd_rows(odd, empty):
     assert taken.columns == odd.columns and taken.count() == sum(r["__copies"] for r in rows)
 
 
+def test_what_is_left_over_fits_no_row_that_was_not_taken(spark):
+    rng = random.Random(6)
+    sizes = {s: [rng.choice([1, 3, 8, 40, 700]) for _ in range(400)] for s in "abc"} | {"d": [5000, 2, 2, 2]}
+    rows = [(s, n) for s, ns in sizes.items() for n in ns]
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(rows)], "doc_id long, text string, source string")
+    got = mixing.mix(docs, F.array("source"), mixing.by_rank()).collect()
+    again = mixing.mix(docs.repartition(5), F.array("source"), mixing.by_rank()).collect()
+    assert {r["doc_id"]: r["__copies"] for r in got} == {r["doc_id"]: r["__copies"] for r in again}
+    for s, ns in sizes.items():
+        mine = [r for r in got if r["source"] == s]
+        whole = int(mine[0]["__target"] // sum(ns))
+        assert {r["__copies"] for r in mine} <= {whole, whole + 1}
+        room = mine[0]["__target"] - sum(r["__size"] * r["__copies"] for r in mine)
+        left = [r["__size"] for r in mine if r["__copies"] == whole]
+        assert room >= -0.5 and (not left or whole == 3 or room < min(left) + 1)
+
+
+def test_rows_of_one_id_or_none_are_not_taken_as_one(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, f"w{i} " * 10, "ab"[i % 3 == 0]) for i in range(600)], "doc_id long, text string, source string")
+    for r in mixing.mix(docs, F.array("source"), mixing.by_rank()).groupBy("source").agg(F.max("__target").alias("t"), F.sum(F.col("__size") * F.col("__copies")).alias("n")).collect():
+        assert 0 <= r["t"] - r["n"] < 10
+
+
+def test_flows_of_parts_are_the_flow_of_the_whole():
+    rng = random.Random(2)
+    capacity = {p: rng.randrange(1, 50) for p in [("a",), ("a", "b"), ("b",), ("c",), ("d", "e"), ("e",), (None,)]}
+    quota = {s: float(rng.randrange(0, 90)) for s in ["a", "b", "c", "d", "e", None]}
+    parts, whole = mixing.flow(capacity, quota), mixing._flow(capacity, quota, 3)
+    assert sum(parts.values()) == pytest.approx(sum(whole.values())) and brute_cost(capacity, quota, parts) == pytest.approx(brute_cost(capacity, quota, whole))
+
+
 def test_overlapping_sources_in_a_table(spark):
     docs = spark.createDataFrame([(i, "w " * (1 + i % 7), ["a"] if i % 3 else ["a", "b"]) for i in range(300)] + [(900, "w w", []), (901, "w", None)], "doc_id long, text string, s array<string>")
     rows = mixing.mix(docs, F.col("s"), {"a": 1, "b": 3})

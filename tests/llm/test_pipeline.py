@@ -58,3 +58,34 @@ def test_mix_meets_the_targets(stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, corpus_pipeline.run(spark, D).collect())) == sorted(map(tuple, stages[-1].collect()))
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_and_empty_tables(spark, odd, empty, name):
+    f = dict(corpus_pipeline.STAGES)[name]
+    assert f(spark, empty, D).collect() == []
+    got = f(spark, odd, D)
+    rows = got.collect()
+    assert rows and (name == "packing" or got.columns == odd.columns)
+    ids = [r["doc_id"] for r in rows]
+    if name == "language":  # texts without a letter go, all others stay with their repeats
+        assert sorted(i or 0 for i in ids) == [0, 1, 2, 2, 6, 8, 9, 10]
+    if name == "quality":  # only the long one has 50 words, and it repeats itself
+        assert set(ids) <= {6}
+    if name == "near_duplicates":
+        assert sorted(i or 0 for i in ids) == [0, 1, 3, 6, 7, 8, 9, 10]
+    if name == "mixing":
+        assert set(ids) <= {r["doc_id"] for r in odd.collect()} and max(map(ids.count, ids)) <= 6
+    if name == "packing":
+        assert {r["doc_id"]: r["doc_tokens"] for r in rows}[3] == 1 and set(ids) == {r["doc_id"] for r in odd.collect()}
+
+
+def test_stages_judge_repeats_and_ties_alike(spark):
+    """Every stage gives equal rows equal fates, and takes extra columns with an operator's names along."""
+    text = "the quick brown fox jumps over the lazy dog while many other animals look on from the edge of a quiet wood. " * 4
+    rows = [(i, f"{text}{i}", "en", "s", "x") for i in range(6)] + [(9, text, "en", "s", "x")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, component_id string")
+    for name, f in corpus_pipeline.STAGES[:2]:
+        told = [r["doc_id"] for r in f(spark, docs, D).collect()]
+        assert told.count(9) in (0, 3), name
+    assert [r["component_id"] for r in simhash.keep_one(docs, simhash.NEAR).collect()] == ["x"]

@@ -59,3 +59,35 @@ def test_odd_rows(odd, empty):
     assert len(rows) == odd.count()
     assert all(not r["__kept"] for r in rows if not (r["text"] or "").strip())
     assert rules.judge(empty).collect() == []
+
+
+def test_expectation_maximisation_against_plain_loops():
+    """The same steps, document by document and vote by vote."""
+    rng = random.Random(8)
+    docs = ["".join(rng.choice("++-.") if rng.random() < 0.7 else "-" for _ in range(4)) for _ in range(150)]
+    post = [0.05 if d.count("-") >= 2 else 0.6 if d.count("-") == 1 else 0.95 for d in docs]
+    for _ in range(200):
+        prior, right, wrong = (sum(post) + 1) / (len(docs) + 2), [], []
+        for k in range(4):
+            for out, w, sure in ((right, post, 0.8), (wrong, [1 - p for p in post], 0.2)):
+                good = sum(x for x, d in zip(w, docs, strict=True) if d[k] == "+")
+                voted = sum(x for x, d in zip(w, docs, strict=True) if d[k] != ".")
+                out.append((good + 5 * sure) / (voted + 5))
+        new = []
+        for d in docs:
+            yes, no = prior, 1 - prior
+            for k, c in enumerate(d):
+                if c != ".":
+                    yes *= right[k] if c == "+" else 1 - right[k]
+                    no *= wrong[k] if c == "+" else 1 - wrong[k]
+            new.append(yes / (yes + no))
+        done, post = max(abs(a - b) for a, b in zip(new, post, strict=True)) < 1e-9, new
+        if done:
+            break
+    got = rules.fit(Counter(docs))
+    assert max(abs(got[d] - p) for d, p in zip(docs, post, strict=True)) < 1e-6
+
+
+def test_texts_are_kept_or_not(odd):
+    whole, bare = rules.judge(odd), rules.judge(odd, keep_text=False)
+    assert set(whole.columns) - set(bare.columns) == {"text"} and whole.drop("text").exceptAll(bare).isEmpty()
