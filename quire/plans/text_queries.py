@@ -11,7 +11,7 @@ from ..functions import similarity as sim
 from ..functions import strings as st
 from ..operators import concordance, correction, lexicon, quality, vocab
 from ..sources import documents as docs
-from ..sources import html
+from ..sources import html, reports
 from . import catalogue as cat
 from .catalogue import EDITION, LETTERS, LOWER, VERSE, VOCAB, WORDS, editions, lines, query, table
 
@@ -414,7 +414,7 @@ _CORRECTED = (
     "tokens AS (SELECT word, CASE WHEN action = 'applied' THEN fixed ELSE word END AS output, fixed, round_even(conf, 3)::DOUBLE AS confidence, action, type, CAST(n_subs AS INTEGER) AS n_subs, CAST(orig_freq AS BIGINT) AS orig_freq, CAST(fixed_freq AS BIGINT) AS fixed_freq FROM fixes)"
 )
 _RUNS = r"regexp_extract_all(text, '[\p{L}\p{N}_‘’''\-]+|[^\p{L}\p{N}_‘’''\-]+')"
-_PLACED = f"runs AS (SELECT doc_id, {_RUNS} AS rs FROM documents), placed AS (SELECT doc_id, unnest(range(1, len(rs) + 1)) AS place, unnest(rs) AS word FROM runs)"
+_PLACED = f"runs AS (SELECT doc_id, {_RUNS} AS rs FROM documents), placed AS (SELECT doc_id, unnest(range(0, len(rs))) AS place, unnest(rs) AS word FROM runs)"
 
 cat.SQL["corrected_tokens"] = f"WITH {_CORRECTED} SELECT * FROM tokens"
 cat.SQL["corrected_documents"] = (
@@ -439,6 +439,26 @@ def change_counts(spark, d):
     return correction.change_counts(_corrected(spark, d)[0], ["doc_id"])
 
 
+@query("change_logs", f"WITH {_CHANGES} SELECT doc_id, count_if(action = 'applied')::BIGINT AS applied, count_if(action <> 'applied')::BIGINT AS flagged, count(*) AS total, string_agg(place || ' ' || word || ' > ' || fixed, ', ' ORDER BY place) AS changes, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (WHERE action <> 'applied') AS flags FROM changes GROUP BY 1")
+def change_logs(spark, d):
+    changes, _ = _corrected(spark, d)
+    logs = reports.book_logs(changes, ["doc_id"], ["place"]).withColumn("changes", F.array_join(F.transform("changes", lambda x: F.concat(x["place"], F.lit(" "), x["word"], F.lit(" > "), x["fixed"])), ", "))
+    flags = reports.book_flags(changes, ["doc_id"], ["place"]).select("doc_id", F.array_join(F.transform("flags", lambda x: x["place"].cast("string")), ",").alias("flags"))
+    return logs.join(flags, "doc_id", "left")
+
+
+@query("merged_scores", r"SELECT string_agg(source || '=' || CAST(n AS VARCHAR), ',' ORDER BY source) AS scores, round_even(avg(n), 2) AS mean FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1)")
+def merged_scores(spark, d):
+    n = table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    told = reports.merged_scores(n, "source", "n")
+    return told.select(F.array_join(F.transform(F.array_sort(F.map_entries("scores")), lambda x: F.concat_ws("=", x["key"], x["value"])), ",").alias("scores"), "mean")
+
+
+@query("report_sections", f"WITH {VERSE}, f AS (SELECT CAST(c AS INTEGER) AS c, CAST(v AS INTEGER) AS v, CASE WHEN trim(text) = '' THEN 'EMPTY_TEXT' ELSE 'SHORT_TEXT' END AS reason, CASE WHEN trim(text) = '' THEN 'CRITICAL' ELSE 'HIGH' END AS severity, text FROM verse WHERE length(trim(text)) < 8 AND NOT contains(text, '[verse text missing')), r AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY c, v, text) AS n FROM f) SELECT severity || '/' || reason AS section, CAST(n AS INTEGER) AS n, concat_ws(' ', c || ':' || v, text) AS line FROM r WHERE n <= 20 UNION ALL SELECT severity || '/' || reason, 0, severity || ' ' || reason || ': ' || count(*) FROM f GROUP BY severity, reason")
+def report_sections(spark, d):
+    return reports.sections(quality.empty_or_short(lines(spark, d)))
+
+
 @query("semantic_risks", f"WITH {_CHANGES}, f AS (SELECT DISTINCT word, fixed, coalesce((SELECT freq FROM vocab v WHERE v.word = t.word), 0) + coalesce((SELECT freq FROM vocab v WHERE v.word = {LOWER.format('t.word')}), 0) AS o, coalesce((SELECT freq FROM vocab v WHERE v.word = t.fixed), 0) + coalesce((SELECT freq FROM vocab v WHERE v.word = {LOWER.format('t.fixed')}), 0) AS x FROM tokens t WHERE action = 'applied') SELECT c.doc_id, CAST(c.place AS INTEGER) AS place, c.word, c.fixed FROM changes c JOIN f USING (word) WHERE c.action = 'applied' AND o >= 1 AND x >= 2 AND x / (o + 1) < 200")
 def semantic_risks(spark, d):
     changes, words = _corrected(spark, d)

@@ -118,3 +118,21 @@ def test_streaming_resumes(spark, tmp_path):
 def test_merge_notes(spark):
     a, b = (spark.createDataFrame(x, "c int, v int, note string") for x in ([(1, 1, "a"), (1, 2, "b")], [(1, 2, "c"), (1, 3, " ")]))
     assert {(r["v"], r["note"]) for r in docs.merge_notes(a, b, ["c", "v"]).collect()} == {(1, "a"), (2, "c")}
+
+
+def test_reports(spark, tmp_path):
+    from quire.sources import reports
+
+    rows = [("MAT", 2, "b", "flagged_low"), ("MAT", 1, "a", "applied"), ("LUK", 1, "c", "applied")]
+    changes = spark.createDataFrame(rows, "b string, place int, word string, action string")
+    logs = {r["b"]: r for r in reports.book_logs(changes, ["b"], ["place"]).collect()}
+    assert (logs["MAT"]["applied"], logs["MAT"]["flagged"], [x["word"] for x in logs["MAT"]["changes"]]) == (1, 1, ["a", "b"])
+    assert [(r["b"], len(r["flags"])) for r in reports.book_flags(changes, ["b"], ["place"]).collect()] == [("MAT", 1)]
+    reports.write_json(reports.book_logs(changes, ["b"], ["place"]), f"{tmp_path}/logs", ["b"])
+    assert spark.read.json(f"{tmp_path}/logs").count() == 2
+    found = spark.createDataFrame([("x", "MAT", 1, k, "SHORT", "HIGH", "d") for k in range(5)], "t string, b string, c int, v int, reason string, severity string, detail string")
+    assert reports.report_text(reports.sections(found, 2)).split("\n") == ["HIGH SHORT: 5", "x MAT 1:0 d", "x MAT 1:1 d"]
+    path = f"{tmp_path}/table"
+    spark.range(5).write.parquet(path)
+    reports.staged_swap(spark.read.parquet(path).where("id > 1"), path)  # it reads what it replaces
+    assert spark.read.parquet(path).count() == 3 and not (tmp_path / "table.old").exists() and not (tmp_path / "table.new").exists()
