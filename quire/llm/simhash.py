@@ -61,7 +61,7 @@ class Spec:
 EXACT = Spec()
 #: For similarity of 0.8 or more over five-word shingles: 512 bits, of which a Jaccard similarity of 0.8
 #: leaves 512 * arccos(2 * 0.8 / 1.8) / pi = 78 different on average, with a deviation of 8.
-NEAR = Spec(shingle=5, words=8, blocks=16, radius=2, limit=110, sure=58, similarity=0.8)
+NEAR = Spec(shingle=5, words=8, blocks=16, radius=2, limit=100, sure=64, similarity=0.8)
 #: Blocks whose variants are shuffled at once.
 _AT_ONCE = 4
 
@@ -241,42 +241,64 @@ def nearest(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[t
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame:
-    """(id, s): the sorted distinct shingle hashes of the text of each node in `ids` (id). Only texts of those ids are read in Python."""
+    """(id, s): the sorted distinct shingle hashes (32 bits) of the text of each node in `ids` (id). Only texts of those ids are read in Python."""
     names = [f"f{k}" for k in range(spec.words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 200):
             h = [hashes(t, spec.shingle) for t in texts(b)]
             f = np.array([fold(x, spec.words) for x in h], np.int64).reshape(-1, spec.words)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f[:, k]) for k in range(spec.words)), pa.array([np.unique(x).tobytes() for x in h], pa.binary())], ["id", *names, "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f[:, k]) for k in range(spec.words)), pa.array([np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in h], pa.binary())], ["id", *names, "s"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
     told = rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names) + ", s binary")
     return told.join(nodes, ["id", *names], "left_semi").groupBy("id").agg(F.max("s").alias("s"))
 
 
-def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: Spec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The (a, b) of `pairs` that link, by the whole fingerprints and, where these leave it open, by the sets of shingles."""
+def distances(pairs: DataFrame, nodes: DataFrame, spec: Spec) -> DataFrame:
+    """(a, b, far): the differing bits of those `pairs` (a, b) that are within the limit."""
     names = [f"f{k}" for k in range(spec.words)]
     one, other = nodes.withColumnRenamed("id", "a"), nodes.select(F.col("id").alias("b"), *(F.col(n).alias(f"o{n}") for n in names))
-    told = pairs.join(one, "a").join(other, "b").select("a", "b", differing(spec).alias("far")).where(F.col("far") <= spec.limit)
-    if spec.limit <= spec.sure:
-        return told.select("a", "b")
-    told = Stored(told, "simhash-far").df
-    unsure = told.where(F.col("far") > spec.sure).select("a", "b")
-    sets = Stored(shingle_sets(docs, nodes, unsure.select(F.explode(F.array("a", "b")).alias("id")).distinct(), spec, id_col, text_col), "simhash-sets").df
+    return pairs.join(one, "a").join(other, "b").select("a", "b", differing(spec).alias("far")).where(F.col("far") <= spec.limit)
+
+
+def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: Spec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Those of `pairs` (a, b) whose whole sets of shingles are similar enough."""
+    pairs = Stored(pairs.select("a", "b"), "simhash-open").df
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = Stored(shingle_sets(docs, nodes, ids, spec, id_col, text_col), "simhash-sets").df
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             keep = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= spec.similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_())), b.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
 
-    met = unsure.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    return told.where(F.col("far") <= spec.sure).select("a", "b").union(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def joined(pairs: DataFrame, roots: DataFrame | None, nodes: DataFrame, docs: DataFrame, spec: Spec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component) after the links among `pairs` are added to components `roots` (none: every node by itself).
+
+    Pairs within `sure` bits link at once; of the others only those that still lie between two components are
+    held against each other by their shingles, so a family of copies that is joined already costs no more.
+    """
+    told = Stored(distances(pairs, nodes, spec), "simhash-far")
+    edges = told.df.where(F.col("far") <= spec.sure).select("a", "b")
+    old = [roots.select(F.col("node").alias("a"), F.col("component").alias("b"))] if roots is not None else []
+    now = components(functools.reduce(DataFrame.union, [edges, *old]))
+    if spec.limit > spec.sure:
+        of = lambda k: now.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+        open_ = told.df.where(F.col("far") > spec.sure).select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        open_ = open_.where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+        more = similar(open_, nodes, docs, spec, id_col, text_col)
+        now = components(more.union(now.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    told.drop()
+    return now
 
 
 def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,10 +322,8 @@ def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id",
             parts.append(Stored(meetings(own, spec, range(k, min(spec.blocks, k + _AT_ONCE))), "simhash-met"))
             release(docs.sparkSession)
         met = functools.reduce(DataFrame.union, (p.df for p in parts))
-        parts.append(Stored(links(candidate_pairs(met, spec), own, docs, spec, id_col, text_col), "simhash-links"))
-        tied = parts[-1].df
-        parts.append(Stored(crowded_pairs(met, own, components(tied), spec), "simhash-more"))
-        roots = components(tied.union(links(parts[-1].df, own, docs, spec, id_col, text_col)))  # stored, so the rest can go
+        roots = joined(candidate_pairs(met, spec), None, own, docs, spec, id_col, text_col)
+        roots = joined(crowded_pairs(met, own, roots, spec), roots, own, docs, spec, id_col, text_col)
         for p in parts:
             p.drop()
     classes = nodes.join(roots, nodes["id"] == roots["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))

@@ -124,7 +124,7 @@ def test_crowded_variants_are_compared_whole(spark, monkeypatch, piece):
     none = spark.createDataFrame([], "node long, component long")
     assert {(r["a"], r["b"]) for r in simhash.crowded_pairs(met, nodes, none, spec).collect()} == {(4, 1)}
     monkeypatch.setattr(simhash, "fingerprints", lambda *_: nodes.withColumnRenamed("id", "doc_id"))
-    assert {(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(4, 1), (3, 1)], "a long, b long"), nodes, nodes, spec).collect()} == {(4, 1)}
+    assert {(r["a"], r["b"]) for r in simhash.distances(spark.createDataFrame([(4, 1), (3, 1)], "a long, b long"), nodes, spec).collect()} == {(4, 1)}
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(nodes, spec).collect()}
     assert got == {i: 1 if i == 4 else i for i in prints}
 
@@ -175,9 +175,14 @@ def test_open_pairs_are_told_by_their_shingles(spark):
     pairs = [(a, b) for a, b in itertools.combinations(sorted(texts), 2) if a // 100 == b // 100]
     nodes = simhash.fingerprints(docs, simhash.NEAR).withColumnRenamed("doc_id", "id")
     nodes = spark.createDataFrame(nodes.collect(), nodes.schema)
-    got = {(r["b"], r["a"]) for r in simhash.links(spark.createDataFrame([(b, a) for a, b in pairs], "a long, b long"), nodes, docs, simhash.NEAR).collect()}
+    every = spark.createDataFrame([(b, a) for a, b in pairs], "a long, b long")
     want = {(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.8}
-    assert got <= {(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.77} and len(got & want) >= 0.99 * len(want)
+    assert {(r["b"], r["a"]) for r in simhash.similar(every, nodes, docs, simhash.NEAR).collect()} == want
+    far = {(r["b"], r["a"]): r["far"] for r in simhash.distances(every, nodes, simhash.NEAR).collect()}
+    assert len(far.keys() & want) >= 0.99 * len(want) and all(jaccard(texts[a], texts[b]) >= 0.77 for (a, b), n in far.items() if n <= simhash.NEAR.sure)
+    roots = {r["node"]: r["component"] for r in simhash.joined(every, None, nodes, docs, simhash.NEAR).collect()}
+    reach, least = classes(texts, want), classes(texts, far.keys() & want)
+    assert all(roots.get(i, i) in (reach[i], least[i]) for i in texts)
 
 
 def test_near_classes_against_brute_force(spark):
