@@ -137,49 +137,55 @@ def _order(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__id", "__text"), 64 - _BITS)
 
 
-def _last_pass(rows: DataFrame, rest: dict[str, float], most: int) -> tuple[dict[str, list[tuple[int, int, int]]], dict[str, list[int]]]:
+def _last_pass(rows: DataFrame, rest: dict[str, float], counts: dict[str, int]) -> tuple[dict[str, list[tuple[int, int, int]]], dict[str, list[int]]]:
     """How the last pass takes `rest` words of each pattern: ranges (from, until, words at most) of the order, of which all
     rows go, and single places.
 
-    rows: (__key, __size, __h). most: rows of the largest pattern. A round finds the bucket in which the words are met,
-    takes what comes before it, and of the bucket the largest rows first that still fit; the next round goes on
-    behind it with the rows that fit in what is left. Rows of one place (equal id and text) are taken together.
+    rows: (__key, __size, __h). counts: rows of each pattern. A round finds the bucket of some _BUCKET rows in which the
+    words are met (a small pattern is one bucket), takes what comes before it, and of the bucket the largest rows first
+    that still fit; the next round goes on behind it with the rows that fit in what is left. Rows of one place
+    (equal id and text) are taken together.
     """
     spark = rows.sparkSession
     ranges: dict[str, list[tuple[int, int, int]]] = {k: [] for k in rest}
     places: dict[str, list[int]] = {k: [] for k in rest}
     now = {k: (r, 0, 1 << 62) for k, r in rest.items() if r >= 1}  # what is left, from where, and the largest size
+
+    def within(edge: dict[str, tuple[float, int, int]]) -> DataFrame:
+        """The rows of each pattern's bucket, with what is to be taken of them. edge: (words, bucket, bits of buckets)."""
+        plan = [(k, float(r), b, _BITS - bits, now[k][1], now[k][2]) for k, (r, b, bits) in edge.items()]
+        told = spark.createDataFrame(plan, "__key string, rest double, edge long, shift int, start long, most long").coalesce(1)
+        met = rows.join(F.broadcast(told) if len(plan) <= _SMALL else told, "__key")
+        return met.where((F.col("__size") > 0) & (F.col("__size") <= F.col("most")) & (F.col("__h") >= F.col("start")) & F.expr("shiftright(__h, shift) = edge"))
+
     while now:
-        edge = {k: (r, 0) for k, (r, *_) in now.items()}  # words to take within the bucket, and which bucket
-        bits, left = 0, most
-        while edge and (not bits or left > _BUCKET) and bits < _BITS:
-            step = min(_STEP, _BITS - bits, max(1, (left // _BUCKET).bit_length()))
-            told = spark.createDataFrame([(k, float(edge[k][0]), edge[k][1], now[k][1], now[k][2]) for k in edge], "__key string, rest double, edge long, start long, most long").coalesce(1)
-            bucket = F.shiftright("__h", _BITS - bits - step)
-            part = rows.join(F.broadcast(told) if len(edge) <= _SMALL else told, "__key").where((F.col("__size") > 0) & (F.col("__size") <= F.col("most")) & (F.col("__h") >= F.col("start")) & (F.shiftright("__h", _BITS - bits) == F.col("edge")))
-            per = part.groupBy("__key", bucket.alias("bucket")).agg(F.sum("__size").alias("size"), F.count("*").alias("n"), F.max("rest").alias("rest"))
+        edge = {k: (r, 0, 0) for k, (r, *_) in now.items()}
+        left, bits = {k: counts[k] for k in now}, 0
+        while (many := {k: edge[k] for k in edge if left[k] > _BUCKET}) and bits < _BITS:  # they all have as many bits
+            step = min(_STEP, _BITS - bits, max(1, (max(left[k] for k in many) // _BUCKET).bit_length()))
+            bits += step
+            per = within(many).groupBy("__key", F.shiftright("__h", _BITS - bits).alias("bucket")).agg(F.sum("__size").alias("size"), F.count("*").alias("n"), F.max("rest").alias("rest"))
             upto = F.sum("size").over(Window.partitionBy("__key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
             met = per.withColumn("upto", upto).where("upto >= rest and upto - size < rest").select("__key", "bucket", "n", (F.col("rest") - (F.col("upto") - F.col("size"))).alias("rest")).collect()  # a row a pattern
-            edge = {r["__key"]: (r["rest"], r["bucket"]) for r in met}
-            bits, left = bits + step, max((r["n"] for r in met), default=0)
-        for k in set(now) - set(edge):  # all that fits is less than what is left
-            ranges[k].append((now[k][1], 1 << _BITS, now[k][2]))
+            for k in many.keys() - {r["__key"] for r in met}:  # all that fits is less than what is left
+                ranges[k].append((now[k][1], 1 << _BITS, now[k][2]))
+                del edge[k]
+            for r in met:
+                edge[r["__key"]], left[r["__key"]] = (r["rest"], r["bucket"], bits), r["n"]
         if not edge:
             break
-        width = 1 << (_BITS - bits)
-        told = spark.createDataFrame([(k, float(r), b, now[k][1], now[k][2]) for k, (r, b) in edge.items()], "__key string, rest double, edge long, start long, most long").coalesce(1)
-        bag = rows.join(F.broadcast(told) if len(edge) <= _SMALL else told, "__key").where((F.col("__size") > 0) & (F.col("__size") <= F.col("most")) & (F.col("__h") >= F.col("start")) & (F.shiftright("__h", _BITS - bits) == F.col("edge")))
-        bag = bag.groupBy("__key", "rest", "__h").agg(F.sum("__size").alias("s")).groupBy("__key", "rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("s"), F.col("__h").alias("h")))).alias("items"))
+        bag = within(edge).groupBy("__key", "rest", "__h").agg(F.sum("__size").alias("s")).groupBy("__key", "rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("s"), F.col("__h").alias("h")))).alias("items"))
         begin = F.struct(F.col("rest").alias("room"), F.array().cast("array<long>").alias("hs"))
         fits = lambda acc, x: F.when(acc["room"] + x["s"] >= -0.5, F.struct((acc["room"] + x["s"]).alias("room"), F.array_append(acc["hs"], x["h"]).alias("hs"))).otherwise(acc)
         nxt = {}
         for r in bag.select("__key", F.aggregate("items", begin, fits).alias("x")).collect():  # a row a pattern, of some _BUCKET places
             k, (room, hs) = r["__key"], r["x"]
-            first = edge[k][1] * width
-            ranges[k].append((now[k][1], first, now[k][2]))
+            _, bucket, of = edge[k]
+            width = 1 << (_BITS - of)
+            ranges[k].append((now[k][1], bucket * width, now[k][2]))
             places[k] += hs
-            if room >= 1 and first + width < 1 << _BITS:
-                nxt[k] = (room, first + width, int(min(room, now[k][2])))
+            if room >= 1 and (bucket + 1) * width < 1 << _BITS:
+                nxt[k] = (room, (bucket + 1) * width, int(min(room, now[k][2])))
         now = nxt
     return ranges, places
 
@@ -222,7 +228,7 @@ def mix(docs: DataFrame, sources: Column, weights, id_col: str = "doc_id", text_
         if words and whole < PASSES and n - whole * words >= 1:
             rest[r["__key"]] = n - whole * words
         plan.append((r["__key"], float(quota[p[0]]) if p else 0.0, sizes[p[0]] if p else 0, whole))
-    ranges, places = _last_pass(rows.drop("__sources"), rest, max((r["n"] for r in found), default=0)) if rest else ({}, {})
+    ranges, places = _last_pass(rows.drop("__sources"), rest, {r["__key"]: r["n"] for r in found}) if rest else ({}, {})
     fields = "__key string, __target double, __source_size long, __whole int, __ranges array<struct<a:long,b:long,most:long>>, __places array<long>"
     plans = docs.sparkSession.createDataFrame([(*x, ranges.get(x[0], []), places.get(x[0], [])) for x in plan], fields)  # a row a pattern
     inside = F.exists("__ranges", lambda x: (F.col("__h") >= x["a"]) & (F.col("__h") < x["b"]) & (F.col("__size") <= x["most"]))

@@ -66,12 +66,12 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty, name):
     assert f(spark, empty, D).collect() == []
     got = f(spark, odd, D)
     rows = got.collect()
-    assert rows and (name == "packing" or got.columns == odd.columns)
+    assert name == "packing" or got.columns == odd.columns
     ids = [r["doc_id"] for r in rows]
     if name == "language":  # texts without a letter go, all others stay with their repeats
         assert sorted(i or 0 for i in ids) == [0, 1, 2, 2, 6, 8, 9, 10]
     if name == "quality":  # only the long one has 50 words, and it repeats itself
-        assert set(ids) <= {6}
+        assert ids == []
     if name == "near_duplicates":
         assert sorted(i or 0 for i in ids) == [0, 1, 3, 6, 7, 8, 9, 10]
     if name == "mixing":
