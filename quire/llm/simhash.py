@@ -157,9 +157,10 @@ def meetings(nodes: DataFrame, spec: Spec, which: range | None = None) -> DataFr
 
 
 def candidate_pairs(met: DataFrame, spec: Spec) -> DataFrame:
-    """Distinct pairs (a > b) of ids that are tied in a variant of `meetings`."""
-    ties = [F.col("least")] if spec.blocks == 1 else [F.col("least"), F.col("before")]
-    return met.where("before is not null").select(F.col("id").alias("a"), F.explode(F.array(*ties)).alias("b")).distinct()
+    """Distinct pairs (a > b) of ids that are tied in a variant of `meetings`: each to the least, and of up to three rows
+    each to the one before, which are all pairs; of larger ones `crowded_pairs` compares what ties leave apart."""
+    ties = [F.col("least")] if spec.blocks == 1 else [F.col("least"), F.when(F.col("n") <= 3, F.col("before"))]
+    return met.where("before is not null").select(F.col("id").alias("a"), F.explode(F.array_compact(F.array(*ties))).alias("b")).distinct()
 
 
 def crowded_pairs(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
