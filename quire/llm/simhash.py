@@ -11,8 +11,9 @@ With one block whose radius is the limit, rows that share a variant are within t
 other, so these ties give exactly the components of the full link graph. With several blocks the
 candidates are those that agree in at least one block within the radius, and rows of a variant need not
 be within the limit of each other: where a variant's rows are still in several components after the ties,
-all rows of different components are compared, in pieces. Pairs whose differing bits leave it open whether
-they are similar enough are held against each other by their whole sets of shingles.
+all rows of different components are compared, in pieces, and only links that join components come out. Pairs
+whose differing bits leave it open whether they are similar enough are held against each other by their whole
+sets of shingles.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from .graph import components
 #: Odd multipliers and shifts of the splitmix64 finaliser (fixed values), for the second and later words.
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 _CHUNK = 1 << 13
-#: Rows of a piece of a crowded variant; two pieces are compared at once.
-_PIECE = 2000
+#: Rows and bytes of shingles of a piece of a crowd; two pieces are compared at once.
+_PIECE, _PIECE_BYTES = 2000, 8_000_000
 
 
 @dataclass(frozen=True)
@@ -156,55 +157,102 @@ def meetings(nodes: DataFrame, spec: Spec, which: range | None = None) -> DataFr
     return _keyed(nodes, spec, which).select("id", "v", F.count("*").over(every).cast("int").alias("n"), F.first("id").over(near).alias("least"), F.lag("id").over(near).alias("before")).where("n > 1")
 
 
-def candidate_pairs(met: DataFrame, spec: Spec) -> DataFrame:
+def candidate_pairs(met: DataFrame, spec: Spec, roots: DataFrame | None = None) -> DataFrame:
     """Distinct pairs (a > b) of ids that are tied in a variant of `meetings`: each to the least, and of up to three rows
-    each to the one before, which are all pairs; of larger ones `crowded_pairs` compares what ties leave apart."""
+    each to the one before, which are all pairs; of larger ones `crowded_pairs` compares what ties leave apart.
+
+    With components `roots`, only pairs between two of them."""
     ties = [F.col("least")] if spec.blocks == 1 else [F.col("least"), F.when(F.col("n") <= 3, F.col("before"))]
-    return met.where("before is not null").select(F.col("id").alias("a"), F.explode(F.array_compact(F.array(*ties))).alias("b")).distinct()
+    pairs = met.where("before is not null").select(F.col("id").alias("a"), F.explode(F.array_compact(F.array(*ties))).alias("b")).distinct()
+    return pairs if roots is None else _between(pairs, roots)
+
 
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of `pairs` (a, b, ...) whose rows are in different components."""
+    of = lambda k: roots.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
-def crowded_pairs(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec, piece: int | None = None) -> DataFrame:
-    """(a, b): pairs between components `roots` that ties missed. nodes: (id, f0, ...), distinct fingerprints.
 
-    Ties test all pairs of up to three rows of a variant. Of larger variants with rows in several components
-    (those with the same rows count once) every two rows meet in a pair of pieces of at most `piece` rows on
-    average, where `spanning` and `nearest` compare those of different components.
+def crowded_pairs(met: DataFrame, nodes: DataFrame, roots: DataFrame, spec: Spec, docs: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", piece: int | None = None) -> DataFrame:
+    """(a, b): links that join all components `roots` between which any two rows of a variant of more than three link.
+
+    nodes: (id, f0, ...), distinct fingerprints; docs: their texts, without which only `sure` bits link. Variants with
+    the same least id are one crowd, so a row is in it once. Of crowds with rows in several components every two rows
+    meet in a pair of pieces of at most `piece` rows and `_PIECE_BYTES` of shingles on average, where `spanning` tests
+    all rows of different components, those that bits leave open by their whole sets of shingles.
     """
     piece = piece or _PIECE
     names = [f"f{k}" for k in range(spec.words)]
-    rows = met.where("n > 3").select("id", "v").join(roots.withColumnRenamed("node", "id"), "id", "left")
-    rows = rows.select("id", "v", F.coalesce("component", "id").alias("c"))
-    marks = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(f"m{k}") for k in range(2)]
-    groups = rows.groupBy("v").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"), *marks).where("lo <> hi")
-    crowded = Stored(groups.groupBy("n", "m0", "m1").agg(F.min("v").alias("v")).select("v", F.ceil(F.col("n") / piece).cast("int").alias("pieces")), "simhash-crowded").df
-    dealt = rows.join(crowded, "v").withColumn("p", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    dealt = dealt.select("id", "c", "v", "p", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("q"))
-    dealt = dealt.select("id", "c", "v", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).join(nodes, "id")
+    whole = docs is not None and spec.limit > spec.sure
+    rows = met.where("n > 3").select("least", "id").distinct().join(roots.withColumnRenamed("node", "id"), "id", "left")
+    rows = rows.select("id", F.col("least").alias("v"), F.coalesce("component", "id").alias("c"))
+    of = Window.partitionBy("v")
+    rows = rows.select("*", F.min("c").over(of).alias("lo"), F.max("c").over(of).alias("hi")).where("lo <> hi").select("id", "v", "c")
+    if whole:
+        rows = Stored(rows, "simhash-crowded").df
+        facts = Stored(nodes.join(shingle_sets(docs, nodes, rows.select("id").distinct(), spec, id_col, text_col), "id"), "simhash-crowded-sets").df
+    else:
+        facts = nodes.withColumn("s", F.lit(b""))
+    pieces = F.greatest(F.ceil(F.count("*").over(of) / piece), F.ceil(F.sum(F.length("s")).over(of) / _PIECE_BYTES)).cast("int")
+    dealt = rows.join(facts, "id").withColumn("pieces", pieces).withColumn("p", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("q"))
+    dealt = dealt.select("v", F.least("p", "q").cast("long").alias("p"), F.greatest("p", "q").cast("long").alias("q"), "id", "c", *names, "s")
+
+    def links(run: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+        table = np.stack([np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in run]) for k in range(3, 5 + spec.words)], axis=1)
+        f = np.ascontiguousarray(table[:, 2:]).view(np.uint64)
+        sets = Sets([np.frombuffer(x, np.uint32) for b in run for x in b.column(5 + spec.words).to_pylist()], spec.similarity) if whole else None
+        return spanning(table[:, 0], table[:, 1], f, spec.sure, spec.limit, sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # of the run that goes on
+        held: list[pa.RecordBatch] = []  # of the run that goes on
+        last = None
         for b in itertools.chain(batches, [None]):
-            now = [] if b is None else [np.stack([x.to_numpy(zero_copy_only=False) for x in b.columns], axis=1)]
-            table = np.concatenate([*held, *now]) if held or now else np.empty((0, 5 + spec.words), np.int64)
-            cuts = np.flatnonzero((table[1:, :3] != table[:-1, :3]).any(axis=1)) + 1
-            edges = [0, *cuts.tolist(), len(table)] if len(table) else [0]
-            last = len(edges) - 1 if b is None else len(edges) - 2
-            held = [table[edges[last] :]] if b is not None and len(table) else []
             found = []
-            for lo, hi in zip(edges[:last], edges[1 : last + 1], strict=True):
-                ids, c, f = table[lo:hi, 3], table[lo:hi, 4], np.ascontiguousarray(table[lo:hi, 5:]).view(np.uint64)
-                found += spanning(ids, c, f, spec.sure)
-                if spec.limit > spec.sure:
-                    found += nearest(ids, c, f, spec.limit)
+            keys = np.empty((0, 3), np.int64) if b is None else np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(3)], axis=1)
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            if held and (b is None or len(keys) and tuple(keys[0]) != last):
+                found += links(held)
+                held = []
+            for lo, hi in itertools.pairwise(edges if len(keys) else []):
+                held.append(b.slice(lo, hi - lo))
+                if hi < len(keys):
+                    found += links(held)
+                    held = []
+            last = tuple(keys[-1]) if len(keys) else last
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["a", "b"])
 
-    order = dealt.select("v", F.col("p").cast("long"), F.col("q").cast("long"), "id", "c", *names).repartition("v", "p", "q").sortWithinPartitions("v", "p", "q")
-    return order.mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("v", "p", "q").sortWithinPartitions("v", "p", "q").mapInArrow(run, "a long, b long").distinct()
+
+
+class Sets:
+    """Sets of shingle hashes, of which one is held against many at once."""
+
+    def __init__(self, sets: list[np.ndarray], similarity: float):
+        self.similarity, self.size = similarity, np.array([len(x) for x in sets], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        kinds, self.code = np.unique(np.concatenate([np.empty(0, np.uint32), *sets]), return_inverse=True)
+        self.on = np.zeros(len(kinds), bool)
+
+    def like(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Whether each of `others` is similar enough to set i."""
+        size, own = self.size[others], self.code[self.first[i] : self.first[i] + self.size[i]]
+        out = np.minimum(size, len(own)) >= self.similarity * np.maximum(size, len(own))
+        some, size = others[out], size[out]
+        if len(some):
+            of = np.repeat(np.arange(len(some)), size)
+            at = np.arange(len(of)) + np.repeat(self.first[some] - (np.cumsum(size) - size), size)
+            self.on[own] = True
+            both = np.bincount(of, self.on[self.code[at]], len(some))
+            self.on[own] = False
+            out[out] = both >= self.similarity * (size + len(own) - both)
+        return out
 
 
-def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[tuple[int, int]]:
+def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int, wide: int = 0, sets: Sets | None = None) -> list[tuple[int, int]]:
     """Links (a > b) within the limit that join all components `c` that any link joins.
 
+    With `sets`, rows beyond the limit link too, if they are within `wide` bits and their sets are similar enough.
     Every row is compared with all later ones that are not yet in its component. Those nearest to the rows'
     bitwise majority come first, so that a family of copies is joined by its first row.
     """
@@ -212,15 +260,20 @@ def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[
     left, out = len(kinds), []
     if left < 2:
         return out
+    at = np.arange(len(ids))
     if len(ids) > 8:
         bits = np.unpackbits(f.view(np.uint8), axis=1)
         far = (bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(ids))).sum(axis=1)
-        order = np.argsort(far, kind="stable")
-        ids, c, f = ids[order], c[order], f[order]
+        at = np.argsort(far, kind="stable")
+        ids, c, f = ids[at], c[at], f[at]
     for i in range(len(ids) - 1):
         other = np.flatnonzero(c[i + 1 :] != c[i]) + i + 1
-        if len(other):
-            for j in other[np.bitwise_count(f[other] ^ f[i]).sum(axis=1, dtype=np.int64) <= limit].tolist():
+        far = np.bitwise_count(f[other] ^ f[i]).sum(axis=1, dtype=np.int64)
+        for told in (False, True) if sets else (False,):
+            met = other[far <= limit] if not told else other[(far > limit) & (far <= wide) & (c[other] != c[i])]
+            if told and len(met):
+                met = met[sets.like(at[i], at[met])]
+            for j in met.tolist():
                 if c[j] != c[i]:
                     out.append((max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))))
                     c[c == c[j]] = c[i]
@@ -230,17 +283,6 @@ def spanning(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[
     return out
 
 
-def nearest(ids: np.ndarray, c: np.ndarray, f: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """Of each row the nearest one of another component `c`, if it is within the limit, as pairs (a > b)."""
-    out = set()
-    if len(set(c.tolist())) > 1:
-        for i in range(len(ids)):
-            far = np.where(c == c[i], 1 << 20, np.bitwise_count(f ^ f[i]).sum(axis=1, dtype=np.int64))
-            if far[j := int(far.argmin())] <= limit:
-                out.add((max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))))
-    return sorted(out)
-
-
 def shingle_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, spec: Spec, id_col: str, text_col: str) -> DataFrame:
     """(id, s): the sorted distinct shingle hashes (32 bits) of the text of each node in `ids` (id). Only texts of those ids are read in Python."""
     names = [f"f{k}" for k in range(spec.words)]
@@ -293,10 +335,7 @@ def joined(pairs: DataFrame, roots: DataFrame | None, nodes: DataFrame, docs: Da
     old = [roots.select(F.col("node").alias("a"), F.col("component").alias("b"))] if roots is not None else []
     now = components(functools.reduce(DataFrame.union, [edges, *old]))
     if spec.limit > spec.sure:
-        of = lambda k: now.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
-        open_ = told.df.where(F.col("far") > spec.sure).select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
-        open_ = open_.where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        more = similar(open_, nodes, docs, spec, id_col, text_col)
+        more = similar(_between(told.df.where(F.col("far") > spec.sure).select("a", "b"), now), nodes, docs, spec, id_col, text_col)
         now = components(more.union(now.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     told.drop()
     return now
@@ -322,9 +361,13 @@ def near_duplicates(docs: DataFrame, spec: Spec = EXACT, id_col: str = "doc_id",
         for k in range(0, spec.blocks, _AT_ONCE):
             parts.append(Stored(meetings(own, spec, range(k, min(spec.blocks, k + _AT_ONCE))), "simhash-met"))
             release(docs.sparkSession)
+        roots = joined(candidate_pairs(parts[0].df, spec), None, own, docs, spec, id_col, text_col)
+        if parts[1:]:  # what the first blocks have joined needs no more pairs, nor do larger variants, which are compared whole
+            rest = functools.reduce(DataFrame.union, (p.df for p in parts[1:])).where("n <= 3")
+            roots = joined(candidate_pairs(rest, spec, roots), roots, own, docs, spec, id_col, text_col)
         met = functools.reduce(DataFrame.union, (p.df for p in parts))
-        roots = joined(candidate_pairs(met, spec), None, own, docs, spec, id_col, text_col)
-        roots = joined(crowded_pairs(met, own, roots, spec), roots, own, docs, spec, id_col, text_col)
+        more = crowded_pairs(met, own, roots, spec, docs, id_col, text_col)
+        roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         for p in parts:
             p.drop()
     classes = nodes.join(roots, nodes["id"] == roots["node"], "left").select(*names, F.coalesce("component", "id").alias("component_id"))

@@ -1,3 +1,4 @@
+import functools
 import itertools
 import random
 from collections import defaultdict
@@ -203,3 +204,32 @@ def test_near_classes_against_brute_force(spark):
     reach = classes(texts, [p for p, x in like.items() if x >= 0.77])
     empty = {i for i, s in sets.items() if not s}
     assert all(reach[i] == reach[c] or {i, c} <= empty for i, c in classed.items())
+
+
+def test_a_similar_row_behind_a_nearer_one_is_found(spark, monkeypatch):
+    """10 and 12 are similar, but each has a nearer row (11, 13) in another component that isn't."""
+    rng = random.Random(8)
+    spec = simhash.Spec(shingle=5, words=4, blocks=8, radius=2, limit=60, sure=10, similarity=0.8)
+    flip = lambda x, mask: functools.reduce(lambda y, k: y ^ mask << (32 * k), range(1, 8), x)
+    block, x = rng.getrandbits(32), rng.getrandbits(224) << 32
+    prints = {i: rng.getrandbits(224) << 32 for i in range(4)} | {10: x, 11: flip(x, 0b111), 12: flip(x, 0b1111 << 8), 13: flip(x, 0b1111 << 8 | 0b111 << 16)}
+    word = lambda y, k: (lambda z: z - (1 << 64) if z >> 63 else z)((y | block) >> (64 * k) & (2**64 - 1))
+    schema = "id long, f0 long, f1 long, f2 long, f3 long"
+    nodes = spark.createDataFrame([(i, *(word(y, k) for k in range(4))) for i, y in prints.items()], schema)
+    own = {i: np.arange(100 * i, 100 * i + 50, dtype=np.uint32) for i in prints}
+    own[12] = np.append(own[10][2:], np.arange(9000, 9002, dtype=np.uint32))
+    sets = spark.createDataFrame([(i, y.tobytes()) for i, y in own.items()], "id long, s binary")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: nodes.withColumnRenamed("id", "doc_id"))
+    monkeypatch.setattr(simhash, "shingle_sets", lambda docs, nodes, ids, *_: sets.join(ids, "id", "left_semi"))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(nodes, spec).collect()}
+    assert got == {i: 10 if i == 12 else i for i in prints}
+
+
+def test_sets_against_plain_ones():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 40, n, dtype=np.uint32)) for n in rng.integers(0, 120, 60)]
+    told = simhash.Sets(sets, 0.7)
+    for i, x in enumerate(sets):
+        others = rng.permutation(60)[:30]
+        want = [len(np.intersect1d(x, sets[j])) >= 0.7 * len(np.union1d(x, sets[j])) for j in others]
+        assert told.like(i, others).tolist() == want
