@@ -59,8 +59,28 @@ def usage(terms: DataFrame, owners: DataFrame, keys: list[str]) -> DataFrame:
     local = mine.groupBy("st", "kind", "term").agg(F.sum("k").alias("tf"), F.count("*").alias("df"))
     sums = local.groupBy("st", "kind").agg(F.sum("tf").alias("lt"))
     told = local.join(verses, "st").where(F.col("df") >= least_verses(F.col("n"), F.col("kind"))).join(sums, ["st", "kind"]).join(corpus, ["kind", "term"]).join(F.broadcast(total), "kind")
-    score = (F.col("tf") / F.col("lt")) / (F.col("cf") / F.col("ct")) * F.log1p("df") * F.when(F.col("kind") == 2, BIGRAM_BONUS).otherwise(1.0)
-    return told.select("st", "kind", "term", "tf", "df", score.alias("score"))
+    return told.select("st", "kind", "term", "tf", "df", _score().alias("score"))
+
+
+def _score() -> Column:
+    return (F.col("tf") / F.col("lt")) / (F.col("cf") / F.col("ct")) * F.log1p("df") * F.when(F.col("kind") == 2, BIGRAM_BONUS).otherwise(1.0)
+
+
+#: Bits of a sketch, and of those in a long.
+_SKETCH, _LONG = 1 << 16, 64
+
+
+def sketch(words: DataFrame, column: str) -> DataFrame:
+    """One row (sketch): a set of fixed size, as longs, that surely has all words of a column and few others while they are few."""
+    at = F.pmod(F.xxhash64(column), F.lit(_SKETCH)).cast("int")
+    longs = words.where(F.col(column).isNotNull()).select((at / _LONG).cast("int").alias("k"), F.call_function("shiftleft", F.lit(1).cast("long"), at % _LONG).alias("bit"))
+    by = longs.groupBy("k").agg(F.bit_or("bit").alias("bits")).agg(F.map_from_entries(F.collect_list(F.struct("k", "bits"))).alias("by"))
+    return by.select(F.transform(F.sequence(F.lit(0), F.lit(_SKETCH // _LONG - 1)), lambda k: F.coalesce(F.try_element_at("by", k), F.lit(0).cast("long"))).alias("sketch"))
+
+
+def may_have(sketch: Column, word: Column) -> Column:
+    at = F.pmod(F.xxhash64(word), F.lit(_SKETCH)).cast("int")
+    return F.getbit(F.get(sketch, (at / _LONG).cast("int")), at % _LONG) == 1
 
 
 def surfaces(terms: DataFrame, owners: DataFrame, keys: list[str]) -> DataFrame:
@@ -98,19 +118,26 @@ def occurs(tokens: Column, word: Column, more: int = 7) -> Column:
 def verse_index(words: DataFrame, owners: DataFrame, verses: DataFrame, keys: list[str], most: int = MOST_REFS) -> DataFrame:
     """(st, word, rank, keys): the first verses of an id in which each of its words occurs. words: (st, word).
 
-    A verse's tokens are exploded once, each with those of its beginnings that are as long as the first part of some
-    word, and meet the distinct first parts in an equi-join; only words of several parts look at the tokens again.
+    A verse's tokens give their beginnings that are as long as the first part of some word. Those that a sketch of the
+    distinct first parts has are exploded, with as many tokens after them as words have parts, and meet the first
+    parts in an equi-join, so what is shuffled is little more than what occurs.
     """
     told = words.where("word is not null").select("st", "word").distinct().withColumn("parts", F.split(turkish_lower(F.col("word")), " "))
-    heads = told.select(F.col("parts")[0].alias("head"), "word", (F.size("parts") > 1).alias("more")).distinct()
-    lengths = [r["n"] for r in heads.select(F.length("head").alias("n")).distinct().collect()]  # one row a length of word
-    tokens = verses.select(*keys, F.transform(inner_apostrophe_tokens(F.col("text")), turkish_lower).alias("tokens"))
-    begun = lambda t: F.filter(F.array(*map(F.lit, lengths)), lambda n: F.length(t).between(n, n + 7))
-    starts = F.flatten(F.transform(F.array_distinct("tokens"), lambda t: F.transform(begun(t), lambda n: F.substring(t, F.lit(1), n))))
+    heads = told.select(F.col("parts")[0].alias("head"), "word", "parts").distinct()
+    lengths = [tuple(r) for r in heads.select(F.length("head").alias("n"), F.size("parts").alias("m")).distinct().collect()]  # a row a length and number of parts
     if not lengths:
-        starts = F.array().cast("array<string>")
-    met = tokens.select(*keys, "tokens", F.explode(F.array_distinct(starts)).alias("head")).join(heads, "head")
-    found = met.where(~F.col("more") | occurs(F.col("tokens"), F.col("word"))).select(*keys, "word")
+        return owners.join(told.select("st", "word"), "st").where("false").select("st", "word", *keys, F.lit(0).alias("rank"))
+    more = max(m for _, m in lengths) - 1
+    tokens = F.transform(inner_apostrophe_tokens(F.col("text")), turkish_lower)
+    rows = verses.select(*keys, (tokens if more else F.array_distinct(tokens)).alias("tokens"))
+    begun = lambda t: F.filter(F.array(*map(F.lit, sorted({n for n, _ in lengths}))), lambda n: F.length(t).between(n, n + 7))
+    after = lambda i: F.slice("tokens", i + 2, F.lit(more)) if more else F.array().cast("array<string>")
+    starts = F.flatten(F.transform("tokens", lambda t, i: F.transform(begun(t), lambda n: F.struct(F.substring(t, F.lit(1), n).alias("head"), after(i).alias("rest")))))
+    rows = rows.select(*keys, starts.alias("starts")).crossJoin(F.broadcast(sketch(heads, "head")))
+    met = rows.select(*keys, F.inline(F.array_distinct(F.filter("starts", lambda x: may_have(F.col("sketch"), x["head"]))))).join(heads, "head")
+    fits = lambda t, p: (t == p) | (t.startswith(p) & F.length(t).between(F.length(p) + 1, F.length(p) + 7))
+    rest = F.zip_with(F.slice("rest", F.lit(1), F.size("parts") - 1), F.slice("parts", F.lit(2), F.size("parts")), lambda t, p: t.isNotNull() & fits(t, p))
+    found = met.where((F.size("parts") == 1) | F.forall(rest, lambda x: F.coalesce(x, F.lit(False)))).select(*keys, "word").distinct()
     return top_k(found.join(owners, keys).join(told.select("st", "word"), ["st", "word"]), ["st", "word"], most, list(keys))
 
 

@@ -332,3 +332,39 @@ def test_pipelines(spark):
     assert pipelines.realign(bad, refs)[0].count() >= 1
     merged, shared = pipelines.merge_lexicon(spark.createDataFrame([("G1",)], "key string"), {"def": spark.createDataFrame([("G1", "a, a")], "key string, value string")})
     assert merged.first()["def"] == "a" and shared.isEmpty()
+
+
+def shuffled(spark, df) -> int:
+    """Rows that a frame's exchanges write."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.fixture
+def dealt(spark):
+    """Documents of 300 words of 175, with owners, in joins that Spark doesn't broadcast."""
+    rng = random.Random(6)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmn"] + [f"w{a}{b}lmn" for a in "abcdefghij" for b in "abcdefghij"]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=300)), f"s{i % 2}") for i in range(60)], "doc_id long, text string, source string").repartition(2)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield docs, docs.select(F.col("source").alias("st"), "doc_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_index_shuffles_only_what_may_occur(spark, dealt):
+    docs, owners = dealt
+    words = owners.select("st").distinct().withColumn("word", F.explode(F.array(F.lit("bal"), F.lit("bal dem"))))
+    assert shuffled(spark, concordance.verse_index(words, owners, docs, ["doc_id"])) < 60 * 30
