@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -9,6 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,17 @@ T = TypeVar("T")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def thrifty() -> None:
+    """Lets freed memory go back to the system at once: a worker lives on through stages, beside a JVM that keeps its heap."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: larger blocks are mapped, and unmapped when they are freed
+
+
+if TaskContext.get():  # in a Python worker
+    thrifty()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
