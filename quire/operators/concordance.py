@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,6 +85,55 @@ def may_have(sketch: Column, word: Column) -> Column:
     return F.getbit(F.get(sketch, (at / _LONG).cast("int")), at % _LONG) == 1
 
 
+def verse_usage(verses: DataFrame, owners: DataFrame, keys: list[str], stop: tuple[str, ...] = ()) -> DataFrame:
+    """As `usage` of `term_rows` without stems, for corpora whose words and pairs are too many to be dealt out by verse.
+
+    Each verse's words meet its ids once, as one line, and are counted by id from there. A pair is in no more verses
+    than its words are: only pairs of two words that are in enough of some id's verses are counted, as a sketch tells.
+    """
+    ws = F.filter(stop_word_tokens(F.col("text"), stop), lambda w: ~is_sacred(w))
+    lines = verses.select(*keys, F.array_join(ws, " ").alias("line")).where("line <> ''")
+    nameless = functools.reduce(lambda x, y: x | y, (F.col(k).isNull() for k in keys))  # of no id; not gathered in one row
+    lines = lines.withColumn("__apart", F.when(nameless, F.xxhash64("line")).otherwise(0))
+    own = owners.where("st is not null").groupBy(*keys).agg(F.collect_set("st").alias("sts")).withColumn("__apart", F.lit(0).cast("long"))
+    ids = own.schema["sts"].dataType
+    rows = lines.groupBy(*keys, "__apart").agg(F.array_join(F.collect_list("line"), " \n ").alias("line"))  # rows of a key are one verse, pairs don't cross them
+    rows = rows.join(own, [*keys, "__apart"], "left").select("line", F.concat(F.coalesce("sts", F.array().cast(ids)), F.array(F.lit(None).cast(ids.elementType))).alias("sts"))  # the null id is the corpus
+    parts = F.split("line", " ")
+    words = F.filter(parts, lambda w: w != "\n")
+
+    def counted(rows: DataFrame, terms: Column, *more: Column) -> DataFrame:
+        """(st, term, tf, df). What is asked of it isn't pushed below the sums, so that all use one exchange."""
+        item = lambda term, tf, df: F.struct(term.alias("term"), tf.cast("long").alias("tf"), F.lit(df).alias("df"))
+        each = F.concat(F.transform(terms, lambda x: item(x, F.lit(1), 0)), F.transform(F.array_distinct(terms), lambda x: item(x, F.lit(0), 1)), *([F.array(*(item(F.lit(t), n, 1) for t, n in more))] if more else []))
+        told = rows.select("sts", F.inline(each)).select(F.explode("sts").alias("st"), "term", "tf", "df").groupBy("st", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        return told.withColumn("i", F.monotonically_increasing_id()).where("i >= 0 and df >= 0 and tf >= 0")
+
+    n_words = F.size(words)
+    n_lines = F.size(parts) - n_words + 1
+    one = counted(rows, words, ("\n1", n_words), ("\n2", n_words - n_lines))  # the totals beside the words
+    of = lambda k, c: F.max(F.when(F.col("term") == f"\n{k}", F.col(c)))
+    sums = one.where(F.col("term").startswith("\n")).groupBy("st").agg(of(1, "df").alias("n"), of(1, "tf").alias("l1"), of(2, "tf").alias("l2"))
+    one = one.where(~F.col("term").startswith("\n"))
+
+    def local(told: DataFrame, kind: int) -> DataFrame:
+        """Terms that are in as many of an id's verses as those of a kind must be."""
+        return told.where("st is not null").join(F.broadcast(sums.select("st", "n", F.col(f"l{kind}").alias("lt"))), "st").where(F.col("df") >= least_verses(F.col("n"), F.lit(kind)))
+
+    frequent = F.broadcast(sketch(local(one, 2).select("term").distinct(), "term"))
+    met = rows.crossJoin(frequent)
+    known = F.transform(parts, lambda w: F.when((w != "\n") & may_have(F.col("sketch"), w), w))
+    pairs = F.zip_with(F.slice(known, 1, F.size(known) - 1), F.slice(known, 2, F.size(known)), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b)))
+    two = counted(met, F.array_compact(pairs))
+    out = []
+    for kind, told in ((1, one), (2, two)):
+        cf = told.where("st is null")
+        cf = (cf.crossJoin(frequent).where(may_have(F.col("sketch"), F.col("term"))) if kind == 1 else cf).select("term", F.col("tf").alias("cf"))
+        ct = sums.where("st is null").select(F.col(f"l{kind}").alias("ct"))
+        out.append(local(told, kind).withColumn("kind", F.lit(kind)).join(cf, "term").crossJoin(F.broadcast(ct)))
+    return out[0].unionByName(out[1]).select("st", "kind", "term", "tf", "df", _score().alias("score"))
+
+
 def surfaces(terms: DataFrame, owners: DataFrame, keys: list[str]) -> DataFrame:
     """(st, term, surface): each term's most frequent surface; ties go to the first in order."""
     n = owners.join(terms, keys).groupBy("st", "term", "surface").agg(F.count("*").alias("n"))

@@ -224,7 +224,7 @@ _USAGE = f"WITH {_TERMS}, cor AS (SELECT kind, term, sum(k) AS cf FROM per GROUP
 def _usage(spark, d) -> DataFrame:
     t = table(spark, d, "documents")
     owners = t.select(F.col("source").alias("st"), "doc_id").distinct()
-    return concordance.usage(concordance.term_rows(t, ["doc_id"]), owners, ["doc_id"]).withColumn("score", F.round("score", 6))
+    return concordance.verse_usage(t, owners, ["doc_id"]).withColumn("score", F.round("score", 6))
 
 
 @query("usage_terms", _USAGE)

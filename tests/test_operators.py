@@ -334,6 +334,19 @@ def test_pipelines(spark):
     assert merged.first()["def"] == "a" and shared.isEmpty()
 
 
+def test_verse_usage_is_usage(spark):
+    """Ids with none, some and all verses, a verse of no id, one without words, repeated rows of a key and null keys."""
+    rng = random.Random(4)
+    words = ["kral", "deniz", "toprak", "gök", "ekmek", "balık", "tanrı", "12", "su'yun"]
+    verses = [(v, " ".join([*rng.choices(words, weights=range(1, 10), k=rng.randrange(0, 9)), *["deniz gök"] * (v is None or v % 3 > 0)])) for v in [*range(60), 3, 3, 7, None, None]] + [(61, None), (62, "kral")]
+    verses = spark.createDataFrame(verses, "v int, text string")
+    owners = spark.createDataFrame([(s, v) for s, share in (("G1", 1.0), ("G2", 0.5), ("G3", 0.1), (None, 0.5)) for v in [*range(61), 99, None] if rng.random() < share], "st string, v int")
+    want, got = concordance.usage(concordance.term_rows(verses, ["v"]), owners, ["v"]).collect(), concordance.verse_usage(verses, owners, ["v"])
+    assert dict(got.dtypes).keys() == {"st", "kind", "term", "tf", "df", "score"}
+    plain = lambda rows: sorted((r["st"], r["kind"], r["term"], r["tf"], r["df"], round(r["score"], 9)) for r in rows)
+    assert plain(got.collect()) == plain(want) and {r["kind"] for r in want} == {1, 2} and len({r["st"] for r in want}) == 3
+
+
 def shuffled(spark, df) -> int:
     """Rows that a frame's exchanges write."""
     df.collect()
@@ -364,6 +377,11 @@ def dealt(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
+def test_usage_does_not_shuffle_every_word(spark, dealt):
+    docs, owners = dealt
+    assert shuffled(spark, concordance.verse_usage(docs, owners, ["doc_id"])) < 60 * 300
+
+
 def test_index_shuffles_only_what_may_occur(spark, dealt):
     docs, owners = dealt
     words = owners.select("st").distinct().withColumn("word", F.explode(F.array(F.lit("bal"), F.lit("bal dem"))))
